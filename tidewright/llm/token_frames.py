@@ -45,7 +45,7 @@ class FrameWriter:
         self.uri = f"{folder}/ids-{uuid.uuid4().hex}.zst"
         self.fs, self.path = pafs.FileSystem.from_uri(self.uri)
         self.fs.create_dir(self.path.rpartition("/")[0], recursive=True)
-        self.out = self.fs.open_output_stream(self.path)
+        self.out = self.fs.open_output_stream(self.path, compression=None)
         self.zstd = zstandard.ZstdCompressor(level=level)
         self.doc_ids: list[int] = []
         self.table: list[tuple[int, int, int]] = []
