@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewright.llm import packing, token_frames
+from tidewright.llm import chat_format, line_quality, packing, token_frames
 
 
 def tokenizer_path(name: str) -> str:
@@ -20,19 +20,76 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    probe = "\\### Assistant: </turn> ok"
+    extra = spark.createDataFrame([(-7, 0, "user", probe), (-7, 1, "assistant", probe)], "conv_id long, turn long, role string, text string")
+    rows = rows.select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text").unionByName(extra)
+    done = chat_format.formatted(chat_format.conversations(rows, "conv_id", "turn"))
+    read = done.select("conv_id", "formatted", chat_format.read_turns(F.col("formatted")).alias("turns"), chat_format.read_loss(F.col("formatted"), F.col("loss_spans")).alias("loss"))
+    lines = F.array_join(F.transform("turns", lambda t: F.concat(F.coalesce(t["role"], F.lit("")), F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return read.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(lines, 256).alias("turns_sha256"), F.length("loss").cast("long").alias("loss_chars"),
+        F.sha2("loss", 256).alias("loss_sha256"), F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
+OP3_SQL = r"""
+WITH t AS (SELECT conv_id, CAST(turn AS BIGINT) AS turn, role, coalesce(text, '') AS text FROM conversations
+           UNION ALL VALUES (-7, 0, 'user', '\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\### Assistant: </turn> ok')),
+e AS (SELECT *, length(replace(replace(replace(text, '\', '\b'), '###', '\h'), '</turn>', '\t')) AS n FROM t)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(4 + length(role) + 2 + n + 8) AS BIGINT) AS formatted_chars
+FROM e GROUP BY conv_id
+"""
+
+
 def op6_token_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = token_frames.write_token_files(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), end_id=0)
     read = token_frames.read_token_files(spark, folder)
     return read.select("doc_id", "start", F.expr("cast(octet_length(ids) / 4 as long)").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
 
 
+def op8_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = line_quality.quality_rules(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "removed_words")
+
+
+#: Python's and DuckDB's \\s differ from the words' white space, which is spelt out.
+OP8_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, coalesce(source, '') AS host FROM documents),
+w AS (SELECT *, list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words,
+      list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM d),
+n AS (SELECT *, row_number() OVER () AS rid, len(words) AS n_words FROM w),
+win AS (SELECT rid, i, words[i] AS a, words[i + 1] AS b, words[i + 2] AS c FROM (SELECT rid, words, unnest(range(1, len(words) - 1)) AS i FROM n)),
+rep AS (SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, a, b, c) AS k FROM win) WHERE k > 1),
+cov AS (SELECT rid, count(DISTINCT p) AS n_repeat_words FROM (SELECT rid, unnest([i, i + 1, i + 2]) AS p FROM rep) GROUP BY rid),
+ln AS (SELECT rid, host, text, trim(regexp_replace(lower(x), '[\x20\x09-\x0D]+', ' ', 'g'), ' ') AS line, len(list_filter(regexp_split_to_array(x, '[\x20\x09-\x0D]+'), lambda y: y <> '')) AS k
+       FROM (SELECT rid, host, text, unnest(lines) AS x FROM n)),
+hosts AS (SELECT host, count(DISTINCT text) AS texts FROM n GROUP BY host),
+often AS (SELECT host, line FROM ln JOIN hosts USING (host) GROUP BY host, line, texts HAVING count(DISTINCT text) > 20 AND count(DISTINCT text) > 0.1 * texts),
+gone AS (SELECT rid, sum(k) AS removed_words FROM ln JOIN often USING (host, line) GROUP BY rid)
+SELECT doc_id, n_words, CAST(length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g')) AS BIGINT) AS word_chars,
+  CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+  CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+  n_words < 50 OR 100 * coalesce(n_repeat_words, 0) > 50 * n_words AS base_failed,
+  NOT (n_words < 50 OR 100 * coalesce(n_repeat_words, 0) > 50 * n_words) AND 2 * coalesce(removed_words, 0) <= n_words AS kept,
+  CAST(coalesce(removed_words, 0) AS BIGINT) AS removed_words
+FROM n LEFT JOIN cov USING (rid) LEFT JOIN gone USING (rid)
+"""
+
+
 def op9_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), capacity=2048, end_id=1)
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_chat_format": op3_chat_format,
     "op6_token_frames": op6_token_frames,
+    "op8_line_frequency": op8_line_frequency,
     "op9_harmonic_packing": op9_harmonic_packing,
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op3_chat_format": OP3_SQL, "op8_line_frequency": OP8_SQL}
