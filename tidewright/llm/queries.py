@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewright.llm import chat_format, line_quality, packing, token_frames
+from tidewright.llm import chat_format, line_quality, near_dups, packing, token_frames
 
 
 def tokenizer_path(name: str) -> str:
@@ -86,10 +86,15 @@ def op9_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op10_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dups.near_duplicates(table(spark, sf_dir, "documents"), width=3, threshold=0.85)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_chat_format": op3_chat_format,
     "op6_token_frames": op6_token_frames,
     "op8_line_frequency": op8_line_frequency,
     "op9_harmonic_packing": op9_harmonic_packing,
+    "op10_hyperminhash": op10_hyperminhash,
 }
 ORACLE_SQL: dict[str, str] = {"op3_chat_format": OP3_SQL, "op8_line_frequency": OP8_SQL}
