@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewright.llm import chat_format, line_quality, near_dups, packing, token_frames
+from tidewright.llm import chat_format, language_id, line_quality, near_dups, packing, token_frames
 
 
 def tokenizer_path(name: str) -> str:
@@ -46,6 +46,16 @@ FROM e GROUP BY conv_id
 """
 
 
+def held_out(doc_id: str = "doc_id") -> Column:
+    return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 4 == 2, F.lit(False))
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language_id.train(docs, ~held_out())
+    return language_id.identify(docs, model).select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "lang_rejected")
+
+
 def op6_token_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = token_frames.write_token_files(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), end_id=0)
     read = token_frames.read_token_files(spark, folder)
@@ -92,6 +102,7 @@ def op10_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_chat_format": op3_chat_format,
+    "op5_language_id": op5_language_id,
     "op6_token_frames": op6_token_frames,
     "op8_line_frequency": op8_line_frequency,
     "op9_harmonic_packing": op9_harmonic_packing,
