@@ -70,7 +70,7 @@ class Model:
     languages: list[str]
 
 
-def fit(counts: np.ndarray, languages: list[str], per_language: int = 4, rounds: int = 12, reject_share: float = 0.001, slack: float = 0.15) -> Model:
+def fit(counts: np.ndarray, languages: list[str], per_language: int = 4, rounds: int = 12, reject_share: float = 0.001, slack: float = 0.25) -> Model:
     """Centroids of TF-IDF vectors by spherical k-means, started from spread-out texts, deterministically."""
     names = sorted(set(languages))
     y = np.array([names.index(x) for x in languages], int)

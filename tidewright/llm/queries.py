@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewright.llm import chat_format, language_id, line_quality, near_dups, packing, token_frames
+from tidewright.llm.common import written
+from tidewright.llm import chat_format, language_id, line_quality, media_sequences, near_dups, packing, token_frames
 
 
 def tokenizer_path(name: str) -> str:
@@ -46,6 +47,22 @@ FROM e GROUP BY conv_id
 """
 
 
+def op4_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document as a page: its text, then a figure whose picture holds the text's bytes and whose caption is its id."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    image = media_sequences.image_of(media_sequences.payload_of(F.col("text")))
+    stored = written(docs.select(F.sha2(image, 256).alias("digest"), image.alias("media")), "media")
+    safe = F.replace(F.replace(F.col("text"), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
+    key = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    html = F.concat(F.lit("<p>"), safe, F.lit('</p><figure><img src="digest:'), F.sha2(image, 256), F.lit('"><figcaption>document '), key, F.lit("</figcaption></figure>"))
+    pages = media_sequences.interleave(docs.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), html.alias("html")))
+    pages = pages.select(F.struct("doc_id", "n_bytes").alias("id"), "items")
+    found = media_sequences.resolve(pages, media_sequences.features(stored), "id")
+    return found.select(
+        "id.doc_id", "id.n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", F.col("digest").alias("media_sha256"), "feature", "position", "caption"
+    )
+
+
 def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 4 == 2, F.lit(False))
 
@@ -102,6 +119,7 @@ def op10_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_chat_format": op3_chat_format,
+    "op4_media_columns": op4_media_columns,
     "op5_language_id": op5_language_id,
     "op6_token_frames": op6_token_frames,
     "op8_line_frequency": op8_line_frequency,
