@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewright.llm.common import written
-from tidewright.llm import chat_format, language_id, line_quality, media_sequences, near_dups, packing, token_frames
+from tidewright.llm import chat_format, html_labeller, language_id, line_quality, media_sequences, near_dups, packing, token_frames
 
 
 def tokenizer_path(name: str) -> str:
@@ -21,6 +21,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_html_labeller(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    texts = html_labeller.extract(pages.select("page_id", "url", "html"), html_labeller.fit(pages))
+    return texts.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"), "n_blocks")
+
+
 def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     probe = "\\### Assistant: </turn> ok"
@@ -118,6 +124,7 @@ def op10_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_html_labeller": op1_html_labeller,
     "op3_chat_format": op3_chat_format,
     "op4_media_columns": op4_media_columns,
     "op5_language_id": op5_language_id,
