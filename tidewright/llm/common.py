@@ -61,12 +61,12 @@ def slices(offsets: np.ndarray, limit: int) -> list[tuple[int, int]]:
     return out
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start, end and row of every word (a run of bytes that are no WORD_SPACE) of every row."""
+def word_spans(data: np.ndarray, offsets: np.ndarray, space: np.ndarray = WORD_SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and row of every word (a run of bytes that are not in ``space``) of every row."""
     if not len(data):
         none = np.zeros(0, np.int64)
         return none, none, none
-    inside = ~WORD_SPACE[data]
+    inside = ~space[data]
     first = np.zeros(len(data) + 1, bool)
     first[offsets] = True
     before = np.empty(len(data), bool)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewright.llm.common import written
-from tidewright.llm import chat_format, html_labeller, language_id, line_quality, media_sequences, near_dups, packing, token_frames
+from tidewright.llm import chat_format, html_labeller, language_id, line_quality, media_sequences, near_dups, packing, token_frames, toxicity
 
 
 def tokenizer_path(name: str) -> str:
@@ -27,6 +27,13 @@ def op1_html_labeller(spark: SparkSession, sf_dir: str) -> DataFrame:
     return texts.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"), "n_blocks")
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    model = toxicity.fit(docs.where(~held_out()).join(labels.where(~held_out()), "doc_id"))
+    return toxicity.scored(docs, model).select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
 def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     probe = "\\### Assistant: </turn> ok"
@@ -125,6 +132,7 @@ def op10_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_labeller": op1_html_labeller,
+    "op2_toxicity": op2_toxicity,
     "op3_chat_format": op3_chat_format,
     "op4_media_columns": op4_media_columns,
     "op5_language_id": op5_language_id,
