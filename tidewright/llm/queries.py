@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewright.llm.common import written
-from tidewright.llm import chat_format, html_labeller, language_id, line_quality, media_sequences, near_dups, packing, token_frames, toxicity
+from tidewright.llm import chat_format, html_labeller, language_id, line_quality, media_sequences, near_dups, packing, sentencepiece_codec, token_frames, toxicity
 
 
 def tokenizer_path(name: str) -> str:
@@ -97,6 +97,15 @@ def op8_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "removed_words")
 
 
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every text, and what they decode to."""
+    path = tokenizer_path("piece_bpe_32k.model")
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    ids = sentencepiece_codec.encode(docs.withColumn("text_sha256", F.sha2("text", 256)), path)
+    back = sentencepiece_codec.decode(ids, path, out_col="decoded")
+    return back.select("doc_id", F.expr("cast(octet_length(ids) / 4 as long)").alias("n_ids"), F.crc32("ids").alias("ids_crc32"), F.sha2("decoded", 256).alias("decoded_sha256"), (F.sha2("decoded", 256) == F.col("text_sha256")).alias("exact"))
+
+
 #: Python's and DuckDB's \\s differ from the words' white space, which is spelt out.
 OP8_SQL = r"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text, coalesce(source, '') AS host FROM documents),
@@ -137,6 +146,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_media_columns": op4_media_columns,
     "op5_language_id": op5_language_id,
     "op6_token_frames": op6_token_frames,
+    "op7_sentencepiece": op7_sentencepiece,
     "op8_line_frequency": op8_line_frequency,
     "op9_harmonic_packing": op9_harmonic_packing,
     "op10_hyperminhash": op10_hyperminhash,
