@@ -1,10 +1,6 @@
 """Every query of the library outside its ``llm`` subpackage, with DuckDB SQL that gives the same rows."""
 
-from __future__ import annotations
+from tidewright.plans import record_queries, table_queries  # noqa: F401  they register their queries
+from tidewright.plans.registry import ORACLE_SQL, QUERIES
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
+__all__ = ["ORACLE_SQL", "QUERIES"]
