@@ -66,7 +66,7 @@ def infer_json_type(spark, d):
 
 @query("SELECT o_orderstatus, count(*) AS n, round(sum(o_totalprice), 2) AS total FROM orders WHERE o_totalprice > 1000.5 AND o_orderdate >= TIMESTAMP '1995-01-01' AND o_custkey <> 7 GROUP BY o_orderstatus")
 def sql_params(spark, d):
-    args = sql.parameters({"sql.args.1.type": "8", "sql.args.1.value": "1000.5", "sql.args.2.type": "93", "sql.args.2.value": "788918400000", "sql.args.3.type": "-5", "sql.args.3.value": "7"})
+    args = sql.parameters(spark, {"sql.args.1.type": "8", "sql.args.1.value": "1000.5", "sql.args.2.type": "93", "sql.args.2.value": "788918400000", "sql.args.3.type": "-5", "sql.args.3.value": "7"})
     return sql.sql_source(spark, "SELECT o_orderstatus, count(*) AS n, round(sum(o_totalprice), 2) AS total FROM orders_in WHERE o_totalprice > ? AND o_orderdate >= ? AND o_custkey <> ? GROUP BY o_orderstatus", args, views={"orders_in": table(spark, d, "orders")})
 
 
@@ -94,8 +94,7 @@ def jdbc_roundtrip(spark, d):
     url = f"jdbc:derby:memory:{uuid.uuid4().hex};create=true"
     driver = {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
     sql.write_jdbc(table(spark, d, "customer").select("c_custkey", "c_name", "c_acctbal"), url, "customers", properties=driver, mode="overwrite")
-    rows = sql.jdbc(spark, url, "customers", column="C_CUSTKEY", bounds=(0, 2000), parts=4, properties=driver)
-    return rows.toDF(*[c.lower() for c in rows.columns])
+    return sql.jdbc(spark, url, "customers", column='"c_custkey"', bounds=(0, 2000), parts=4, properties=driver)
 
 
 @query("""WITH s AS (SELECT o_orderkey, 'db' || o_custkey % 5 || '.t' || o_orderkey % 3 AS dst, 'orders' || o_orderkey % 7 AS a, 'raw.customer' || o_custkey % 3 AS b FROM orders)
@@ -243,7 +242,7 @@ def decimal_rescale(spark, d):
 @query("SELECT event_id, strftime(CASE WHEN event_id % 3 = 2 THEN NULL WHEN event_id % 2 = 0 THEN date_trunc('second', ts) ELSE date_trunc('millisecond', ts) END, '%Y-%m-%d %H:%M:%S') AS at FROM events")
 def timestamp_patterns(spark, d):
     k, pattern = F.col("event_id"), "yyyy/MM/dd HH:mm:ss"
-    e = table(spark, d, "events").select("event_id", F.when(k % 3 == 2, "soon").when(k % 2 == 0, F.date_format("ts", pattern)).otherwise(F.concat(F.lit(" "), F.unix_millis("ts").cast("string"))).alias("t"))
+    e = table(spark, d, "events").select("event_id", F.when(k % 3 == 2, "soon").when(k % 2 == 0, F.date_format("ts", pattern)).otherwise(F.concat(F.lit(" "), F.unix_millis(F.col("ts").cast("timestamp")).cast("string"))).alias("t"))
     options = coerce.patterns_of_formats([{"column-name": "t", "timestamp-pattern": pattern, "type": "TIMESTAMP"}])
     return e.select("event_id", F.date_format(coerce.to_timestamp(F.col("t"), coerce.pattern_for("t", options)), "yyyy-MM-dd HH:mm:ss").alias("at"))
 
@@ -282,7 +281,7 @@ def path_partitions(spark, d):
 
 @query("SELECT c_custkey, 3 AS n, 'set a=' || c_custkey AS first, 'x;' || c_mktsegment AS last FROM customer")
 def statement_split(spark, d):
-    s = F.concat(F.lit("set a="), F.col("c_custkey").cast("string"), F.lit("; b ; ; x\;"), "c_mktsegment", F.lit(" ;"))
+    s = F.concat(F.lit("set a="), F.col("c_custkey").cast("string"), F.lit(r"; b ; ; x\;"), "c_mktsegment", F.lit(" ;"))
     return table(spark, d, "customer").select("c_custkey", text.statements_column(s).alias("s")).select("c_custkey", F.size("s").alias("n"), F.get("s", 0).alias("first"), F.element_at("s", -1).alias("last"))
 
 

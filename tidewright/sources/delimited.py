@@ -119,7 +119,7 @@ def write(df: DataFrame, path: str, col: str = "^|", row: str = "@@\n", quote_mo
                 if first:
                     yield pa.RecordBatch.from_arrays([pa.array([head])], ["value"])
                     first = False
-                yield batch
+                yield pa.RecordBatch.from_arrays([batch.column(0)], ["value"])
 
         lines = lines.mapInArrow(headed, "value string")
     lines.write.option("lineSep", row).text(path)

@@ -28,14 +28,17 @@ def parameter(code: int, text: str | None, form: str = "") -> Column:
     return value.try_cast("decimal(38,18)" if kind == "decimal" else kind)
 
 
-def parameters(attributes: dict[str, str]) -> list[Column]:
-    """Literals of ``sql.args.N.type / value / format``, in order of N."""
+def parameters(spark: SparkSession, attributes: dict[str, str]) -> list[object]:
+    """Values of ``sql.args.N.type / value / format``, in order of N."""
     numbers = sorted({int(k.split(".")[2]) for k in attributes if k.startswith("sql.args.")})
     at = lambda n, part: attributes.get(f"sql.args.{n}.{part}")
-    return [parameter(int(at(n, "type")), at(n, "value"), at(n, "format") or "") for n in numbers]
+    if not numbers:
+        return []
+    typed = [parameter(int(at(n, "type")), at(n, "value"), at(n, "format") or "").alias(str(n)) for n in numbers]
+    return list(spark.range(1).select(*typed).first())
 
 
-def sql_source(spark: SparkSession, query: str, params: list[Column] | dict[str, Column] | None = None, pre: str = "", views: dict[str, DataFrame] | None = None) -> DataFrame:
+def sql_source(spark: SparkSession, query: str, params: list[object] | dict[str, object] | None = None, pre: str = "", views: dict[str, DataFrame] | None = None) -> DataFrame:
     """A query over tables and views, after the ``pre`` statements. Catalyst plans what the text asks for."""
     for name, df in (views or {}).items():
         df.createOrReplaceTempView(name)
