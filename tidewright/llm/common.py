@@ -37,6 +37,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession, size: int = 16 << 20) -> None:
+    """Bound the Arrow batches that Python workers get, as long documents make the usual ones large."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
+
+
 def flat_text(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of a text column as one uint8 array, and int64 offsets of its rows (null: empty)."""
     if isinstance(column, pa.ChunkedArray):

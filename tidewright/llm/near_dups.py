@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewright.llm.common import flat_text, mix64, slices, span_hashes, word_spans, written
+from tidewright.llm.common import flat_text, mix64, slices, small_batches, span_hashes, word_spans, written
 
 BUCKET_BITS, MANTISSA_BITS, BAND = 7, 10, 4
 REGISTERS, BANDS = 1 << BUCKET_BITS, (1 << BUCKET_BITS) // BAND
@@ -105,7 +105,7 @@ def _sketched(docs: DataFrame, width: int) -> DataFrame:
     def run(batches):
         for batch in batches:
             data, offsets = flat_text(batch.column(1))
-            for a, b in slices(offsets, 4 << 20):
+            for a, b in slices(offsets, 1 << 20):
                 h, at = shingle_sets(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], width)
                 n = np.diff(at)
                 prints = []
@@ -127,7 +127,7 @@ def _sets(docs: DataFrame, width: int) -> DataFrame:
     def run(batches):
         for batch in batches:
             data, offsets = flat_text(batch.column(1))
-            for a, b in slices(offsets, 4 << 20):
+            for a, b in slices(offsets, 1 << 20):
                 h, at = shingle_sets(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], width)
                 rows = [h[at[i] : at[i + 1]].tobytes() for i in range(b - a)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a).cast(pa.int64()), pa.array(rows, pa.binary())], ["rep", "shingles"])
@@ -159,25 +159,19 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, threshold_pct: int) -> DataFra
     return two.where(_similar(threshold_pct)).select("a", "b")
 
 
-def _agreeing(x: Column, y: Column) -> tuple[Column, Column]:
-    """How many registers of two band arrays agree, and how many either fills, by arithmetic on four registers a time."""
-    ones = F.lit(0x0001000100010001)
+def _promising(threshold_pct: int) -> Column:
+    """Whether sketches x and y may belong to similar sets."""
 
-    def zero_lanes(v: Column) -> Column:
-        """A set bit for each 16-bit lane that is zero: bits are folded down to each lane's lowest."""
-        for shift in (8, 4, 2, 1):
-            v = v.bitwiseOR(F.shiftrightunsigned(v, shift))
-        return v.bitwiseAND(ones).bitwiseXOR(ones)
-
-    def step(acc: Column, i: Column) -> Column:
-        p, q = F.get(x, i), F.get(y, i)
-        equal = zero_lanes(p.bitwiseXOR(q))
-        empty = zero_lanes(F.bitwise_not(p)).bitwiseAND(zero_lanes(F.bitwise_not(q)))
-        return F.struct((acc["same"] + F.bit_count(equal.bitwiseAND(F.bitwise_not(empty)))).alias("same"), (acc["full"] + 4 - F.bit_count(empty)).alias("full"))
+    @F.pandas_udf("boolean")
+    def near(x: pd.Series, y: pd.Series) -> pd.Series:
+        out = []
+        for i in range(0, len(x), 4096):
+            one, two = (np.stack(v.iloc[i : i + 4096].to_numpy()).view(np.uint16) for v in (x, y))
+            same, full = matching(one, two)
+            out.append(estimate(same, full) >= floor_of(threshold_pct / 100, full))
+        return pd.Series(np.concatenate(out) if out else [], dtype=bool)
 
-    zero = F.struct(F.lit(0).alias("same"), F.lit(0).alias("full"))
-    both = F.aggregate(F.sequence(F.lit(0), F.lit(BANDS - 1)), zero, step)
-    return both["same"], both["full"]
+    return near("x", "y")
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 100) -> DataFrame:
@@ -206,42 +200,68 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 1
 
 
 BLOCK = 1024
+PAIRS = 20_000
 
 
-def _block_pairs(threshold_pct: int):
-    """For one block pair of one band: (a, b) of different labels that bounds, estimate and first common band let through."""
+def tile_pairs(group: np.ndarray, band: np.ndarray, diagonal: np.ndarray, side: np.ndarray, rep: np.ndarray, label: np.ndarray, n: np.ndarray, can: np.ndarray, bands: np.ndarray, threshold_pct: int) -> np.ndarray:
+    """(a, b) pairs of one group and different labels that bounds, estimate and first common band let through.
 
-    none = pd.DataFrame({"a": pd.Series([], dtype="int64"), "b": pd.Series([], dtype="int64")})
+    Rows are ordered by group. All groups are worked on together: rows are paired with the row d places on, for each d
+    up to the largest group. Off the diagonal only rows of different sides are paired.
+    """
+    t, out = threshold_pct / 100, []
+    end = np.searchsorted(group, group, "right")
+    wide = bands.view(np.uint16).reshape(len(bands), REGISTERS)
+    active, d = np.arange(len(group)), 1
+    while True:
+        active = active[active + d < end[active]]
+        if not len(active):
+            break
+        x, y = active, active + d
+        most = np.minimum(can[x], can[y])
+        ok = (label[x] != label[y]) & (diagonal[x] | (side[x] != side[y])) & (most >= t * (n[x] + n[y] - most) - 1e-6)
+        x, y, d = x[ok], y[ok], d + 1
+        for i in range(0, len(x), PAIRS):
+            p, q = x[i : i + PAIRS], y[i : i + PAIRS]
+            same, full = matching(wide[p], wide[q])
+            good = estimate(same, full) >= floor_of(t, full)
+            p, q = p[good], q[good]
+            common = (bands[p] == bands[q]) & (bands[p] != -1)
+            good = common.argmax(1) == band[p]  # else an earlier band has this pair
+            p, q = rep[p[good]], rep[q[good]]
+            out.append(np.stack((np.minimum(p, q), np.maximum(p, q)), 1))
+    return np.concatenate(out) if out else np.zeros((0, 2), np.int64)
+
+
+def _tiles(threshold_pct: int):
+    """``tile_pairs`` over batches of rows that are sorted by band, key and block pair; a group may span batches."""
+
+    def pairs_of(rows: pa.Table) -> pa.RecordBatch:
+        c = {name: rows.column(name).to_numpy() for name in ("band", "key", "i", "j", "side", "rep", "label", "n", "can")}
+        new = np.zeros(len(rows), bool)
+        for name in ("band", "key", "i", "j"):
+            new[1:] |= c[name][1:] != c[name][:-1]
+        bands = rows.column("bands").combine_chunks().flatten().to_numpy().reshape(len(rows), BANDS)
+        found = tile_pairs(np.cumsum(new), c["band"], c["i"] == c["j"], c["side"], c["rep"], c["label"], c["n"], c["can"], np.ascontiguousarray(bands), threshold_pct)
+        return pa.RecordBatch.from_arrays([pa.array(found[:, 0], pa.int64()), pa.array(found[:, 1], pa.int64())], ["a", "b"])
 
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        band = int(rows["band"].iloc[0])
-        alone = int(rows["i"].iloc[0]) == int(rows["j"].iloc[0])
-        left = rows[rows["side"] == 0]
-        right = left if alone else rows[rows["side"] == 1]
-        if not len(left) or not len(right):
-            return none
-        t = threshold_pct / 100
-        ls, rs = (np.stack([np.asarray(x, np.int64) for x in s["bands"]]) for s in (left, right))
-        lw, rw = ls.view(np.uint16).reshape(len(ls), REGISTERS), rs.view(np.uint16).reshape(len(rs), REGISTERS)
-        ln, rn, lc, rc, ll, rl = (s[c].to_numpy() for c in ("n", "can", "label") for s in (left, right))
-        out = []
-        for i in range(len(left)):
-            most = np.minimum(lc[i], rc)
-            ok = (ll[i] != rl) & (most >= t * (ln[i] + rn - most) - 1e-6)
-            if alone:
-                ok[: i + 1] = False
-            j = np.flatnonzero(ok)
-            if not len(j):
+    def run(batches):
+        held = None
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            rows = pa.concat_tables([held, rows]) if held is not None else rows
+            if not len(rows):
                 continue
-            same, full = matching(lw[i], rw[j])
-            j = j[estimate(same, full) >= floor_of(t, full)]
-            if band and len(j):  # an earlier common band has this pair
-                j = j[~((ls[i, :band] == rs[j, :band]) & (ls[i, :band] != -1)).any(1)]
-            out.append(np.column_stack((np.full(len(j), left["rep"].iloc[i]), right["rep"].to_numpy()[j])))
-        if not out:
-            return none
-        found = np.concatenate(out)
-        return pd.DataFrame({"a": found.min(1), "b": found.max(1)}, dtype="int64")
+            last = np.ones(len(rows), bool)
+            for name in ("band", "key", "i", "j"):
+                v = rows.column(name).to_numpy()
+                last &= v == v[-1]
+            start = int(last.argmax())  # rows are sorted, so the last group is one run
+            if start:
+                yield pairs_of(rows.slice(0, start))
+            held = rows.slice(start)
+        if held is not None and len(held):
+            yield pairs_of(held)
 
     return run
 
@@ -249,6 +269,7 @@ def _block_pairs(threshold_pct: int):
 def near_duplicates(docs: DataFrame, width: int = 5, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id (the smallest doc_id it reaches) and kept (whether that is its own) of each document."""
     pct = round(100 * threshold)
+    small_batches(docs.sparkSession)
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     rows = written(_sketched(source, width), "sketches")
     full = rows.where("n_shingles > 0 AND doc_id IS NOT NULL")
@@ -263,11 +284,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, threshold: float = 0.8, id_
     stars = live.join(leaders, ["band", "key"]).where("rep <> leader").select(F.least("rep", "leader").alias("a"), F.greatest("rep", "leader").alias("b")).distinct()
     sketch = classes.join(company.select("rep"), "rep", "left_semi").select("rep", "bands", "n")
     near = stars.join(sketch.select(F.col("rep").alias("a"), F.col("bands").alias("x"), F.col("n").alias("n_a")), "a").join(sketch.select(F.col("rep").alias("b"), F.col("bands").alias("y"), F.col("n").alias("n_b")), "b")
-    same, filled = _agreeing(F.col("x"), F.col("y"))
-    near = near.where(100 * F.least("n_a", "n_b") >= pct * F.greatest("n_a", "n_b")).select("a", "b", same.alias("same"), filled.alias("full"))
-    t = pct / 100
-    score = (F.col("same") - COLLISION * F.col("full")) / F.greatest(F.col("full") * (1 - COLLISION), F.lit(1.0))
-    near = near.where(score >= t - 4 * F.sqrt(F.lit(t * (1 - t)) / F.greatest("full", F.lit(1)))).select("a", "b")
+    near = near.where(100 * F.least("n_a", "n_b") >= pct * F.greatest("n_a", "n_b")).where(_promising(pct)).select("a", "b")
     # whole sets of the live classes alone
     own = source.join(company.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
     sets = written(_sets(own, width), "sets")
@@ -288,7 +305,9 @@ def near_duplicates(docs: DataFrame, width: int = 5, threshold: float = 0.8, id_
     pair = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least(o, F.col("at")).alias("i"), F.greatest(o, F.col("at")).alias("j"), F.when(F.col("at") <= o, 0).otherwise(1).alias("side")))
     tiles = placed.select("band", "key", "rep", "label", "n", "can", F.explode(pair).alias("p")).select("*", "p.i", "p.j", "p.side").drop("p")
     tiles = tiles.join(classes.select("rep", "bands"), "rep")
-    more = tiles.groupBy("band", "key", "i", "j").applyInPandas(_block_pairs(pct), "a long, b long").distinct()
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tiles = tiles.repartition(parts, "band", "key", "i", "j").sortWithinPartitions("band", "key", "i", "j")
+    more = tiles.select("band", "key", "i", "j", "side", "rep", "label", "n", "can", "bands").mapInArrow(_tiles(pct), "a long, b long").distinct()
     more = written(_confirmed(more, sets, pct), "pairs")
     labels = components(links.unionByName(more)).withColumnRenamed("node", "rep")
 
