@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tidewright.operators import alerts, changes, graphs, routing
+from tidewright.operators import alerts, changes, graphs, routing, rows
 from tidewright.plans.registry import query, table, work_folder
-from tidewright.sinks import tables
-from tidewright.sources import delimited
+from tidewright.sinks import remote, tables
+from tidewright.sources import delimited, sql
 from tidewright.streaming import monitors, upserts
 
 K = F.col("o_orderkey")
@@ -202,21 +202,21 @@ def table_sync(spark, d):
     noted = p.withColumn("note", F.when(F.col("p_size") > 25, "large"))
     tables.sync_table(spark, name, noted)
     noted.select("p_partkey", "p_size", "note", "p_brand").write.mode("append").partitionBy("p_brand").parquet(at)
-    rows = spark.read.parquet(at)
-    out = rows.groupBy("p_brand").agg(F.count("*").alias("n"), F.count("note").alias("noted"))
+    read = spark.read.parquet(at)
+    out = read.groupBy("p_brand").agg(F.count("*").alias("n"), F.count("note").alias("noted"))
     spark.sql(f"DROP TABLE {name}")
     return out
 
 
-@query("SELECT strftime(ts, '%Y-%m') AS ts_month, strftime(ts, '%Y-%m-%d') AS ts_day, count(*) AS n, sum(event_id) AS ids FROM events GROUP BY 1, 2")
+@query("SELECT strftime(ts, '%Y-%m') AS ts_month, strftime(ts, '%Y-%m-%d') AS ts_day, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS ids FROM events GROUP BY 1, 2")
 def partition_transforms(spark, d):
     path = work_folder(spark, "lake")
     tables.append(table(spark, d, "events").select("event_id", "ts"), path, [("ts", "month"), ("ts", "day")])
-    rows = spark.read.option("basePath", path).schema("event_id long, ts timestamp, ts_month string, ts_day string").parquet(path)
-    return rows.groupBy("ts_month", "ts_day").agg(F.count("*").alias("n"), F.sum("event_id").alias("ids"))
+    read = spark.read.option("basePath", path).schema("event_id long, ts timestamp, ts_month string, ts_day string").parquet(path)
+    return read.groupBy("ts_month", "ts_day").agg(F.count("*").alias("n"), F.sum("event_id").alias("ids"))
 
 
-@query("SELECT CAST(v AS INTEGER) AS version, count(*) AS n, sum(o_orderkey) AS ids FROM orders, (VALUES (0), (1), (2)) AS t(v) WHERE o_orderkey % 3 <= v GROUP BY v")
+@query("SELECT CAST(v AS INTEGER) AS version, count(*) AS n, CAST(sum(o_orderkey) AS BIGINT) AS ids FROM orders, (VALUES (0), (1), (2)) AS t(v) WHERE o_orderkey % 3 <= v GROUP BY v")
 def versioned_append(spark, d):
     path = work_folder(spark, "versions")
     made = [tables.append_version(_orders(spark, d).where(K % 3 == i), path) for i in range(3)]
@@ -237,8 +237,8 @@ def compaction(spark, d):
 def csv_sink_roundtrip(spark, d):
     path = work_folder(spark, "csv")
     tables.write_csv(table(spark, d, "customer").select("c_custkey", "c_name", F.col("c_acctbal").cast("decimal(18,2)").cast("string")), path, names=["custkey", "name", "acctbal"], sep=";", quote_all=True)
-    rows = delimited.read_csv(spark, path, "custkey long, name string, acctbal string", sep=";")
-    return rows.withColumn("acctbal", F.col("acctbal").cast("double").cast("string"))
+    read = delimited.read_csv(spark, path, "custkey long, name string, acctbal string", sep=";")
+    return read.withColumn("acctbal", F.col("acctbal").cast("double").cast("string"))
 
 
 @query("SELECT p_partkey, p_brand, p_size FROM part")
@@ -263,7 +263,7 @@ def stream_upsert(spark, d):
     return spark.read.parquet(f"{path}_table").select("user_id", "event_id", "event_type")
 
 
-@query("SELECT event_type, count(*) AS n, sum(event_id) AS ids FROM events GROUP BY event_type")
+@query("SELECT event_type, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS ids FROM events GROUP BY event_type")
 def stream_once(spark, d):
     path = work_folder(spark, "feed")
     e = table(spark, d, "events").select("event_id", "event_type", F.col("ts").cast("timestamp").alias("ts"))
@@ -374,8 +374,77 @@ def governance_checks(spark, d):
     return rules.groupBy("rule").agg(F.count("*").alias("n"))
 
 
-@query("SELECT o_orderkey, CAST(o_totalprice AS VARCHAR) AS price, o_orderstatus || '!' AS status FROM orders WHERE o_orderkey % 50 <> 0 OR o_orderstatus IS NOT NULL")
+@query("SELECT o_orderkey, o_orderstatus || '!' AS status FROM orders")
 def piped_rows(spark, d):
-    rows = _orders(spark, d).select(F.concat_ws("\t", F.col("o_orderkey").cast("string"), F.col("o_totalprice").cast("string"), F.concat("o_orderstatus", F.lit("!"))).alias("value"))
+    lines = _orders(spark, d).select(F.concat_ws("\t", F.col("o_orderkey").cast("string"), F.concat("o_orderstatus", F.lit("!"))).alias("value"))
     parts = F.split("value", "\t")
-    return tables.pipe_rows(rows, "cat").select(parts[0].cast("long").alias("o_orderkey"), parts[1].cast("double").cast("string").alias("price"), parts[2].alias("status"))
+    return rows.piped(lines, ["cat"]).where("_route = 'success'").select(parts[0].cast("long").alias("o_orderkey"), parts[1].alias("status"))
+
+
+@query("SELECT 'failure' AS route, 3 AS status, count(*) AS n, CAST(sum(o_orderkey) AS BIGINT) AS ids FROM orders")
+def piped_failures(spark, d):
+    lines = _orders(spark, d).select(F.col("o_orderkey").cast("string").alias("value"))
+    failed = rows.piped(lines, ["sh", "-c", "cat > /dev/null; exit 3"])
+    return failed.groupBy(F.col("_route").alias("route"), "status").agg(F.count("*").alias("n"), F.sum(F.col("value").cast("long")).alias("ids"))
+
+
+@query("SELECT c_custkey, upper(c_name) || '/' || c_nationkey AS tag FROM customer")
+def row_function(spark, d):
+    return rows.mapped(table(spark, d, "customer").select("c_custkey", "c_name", "c_nationkey"), lambda r: {"c_custkey": r["c_custkey"], "tag": f"{r['c_name'].upper()}/{r['c_nationkey']}"}, "c_custkey long, tag string")
+
+
+@query("SELECT CAST(o_orderkey AS VARCHAR) AS k, o_orderstatus AS status FROM orders")
+def extract_chunks(spark, d):
+    path = work_folder(spark, "chunks")
+    sql.extract_csv(_orders(spark, d).select("o_orderkey", "o_orderstatus"), path, 1000)
+    return spark.read.schema("k string, status string").csv(path)
+
+
+@query("SELECT event_id, epoch_us(ts) AS micros FROM events")
+def int96_roundtrip(spark, d):
+    path = work_folder(spark, "int96")
+    tables.write_parquet(table(spark, d, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts")), path, int96=True)
+    return spark.read.parquet(path).select("event_id", F.unix_micros("ts").alias("micros"))
+
+
+@query("SELECT s_suppkey, CAST(CAST(s_acctbal AS DECIMAL(12,2)) AS VARCHAR) AS balance, '2024-01-01' AS day FROM supplier")
+def text_types(spark, d):
+    return tables.as_text_types(table(spark, d, "supplier").select("s_suppkey", F.col("s_acctbal").cast("decimal(12,2)").alias("balance"), F.lit("2024-01-01").cast("date").alias("day")))
+
+
+@query("SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN 'new' ELSE c_name END AS c_name FROM customer WHERE c_custkey % 3 <> 0 OR c_custkey % 2 = 0")
+def remote_upsert(spark, d):
+    import uuid
+
+    url, driver = f"jdbc:derby:memory:{uuid.uuid4().hex};create=true", {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
+    c = table(spark, d, "customer").select("c_custkey", "c_name")
+    sql.write_jdbc(c.where("c_custkey % 3 <> 0"), url, "target", properties=driver, mode="overwrite")
+    changed = c.where("c_custkey % 2 = 0").withColumn("c_name", F.lit("new"))
+    remote.upsert(changed, url, "target", ["c_custkey"], properties=driver)
+    remote.upsert(c.withColumn("c_name", F.lit("ignored")).where("c_custkey % 3 <> 0"), url, "target", ["c_custkey"], update=False, properties=driver)
+    return sql.jdbc(spark, url, "target", properties=driver)
+
+
+@query("SELECT n_name, count(*) AS n FROM (SELECT * FROM nation UNION ALL SELECT * FROM nation WHERE n_nationkey % 2 = 0) GROUP BY n_name")
+def concat_files(spark, d):
+    path = work_folder(spark, "files")
+    n = table(spark, d, "nation")
+    n.write.parquet(f"{path}/a")
+    n.where("n_nationkey % 2 = 0").write.parquet(f"{path}/b")
+    return sql.parquet(spark, f"{path}/*").groupBy("n_name").agg(F.count("*").alias("n"))
+
+
+@query("SELECT CAST(l_linenumber AS BIGINT) AS day, count(*) AS n FROM lineitem WHERE l_linenumber <> 2 GROUP BY l_linenumber")
+def partition_events(spark, d):
+    import uuid
+
+    name, at = f"events_{uuid.uuid4().hex}", work_folder(spark, "events")
+    line = table(spark, d, "lineitem").select("l_orderkey", F.col("l_linenumber").cast("string").alias("day"))
+    tables.sync_table(spark, name, line, ["day"], location=at)
+    line.write.mode("append").partitionBy("day").parquet(at)
+    for (day,) in line.select("day").distinct().collect():  # one row a partition
+        tables.add_partition(spark, name, {"day": day})
+    tables.drop_partition(spark, name, {"day": "2"})
+    spark.table(name).groupBy(F.col("day").cast("long").alias("day")).agg(F.count("*").alias("n")).write.parquet(f"{at}_out")
+    spark.sql(f"DROP TABLE {name}")
+    return spark.read.parquet(f"{at}_out")

@@ -190,9 +190,13 @@ def write_orc(df: DataFrame, path: str, codec: str = "none", stripe_bytes: int =
 
 
 def write_parquet(df: DataFrame, path: str, codec: str = "snappy", block_bytes: int = 128 << 20, int96: bool = False) -> None:
-    kind = "INT96" if int96 else "TIMESTAMP_MICROS"
-    df.sparkSession.conf.set("spark.sql.parquet.outputTimestampType", kind)
-    df.write.option("compression", codec).option("parquet.block.size", str(block_bytes)).parquet(path)
+    name, conf = "spark.sql.parquet.outputTimestampType", df.sparkSession.conf
+    before = conf.get(name)
+    conf.set(name, "INT96" if int96 else "TIMESTAMP_MICROS")
+    try:
+        df.write.option("compression", codec).option("parquet.block.size", str(block_bytes)).parquet(path)
+    finally:
+        conf.set(name, before)
 
 
 def write_csv(df: DataFrame, path: str, header: bool = True, names: list[str] | None = None, sep: str = ",", quote_all: bool = False, date_format: str = "yyyy-MM-dd", timestamp_format: str = "yyyy-MM-dd HH:mm:ss") -> None:
@@ -212,9 +216,3 @@ def lake_writer(df: DataFrame, table: str, provider: str, properties: dict[str,
     for key, value in (properties or {}).items():
         writer = writer.option(f"snapshot-property.{key}", value)
     return writer
-
-
-def pipe_rows(df: DataFrame, command: str, column: str = "value") -> DataFrame:
-    """Rows of text through a command on each partition; a status other than 0 fails the task. Opt-in."""
-    out = df.select(F.col(column).cast("string")).rdd.map(lambda r: r[0] or "").pipe(command, checkCode=True)
-    return df.sparkSession.createDataFrame(out.map(lambda x: (x,)), "value string")
