@@ -11,7 +11,9 @@ from tidewright.sinks import remote, tables
 from tidewright.sources import delimited, sql
 from tidewright.streaming import monitors, upserts
 
-K = F.col("o_orderkey")
+
+def order_key():
+    return F.col("o_orderkey")
 
 
 def _orders(spark, d):
@@ -21,13 +23,13 @@ def _orders(spark, d):
 def _changes(spark, d):
     """Two changes for each third order, one for every other third; the later one wins. Some orders are new."""
     o = _orders(spark, d)
-    new = o.select("o_orderkey", "o_custkey", F.lit("N").alias("o_orderstatus"), F.round(F.col("o_totalprice") * 2, 2).alias("o_totalprice"), (K * 10 + 1).alias("seq"))
-    old = o.where(K % 3 == 0).select("o_orderkey", "o_custkey", F.lit("X").alias("o_orderstatus"), F.col("o_totalprice"), (K * 10).alias("seq"))
-    return new.where(K % 3 != 1).unionByName(old)
+    new = o.select("o_orderkey", "o_custkey", F.lit("N").alias("o_orderstatus"), F.round(F.col("o_totalprice") * 2, 2).alias("o_totalprice"), (order_key() * 10 + 1).alias("seq"))
+    old = o.where(order_key() % 3 == 0).select("o_orderkey", "o_custkey", F.lit("X").alias("o_orderstatus"), F.col("o_totalprice"), (order_key() * 10).alias("seq"))
+    return new.where(order_key() % 3 != 1).unionByName(old)
 
 
 def _base(spark, d):
-    return _orders(spark, d).where(K % 10 < 8)
+    return _orders(spark, d).where(order_key() % 10 < 8)
 
 
 _ROUND2 = "round(o_totalprice * 2, 2)"
@@ -46,14 +48,14 @@ def update(spark, d):
 @query("""SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderkey % 10 < 8 UNION ALL SELECT o_orderkey, 'N' FROM orders WHERE o_orderkey % 10 >= 8 AND o_orderkey % 3 <> 0""")
 def insert(spark, d):
     new = _orders(spark, d).withColumn("o_orderstatus", F.lit("N"))
-    twice = new.unionByName(new.where(K % 3 == 0))
+    twice = new.unionByName(new.where(order_key() % 3 == 0))
     return changes.insert(_base(spark, d), twice, ["o_orderkey"])[0].select("o_orderkey", "o_orderstatus")
 
 
 @query("""SELECT _error, count(*) AS n FROM (SELECT 'duplicate key' AS _error, o_orderkey FROM orders WHERE o_orderkey % 10 < 8 OR o_orderkey % 3 = 0 UNION ALL SELECT 'duplicate key', o_orderkey FROM orders WHERE o_orderkey % 3 = 0) GROUP BY 1""")
 def insert_rejects(spark, d):
     new = _orders(spark, d)
-    return changes.insert(_base(spark, d), new.unionByName(new.where(K % 3 == 0)), ["o_orderkey"])[1].groupBy("_error").agg(F.count("*").alias("n"))
+    return changes.insert(_base(spark, d), new.unionByName(new.where(order_key() % 3 == 0)), ["o_orderkey"])[1].groupBy("_error").agg(F.count("*").alias("n"))
 
 
 @query("""SELECT o_orderkey, CASE WHEN o_orderkey % 10 < 8 THEN o_orderstatus WHEN o_orderkey % 3 = 0 THEN 'X' ELSE 'N' END AS o_orderstatus FROM orders WHERE o_orderkey % 10 < 8 OR o_orderkey % 3 <> 1""")
@@ -63,23 +65,23 @@ def insert_ignore(spark, d):
 
 @query("""SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE o_orderstatus END AS o_orderstatus FROM orders WHERE NOT (o_orderkey % 7 = 0 OR o_orderkey % 5 = 0 AND o_orderstatus = 'O')""")
 def delete_full_row(spark, d):
-    o = _orders(spark, d).select("o_orderkey", F.when(K % 7 != 0, F.col("o_orderstatus")).alias("o_orderstatus"))
-    gone = o.where(K % 7 == 0).unionByName(o.where(K % 5 == 0).select("o_orderkey", F.when(K % 7 != 0, F.lit("O")).alias("o_orderstatus")))
+    o = _orders(spark, d).select("o_orderkey", F.when(order_key() % 7 != 0, F.col("o_orderstatus")).alias("o_orderstatus"))
+    gone = o.where(order_key() % 7 == 0).unionByName(o.where(order_key() % 5 == 0).select("o_orderkey", F.when(order_key() % 7 != 0, F.lit("O")).alias("o_orderstatus")))
     return changes.delete_rows(o, gone)
 
 
 @query("SELECT o_orderkey FROM orders WHERE o_orderkey % 5 <> 0")
 def delete_by_key(spark, d):
     o = _orders(spark, d)
-    return changes.delete_keys(o, o.where(K % 5 == 0), ["o_orderkey"]).select("o_orderkey")
+    return changes.delete_keys(o, o.where(order_key() % 5 == 0), ["o_orderkey"]).select("o_orderkey")
 
 
 def _mixed(spark, d):
     """For key % 6: 0 delete, 1 update, 2 delete then insert, 3 delete then update, 4 upsert then update, 5 insert."""
     o = _orders(spark, d)
-    steps = F.element_at(F.array(*[F.array(*[F.lit(x) for x in row]) for row in (("DELETE",), ("UPDATE",), ("DELETE", "INSERT"), ("DELETE", "UPDATE"), ("UPSERT", "UPDATE"), ("INSERT",))]), (K % 6 + 1).cast("int"))
+    steps = F.element_at(F.array(*[F.array(*[F.lit(x) for x in row]) for row in (("DELETE",), ("UPDATE",), ("DELETE", "INSERT"), ("DELETE", "UPDATE"), ("UPSERT", "UPDATE"), ("INSERT",))]), (order_key() % 6 + 1).cast("int"))
     each = o.select("o_orderkey", "o_custkey", F.posexplode(steps).alias("i", "_op"), "o_totalprice")
-    return each.select("o_orderkey", "o_custkey", F.concat(F.lit("S"), F.col("i").cast("string")).alias("o_orderstatus"), "o_totalprice", "_op", (K * 10 + F.col("i")).alias("seq"))
+    return each.select("o_orderkey", "o_custkey", F.concat(F.lit("S"), F.col("i").cast("string")).alias("o_orderstatus"), "o_totalprice", "_op", (order_key() * 10 + F.col("i")).alias("seq"))
 
 
 @query("""SELECT o_orderkey, CASE o_orderkey % 6 WHEN 1 THEN 'S0' WHEN 2 THEN 'S1' WHEN 4 THEN 'S1' WHEN 5 THEN CASE WHEN o_orderkey % 10 < 8 THEN o_orderstatus ELSE 'S0' END END AS o_orderstatus
@@ -97,7 +99,7 @@ def store_ops(spark, d):
 @query("SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN 'U' ELSE o_orderstatus END AS o_orderstatus FROM orders")
 def ignore_null_update(spark, d):
     o = _orders(spark, d).select("o_orderkey", "o_orderstatus")
-    return changes.update(o, o.select("o_orderkey", F.when(K % 2 == 0, "U").alias("o_orderstatus")), ["o_orderkey"], ignore_null=True)
+    return changes.update(o, o.select("o_orderkey", F.when(order_key() % 2 == 0, "U").alias("o_orderstatus")), ["o_orderkey"], ignore_null=True)
 
 
 @query("SELECT user_id, max(event_id) AS event_id, max_by(event_type, event_id) AS event_type FROM events GROUP BY user_id")
@@ -219,7 +221,7 @@ def partition_transforms(spark, d):
 @query("SELECT CAST(v AS INTEGER) AS version, count(*) AS n, CAST(sum(o_orderkey) AS BIGINT) AS ids FROM orders, (VALUES (0), (1), (2)) AS t(v) WHERE o_orderkey % 3 <= v GROUP BY v")
 def versioned_append(spark, d):
     path = work_folder(spark, "versions")
-    made = [tables.append_version(_orders(spark, d).where(K % 3 == i), path) for i in range(3)]
+    made = [tables.append_version(_orders(spark, d).where(order_key() % 3 == i), path) for i in range(3)]
     each = [tables.read_version(spark, path, v).agg(F.lit(v).alias("version"), F.count("*").alias("n"), F.sum("o_orderkey").alias("ids")) for v in made]
     return each[0].unionByName(each[1]).unionByName(each[2])
 
@@ -228,7 +230,7 @@ def versioned_append(spark, d):
 def compaction(spark, d):
     path = work_folder(spark, "parts")
     for i in range(3):
-        _orders(spark, d).where(K % 3 == i).repartition(4).write.mode("append").parquet(path)
+        _orders(spark, d).where(order_key() % 3 == i).repartition(4).write.mode("append").parquet(path)
     tables.compact(spark, path, f"{path}_one", files=2)
     return spark.read.parquet(f"{path}_one").groupBy("o_orderstatus").agg(F.count("*").alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total"))
 
