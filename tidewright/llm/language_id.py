@@ -11,7 +11,7 @@ the centroids are the fitted model. Every text is classified whole, by tasks tha
 kilobytes, whatever the input).
 
 Null texts and texts without a letter are ``und`` with score 0 and are rejected. With no labelled text at all, every
-text is ``und``. Repeated rows get equal results; an empty table gives an empty result; other columns are left alone.
+text is ``und``, and only those without a letter are rejected. Repeated rows get equal results; an empty table gives an empty result; other columns are left alone.
 """
 
 from __future__ import annotations
@@ -152,7 +152,7 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
     letter = F.coalesce(F.col(text_col).rlike("\\p{L}"), F.lit(False))
     told = docs.select(*fresh, letter.alias("_letter"), predict(F.coalesce(F.col(text_col), F.lit(""))).alias("_p"))
     known = F.col("_letter") & (F.col("_p.lang_pred") != "und")
-    return told.select(*fresh, F.when(known, F.col("_p.lang_pred")).otherwise("und").alias("lang_pred"), F.when(known, F.col("_p.score")).otherwise(0.0).alias("score"), F.when(known, F.col("_p.lang_rejected")).otherwise(True).alias("lang_rejected"))
+    return told.select(*fresh, F.when(known, F.col("_p.lang_pred")).otherwise("und").alias("lang_pred"), F.when(known, F.col("_p.score")).otherwise(0.0).alias("score"), F.when(known, F.col("_p.lang_rejected")).otherwise(~F.col("_letter") if not model.languages else F.lit(True)).alias("lang_rejected"))
 
 
 def _bounded(offsets: np.ndarray):

@@ -139,6 +139,20 @@ def op10_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dups.near_duplicates(table(spark, sf_dir, "documents"), width=3, threshold=0.85)
 
 
+#: All pairs that share a shingle; quick enough on the smaller tables alone.
+OP10_SQL = r"""
+WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, sh FROM (SELECT doc_id, unnest(CASE WHEN len(w) >= 3 THEN list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS sh FROM w)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * k >= 85 * (x.n + y.n - k)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+c AS (SELECT doc_id AS start, doc_id AS node FROM documents UNION SELECT c.start, e.b FROM c JOIN e ON e.a = c.node)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, m.low AS component_id, m.low = d.doc_id AS kept
+FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id JOIN (SELECT start, min(node) AS low FROM c GROUP BY start) m ON m.start = d.doc_id
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_labeller": op1_html_labeller,
     "op2_toxicity": op2_toxicity,
@@ -151,4 +165,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_harmonic_packing": op9_harmonic_packing,
     "op10_hyperminhash": op10_hyperminhash,
 }
-ORACLE_SQL: dict[str, str] = {"op3_chat_format": OP3_SQL, "op8_line_frequency": OP8_SQL}
+ORACLE_SQL: dict[str, str] = {"op3_chat_format": OP3_SQL, "op8_line_frequency": OP8_SQL, "op10_hyperminhash": OP10_SQL}
