@@ -16,5 +16,8 @@ def spark():
         .config("spark.ui.showConsoleProgress", "false").config("spark.driver.memory", "3g").config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="spark-")).config("spark.checkpoint.dir", "file://" + tempfile.mkdtemp(prefix="spark-")).getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
+    from tidewright.shipping import ship
+
+    ship(session)
     yield session
     session.stop()
