@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewright.llm.common import small_batches
 from tidewright.llm.html_blocks import blocks
 
 WIDTH = 192
@@ -60,6 +61,8 @@ def describe(samples: np.ndarray) -> str:
 def features(media: DataFrame) -> DataFrame:
     """One row a digest from stored (digest, media): sizes, digests of the read payload and its features."""
 
+    small_batches(media.sparkSession, 4 << 20)
+
     def run(batches):
         for batch in batches:
             rows = []
@@ -99,14 +102,23 @@ def sequence(html: str) -> list[dict]:
     return out
 
 
+ITEM_ARROW = pa.list_(pa.struct([("position", pa.int32()), *((name, pa.string()) for name in ("kind", "text", "digest", "alt", "caption"))]))
+
+
 def interleave(pages: DataFrame, html_col: str = "html") -> DataFrame:
-    """``pages`` with ``items``, the ordered text and media references of their HTML."""
+    """``pages`` with ``items``, the ordered text and media references of their HTML, in the HTML column's place."""
+    small_batches(pages.sparkSession, 4 << 20)
+    keep = [c for c in pages.columns if c not in (html_col, "items")]
+    schema = pages.select(*keep, F.lit(None).cast(f"array<{ITEM}>").alias("items")).schema
 
-    @F.udf(f"array<{ITEM}>", useArrow=True)
-    def read(html):
-        return sequence(html) if html else []
+    def run(batches):
+        for batch in batches:
+            for a in range(0, batch.num_rows, 256):
+                part = batch.slice(a, 256)
+                items = [sequence(h) if h else [] for h in part.column(len(keep)).to_pylist()]
+                yield pa.RecordBatch.from_arrays([*part.columns[: len(keep)], pa.array(items, ITEM_ARROW)], [*keep, "items"])
 
-    return pages.withColumn("items", read(F.col(html_col)))
+    return pages.select(*keep, html_col).mapInArrow(run, schema)
 
 
 def resolve(pages: DataFrame, media: DataFrame, id_col: str) -> DataFrame:
