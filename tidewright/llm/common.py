@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import tempfile
 import uuid
 
@@ -42,6 +45,14 @@ def small_batches(spark: SparkSession, size: int = 16 << 20) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
 
 
+def tidy() -> None:
+    """Give memory that a finished task no longer needs back to the system, as Python workers outlive their tasks."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # where the C library can't
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def flat_text(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of a text column as one uint8 array, and int64 offsets of its rows (null: empty)."""
     if isinstance(column, pa.ChunkedArray):

@@ -30,12 +30,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewright.llm.common import _BASE, _INVERSE, _powers, flat_text, mix64, slices
+from tidewright.llm.common import _BASE, _INVERSE, _powers, flat_text, mix64, slices, small_batches, tidy
 
 SPACE = "▁"
 LONG = 200
 SEEN_BITS = 22
-KEPT_WORDS = 400_000
+KEPT_WORDS = 150_000
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, BYTE, UNIGRAM, BPE = 1, 2, 3, 4, 6, 1, 2
 
 
@@ -125,7 +125,7 @@ class Vocabulary:
         self.keys, self.ids = keys[order], usable[order].astype(np.int32)
         self.seen = np.zeros(1 << SEEN_BITS, bool)  # most substrings are ruled out by their keys' top bits
         self.seen[keys >> np.uint64(64 - SEEN_BITS)] = True
-        self._forget()
+        self.forget()
         self.unknown = int(np.flatnonzero(self.kinds == UNKNOWN)[0])
         found = {self.pieces[i]: i for i in np.flatnonzero(self.kinds == BYTE)}
         self.bytes = [int(found[f"<0x{b:02X}>"]) for b in range(256)] if len(found) == 256 else None
@@ -241,14 +241,14 @@ class Vocabulary:
             return [piece]
         return [self.bytes[b] for b in text.encode()] if self.bytes else [self.unknown]
 
-    def _forget(self) -> None:
+    def forget(self) -> None:
         self.place: dict[str, int] = {}
         self.values, self.sizes = np.zeros(0, np.uint32), np.zeros(0, np.int64)
 
     def places(self, texts: list[str]) -> np.ndarray:
         """Places of words in ``values`` and ``sizes``, which keep what earlier batches found until there is too much."""
         if len(self.place) > KEPT_WORDS:
-            self._forget()
+            self.forget()
         missing = [x for x in texts if x not in self.place]
         if missing:
             values, sizes = self.words([x.replace(" ", SPACE) for x in missing])
@@ -288,7 +288,7 @@ class Vocabulary:
         owner = np.concatenate(owners)
         return np.concatenate(found)[np.argsort(owner, kind="stable")], np.bincount(owner, minlength=len(texts))
 
-    def encode(self, column: pa.Array, limit: int = 16 << 20):
+    def encode(self, column: pa.Array, limit: int = 4 << 20):
         """Yield (first row, ids, offsets) for row ranges of about ``limit`` bytes of a text column (null: empty)."""
         text = pc.replace_substring(pc.fill_null(column.cast(pa.large_string()), ""), SPACE, " ")
         if self.prefix:
@@ -329,7 +329,10 @@ def encode(docs: DataFrame, model_path: str, text_col: str = "text", out_col: st
                 n = len(at) - 1
                 rows = pa.array([ids[at[i] : at[i + 1]].astype("<u4").tobytes() for i in range(n)], pa.binary())
                 yield pa.RecordBatch.from_arrays([*(batch.column(i).slice(a, n) for i in range(len(keep))), rows], [*keep, out_col])
+        vocabulary.forget()
+        tidy()
 
+    small_batches(docs.sparkSession, 4 << 20)
     return docs.select(*keep, text_col).mapInArrow(run, schema)
 
 
@@ -338,6 +341,8 @@ def decode(docs: DataFrame, model_path: str, ids_col: str = "ids", out_col: str
     keep = [c for c in docs.columns if c != out_col]
     schema = docs.select(*keep, F.lit("").alias(out_col)).schema
 
+    small_batches(docs.sparkSession, 4 << 20)
+
     def run(batches):
         vocabulary = Vocabulary.of(model_path)
         for batch in batches:
