@@ -25,6 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewright.llm.common import small_batches, tidy
 from tidewright.llm.html_blocks import Block, blocks
 
 PATH_ROWS, WORD_ROWS, DIM, HIDDEN, FIGURES = 512, 1024, 12, 16, 6
@@ -255,7 +256,9 @@ def made_pages(texts: list[str], n: int, seed: int = 11) -> list[tuple[list[Bloc
 
 def fit(pages: DataFrame, sample: int = 200, made: int = 900, html_col: str = "html", id_col: str = "url") -> Network:
     """A network from at most ``sample`` of the pages, those whose ids hash lowest, and ``made`` pages of their texts."""
-    some = pages.where(F.length(html_col) > 0).select(F.xxhash64(F.col(id_col)).alias("k"), F.col(html_col).alias("html")).orderBy("k", "html").limit(sample).collect()
+    hashed = pages.where(F.length(html_col) > 0).withColumn("_k", F.xxhash64(F.col(id_col)))
+    last = hashed.select("_k").orderBy("_k").limit(sample).agg(F.max("_k")).first()[0]  # numbers alone leave the tasks
+    some = hashed.where(F.col("_k") <= F.lit(last)).select("_k", F.col(html_col).alias("html")).orderBy("_k", "html").limit(sample).collect()
     real = [b for b in (blocks(x.html) for x in some) if b]
     if not real:
         return Network.fresh()
@@ -295,5 +298,7 @@ def extract(pages: DataFrame, net: Network, html_col: str = "html") -> DataFrame
                 found = [blocks(h) if h else [] for h in part.column(part.schema.get_field_index(html_col)).to_pylist()]
                 texts = ["\n\n".join(b.text for b, s in zip(page, scores, strict=True) if s >= 0.5) for page, scores in zip(found, labelled(spread.value, found), strict=True)]
                 yield pa.RecordBatch.from_arrays([*(part.column(part.schema.get_field_index(c)) for c in keep), pa.array(texts, pa.string()), pa.array([len(p) for p in found], pa.int64())], [*keep, "text", "n_blocks"])
+        tidy()
 
+    small_batches(pages.sparkSession, 8 << 20)
     return pages.select(*keep, html_col).mapInArrow(run, schema)
