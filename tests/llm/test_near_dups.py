@@ -124,19 +124,22 @@ def test_tiles_find_the_pairs_of_all_rows():
     r = np.random.default_rng(5)
     n = 300
     group = np.sort(r.integers(0, 20, n))
-    bands = r.integers(0, 3, (n, near_dups.BANDS)).astype(np.int64)
+    bands = r.integers(0, 3, (n, near_dups.BANDS + near_dups.PARITY_WORDS)).astype(np.int64)
+    bands[:, near_dups.BANDS :] = r.integers(0, 1 << 3, (n, near_dups.PARITY_WORDS))
     band, diagonal = group % 4, group % 3 == 0
     bands[np.arange(n), band] = group
     side, rep, label = r.integers(0, 2, n), r.permutation(n), r.integers(0, 40, n)
     size, can = r.integers(80, 120, n), None
     can = size - r.integers(0, 30, n)
     got = near_dups.tile_pairs(group, band, diagonal, side, rep, label, size, can, bands, 50)
-    wide, expected = bands.view(np.uint16).reshape(n, -1), set()
+    wide, odd, expected = np.ascontiguousarray(bands[:, : near_dups.BANDS]).view(np.uint16).reshape(n, -1), bands[:, near_dups.BANDS :], set()
     for i in range(n):
         for j in range(i + 1, n):
             m = min(can[i], can[j])
             if group[i] != group[j] or label[i] == label[j] or not (diagonal[i] or side[i] != side[j]) or m < 0.5 * (size[i] + size[j] - m):
                 continue
+            if sum((int(x) & (1 << 64) - 1).bit_count() for x in odd[i] ^ odd[j]) > (size[i] + size[j]) / 3:
+                continue
             same, full = near_dups.matching(wide[i], wide[j])
             first = next(k for k in range(near_dups.BANDS) if bands[i, k] == bands[j, k])
             if near_dups.estimate(same, full) >= near_dups.floor_of(0.5, full) and first == band[i]:
@@ -144,6 +147,15 @@ def test_tiles_find_the_pairs_of_all_rows():
     assert {tuple(x) for x in got.tolist()} == expected and len(got) == len(expected)
 
 
+def test_parities_never_exceed_the_difference():
+    r = np.random.default_rng(3)
+    for n in (0, 1, 30, 400, 5000):
+        both, one, two = (r.integers(0, 2**63, k, dtype=np.uint64) * np.uint64(2) + np.uint64(1) * r.integers(0, 2, k, dtype=np.uint64) for k in (n, n // 9, n // 7))
+        s = near_dups.parities(np.concatenate((both, one, both, two)), np.array([0, n + n // 9, 2 * n + n // 9 + n // 7]))
+        d = near_dups.least_difference(s[:1], s[1:])[0]
+        assert d <= n // 9 + n // 7 and (n > 500 or d >= 0.7 * (n // 9 + n // 7))
+
+
 def test_components_of_paths_and_stars(spark):
     edges = [(i, i + 1) for i in range(0, 60)] + [(100, k) for k in range(101, 140)] + [(7, 7), (60, 59)]
     got = {r.node: r.label for r in near_dups.components(spark.createDataFrame(edges, "a long, b long")).collect()}

@@ -9,12 +9,12 @@ Steps, each on what the one before left:
 
 1. Documents with equal sets form a class; only class representatives go on. Copies cost one row each.
 2. Bands with two or more classes stay. Each band's leader is its most central member, the one with the most company
-   over all its bands. Members are compared with leaders: by the collision-corrected sketch estimate, then, unless that
-   is 4 standard errors below the threshold, on whole sets. Linear in the rows of the bands.
+   over all its bands. Members are compared with the leaders that they meet in most bands: by the collision-corrected sketch estimate, then, unless that
+   is 5 standard errors below the threshold, on whole sets. Linear in the rows of the bands.
 3. Connected components of the links so far. Pairs inside one component need no more work. For bands that still span
    components: a shingle that only one of their members has can't be shared, which bounds a member's similarity to any
    other; members that can't reach the threshold leave. The rest are compared by bounds and estimates in square blocks
-   of bounded size, across components only, each pair in the first band that it shares; whole sets confirm.
+   of bounded size (members by the parity of 1024 bits bound two sets' difference from below, without error), across components only, each pair in the first band that it shares; whole sets confirm.
 4. Components of all links; copies get their class's component.
 
 Pairs are never listed within a component or within a group of copies, and no bucket is capped.
@@ -32,11 +32,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewright.llm.common import flat_text, mix64, slices, small_batches, span_hashes, word_spans, written
+from tidewright.llm.common import flat_text, mix64, slices, small_batches, span_hashes, tidy, word_spans, written
 
 BUCKET_BITS, MANTISSA_BITS, BAND = 7, 10, 4
 REGISTERS, BANDS = 1 << BUCKET_BITS, (1 << BUCKET_BITS) // BAND
+#: 64-bit words of a set's parities, which stand after its bands.
+PARITY_WORDS = 16
 EMPTY = 0xFFFF
+#: How many leaders a member is compared with before components are formed; it meets at most one in each band.
+LEADERS = 2
 #: Chance that two different minima get one register value; see the HyperMinHash paper, for sets of any size here.
 COLLISION = 0.17 / (1 << MANTISSA_BITS)
 
@@ -82,6 +86,25 @@ def sketches(h: np.ndarray, at: np.ndarray) -> np.ndarray:
     return out.reshape(n, REGISTERS)
 
 
+def parities(h: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """For each set, the parity of how many members fall to each of 1024 bits (rows x 16, int64)."""
+    n = len(at) - 1
+    out = np.zeros(n * PARITY_WORDS, np.uint64)
+    bit = h & np.uint64(64 * PARITY_WORDS - 1)
+    np.bitwise_xor.at(out, np.repeat(np.arange(n), np.diff(at)) * PARITY_WORDS + (bit >> np.uint64(6)).astype(np.int64), np.uint64(1) << (bit & np.uint64(63)))
+    return out.view(np.int64).reshape(n, PARITY_WORDS)
+
+
+def least_difference(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Per row a lower bound of the symmetric difference: every parity that differs needs a member of one set alone."""
+    return np.bitwise_count((a ^ b).astype(np.uint64)).sum(-1, dtype=np.int64)  # signed numbers would count their absolute values
+
+
+def most_difference(sizes: np.ndarray, threshold: float) -> np.ndarray:
+    """The largest symmetric difference of two similar sets, from the sum of their sizes."""
+    return (1 - threshold) / (1 + threshold) * sizes + 1e-6
+
+
 def matching(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Per row: how many registers agree, and how many either holds."""
     full = (a != EMPTY) | (b != EMPTY)
@@ -94,8 +117,8 @@ def estimate(same: np.ndarray, full: np.ndarray) -> np.ndarray:
 
 
 def floor_of(threshold: float, full: np.ndarray) -> np.ndarray:
-    """The lowest estimate, 4 standard errors below the threshold, that still goes to the whole sets."""
-    return threshold - 4 * np.sqrt(threshold * (1 - threshold) / np.maximum(full, 1))
+    """The lowest estimate, 5 standard errors below the threshold, that still goes to the whole sets."""
+    return threshold - 5 * np.sqrt(threshold * (1 - threshold) / np.maximum(full, 1))
 
 
 SET_ROWS = "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>"
@@ -112,11 +135,12 @@ def _sketched(docs: DataFrame, width: int) -> DataFrame:
                 for salt in (0x51ED270B, 0x2545F491):  # two sums of mixed members: a 128-bit fingerprint of the set
                     total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix64(h + np.uint64(salt)), dtype=np.uint64)))
                     prints.append((total[at[1:]] - total[at[:-1]]).view(np.int64))
-                bands = np.ascontiguousarray(sketches(h, at)).view(np.int64).reshape(-1)
+                bands = np.concatenate((np.ascontiguousarray(sketches(h, at)).view(np.int64).reshape(b - a, BANDS), parities(h, at)), 1).reshape(-1)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, b - a).cast(pa.int64()), pa.array(n, pa.int64()), pa.array(prints[0]), pa.array(prints[1]), pa.ListArray.from_arrays(pa.array(np.arange(0, (b - a + 1) * BANDS, BANDS), pa.int32()), pa.array(bands))],
+                    [batch.column(0).slice(a, b - a).cast(pa.int64()), pa.array(n, pa.int64()), pa.array(prints[0]), pa.array(prints[1]), pa.ListArray.from_arrays(pa.array(np.arange(b - a + 1) * (BANDS + PARITY_WORDS), pa.int32()), pa.array(bands))],
                     ["doc_id", "n_shingles", "set_a", "set_b", "bands"],
                 )
+        tidy()
 
     return docs.mapInArrow(run, SET_ROWS)
 
@@ -131,6 +155,7 @@ def _sets(docs: DataFrame, width: int) -> DataFrame:
                 h, at = shingle_sets(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], width)
                 rows = [h[at[i] : at[i + 1]].tobytes() for i in range(b - a)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a).cast(pa.int64()), pa.array(rows, pa.binary())], ["rep", "shingles"])
+        tidy()
 
     return docs.mapInArrow(run, "rep long, shingles binary")
 
@@ -163,15 +188,16 @@ def _promising(threshold_pct: int) -> Column:
     """Whether sketches x and y may belong to similar sets."""
 
     @F.pandas_udf("boolean")
-    def near(x: pd.Series, y: pd.Series) -> pd.Series:
-        out = []
+    def near(x: pd.Series, y: pd.Series, sizes: pd.Series) -> pd.Series:
+        out, t = [], threshold_pct / 100
         for i in range(0, len(x), 4096):
-            one, two = (np.stack(v.iloc[i : i + 4096].to_numpy()).view(np.uint16) for v in (x, y))
-            same, full = matching(one, two)
-            out.append(estimate(same, full) >= floor_of(threshold_pct / 100, full))
+            one, two = (np.stack(v.iloc[i : i + 4096].to_numpy()) for v in (x, y))
+            same, full = matching(*(np.ascontiguousarray(v[:, :BANDS]).view(np.uint16) for v in (one, two)))
+            small = least_difference(one[:, BANDS:], two[:, BANDS:]) <= most_difference(sizes.iloc[i : i + 4096].to_numpy(), t)
+            out.append(small & (estimate(same, full) >= floor_of(t, full)))
         return pd.Series(np.concatenate(out) if out else [], dtype=bool)
 
-    return near("x", "y")
+    return near("x", "y", F.col("n_a") + F.col("n_b"))
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 100) -> DataFrame:
@@ -211,6 +237,7 @@ def tile_pairs(group: np.ndarray, band: np.ndarray, diagonal: np.ndarray, side:
     """
     t, out = threshold_pct / 100, []
     end = np.searchsorted(group, group, "right")
+    bands, odd = np.ascontiguousarray(bands[:, :BANDS]), np.ascontiguousarray(bands[:, BANDS:])
     wide = bands.view(np.uint16).reshape(len(bands), REGISTERS)
     active, d = np.arange(len(group)), 1
     while True:
@@ -223,6 +250,8 @@ def tile_pairs(group: np.ndarray, band: np.ndarray, diagonal: np.ndarray, side:
         x, y, d = x[ok], y[ok], d + 1
         for i in range(0, len(x), PAIRS):
             p, q = x[i : i + PAIRS], y[i : i + PAIRS]
+            small = least_difference(odd[p], odd[q]) <= most_difference(n[p] + n[q], t)
+            p, q = p[small], q[small]
             same, full = matching(wide[p], wide[q])
             good = estimate(same, full) >= floor_of(t, full)
             p, q = p[good], q[good]
@@ -241,8 +270,8 @@ def _tiles(threshold_pct: int):
         new = np.zeros(len(rows), bool)
         for name in ("band", "key", "i", "j"):
             new[1:] |= c[name][1:] != c[name][:-1]
-        bands = rows.column("bands").combine_chunks().flatten().to_numpy().reshape(len(rows), BANDS)
-        found = tile_pairs(np.cumsum(new), c["band"], c["i"] == c["j"], c["side"], c["rep"], c["label"], c["n"], c["can"], np.ascontiguousarray(bands), threshold_pct)
+        bands = rows.column("bands").combine_chunks().flatten().to_numpy().reshape(len(rows), BANDS + PARITY_WORDS)
+        found = tile_pairs(np.cumsum(new), c["band"], c["i"] == c["j"], c["side"], c["rep"], c["label"], c["n"], c["can"], bands, threshold_pct)
         return pa.RecordBatch.from_arrays([pa.array(found[:, 0], pa.int64()), pa.array(found[:, 1], pa.int64())], ["a", "b"])
 
     def run(batches):
@@ -276,12 +305,16 @@ def near_duplicates(docs: DataFrame, width: int = 5, threshold: float = 0.8, id_
     # bands are a function of the set, so any member's will do
     classes = full.groupBy("set_a", "set_b").agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n"), F.min("bands").alias("bands"))
     classes = written(classes, "classes")
-    keyed = classes.select("rep", F.posexplode("bands").alias("band", "key")).where("key <> -1")
+    keyed = classes.select("rep", F.posexplode(F.slice("bands", 1, BANDS)).alias("band", "key")).where("key <> -1")
     shared = keyed.groupBy("band", "key").agg(F.count("*").alias("size")).where("size > 1")
     live = written(keyed.join(shared, ["band", "key"]), "bands")
     company = live.groupBy("rep").agg(F.sum("size").alias("company"))
     leaders = live.join(company, "rep").groupBy("band", "key").agg(F.max_by("rep", F.struct("company", -F.col("rep"))).alias("leader"))
-    stars = live.join(leaders, ["band", "key"]).where("rep <> leader").select(F.least("rep", "leader").alias("a"), F.greatest("rep", "leader").alias("b")).distinct()
+    met = live.join(leaders, ["band", "key"]).where("rep <> leader").groupBy("rep", "leader").agg(F.count("*").alias("shared"))
+    # the leaders that a member meets in most bands are the likeliest links; step 3 makes up for the others
+    likely = met.groupBy("rep").agg(F.slice(F.sort_array(F.collect_list(F.struct("shared", F.expr("-leader").alias("low"))), False), 1, LEADERS).alias("top"))
+    stars = likely.select("rep", F.explode("top.low").alias("low")).select("rep", F.expr("-low").alias("leader"))
+    stars = stars.select(F.least("rep", "leader").alias("a"), F.greatest("rep", "leader").alias("b")).distinct()
     sketch = classes.join(company.select("rep"), "rep", "left_semi").select("rep", "bands", "n")
     near = stars.join(sketch.select(F.col("rep").alias("a"), F.col("bands").alias("x"), F.col("n").alias("n_a")), "a").join(sketch.select(F.col("rep").alias("b"), F.col("bands").alias("y"), F.col("n").alias("n_b")), "b")
     near = near.where(100 * F.least("n_a", "n_b") >= pct * F.greatest("n_a", "n_b")).where(_promising(pct)).select("a", "b")
@@ -313,7 +346,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, threshold: float = 0.8, id_
 
     known = classes.select("set_a", "set_b", "rep").join(labels, "rep", "left").select("set_a", "set_b", F.coalesce("label", "rep").alias("component"))
     each = rows.join(known, ["set_a", "set_b"], "left")
-    component = F.when(F.col("n_shingles") > 0, F.coalesce("component", "doc_id")).otherwise(F.col("doc_id"))
+    linked = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
+    component = F.when(linked, F.coalesce("component", "doc_id")).otherwise(F.col("doc_id"))
     return each.select("doc_id", "n_shingles", component.alias("component_id"), (component.eqNullSafe(F.col("doc_id"))).alias("kept"))
 
 
