@@ -41,16 +41,16 @@ class Encoder:
 
     _made: dict[str, Encoder] = {}
 
-    def __init__(self, path: str, cache: int = 400_000):
+    def __init__(self, path: str, cache: int = 200_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.model, self.cache_size = self.tokenizer.model, cache
-        self._forget()
+        self.forget()
 
-    def _forget(self) -> None:
+    def forget(self) -> None:
         self.place: dict[str, int] = {}
         self.values, self.ends = array("I"), array("q", [0])
 
@@ -68,7 +68,7 @@ class Encoder:
     def _pieces(self, texts: list[str]) -> np.ndarray:
         """Places of the texts' ids in ``values``; keeps them for later batches until there are too many."""
         if len(self.place) > self.cache_size:
-            self._forget()
+            self.forget()
         missing = [x for x in texts if x not in self.place]
         other = []
         for x in missing:
@@ -103,7 +103,7 @@ class Encoder:
         at += np.arange(len(at), dtype=np.int32)
         return values[at], out[np.searchsorted(bounds, offsets)]
 
-    def encode(self, column: pa.Array, limit: int = 16 << 20):
+    def encode(self, column: pa.Array, limit: int = 4 << 20):
         """Yield (first row, ids, offsets) for row ranges of about ``limit`` bytes of a text column (null: empty)."""
         data, offsets = flat_text(column)
         for a, b in slices(offsets, limit):

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewright.llm.common import flat_text, slices
+from tidewright.llm.common import flat_text, slices, small_batches
 
 #: Byte classes: letters keep a code (lower case; bytes of longer characters their own), all else is a word end.
 _FOLD = np.zeros(256, np.uint32)
@@ -71,11 +71,14 @@ class Model:
 
 
 def fit(counts: np.ndarray, languages: list[str], per_language: int = 4, rounds: int = 12, reject_share: float = 0.001, slack: float = 0.25) -> Model:
-    """Centroids of TF-IDF vectors by spherical k-means, started from spread-out texts, deterministically."""
+    """Centroids of TF-IDF vectors by spherical k-means, started from spread-out texts, deterministically. ``counts`` is
+    used up."""
     names = sorted(set(languages))
     y = np.array([names.index(x) for x in languages], int)
-    idf = (np.log((1 + len(counts)) / (1 + (counts > 0).sum(0))) + 1).astype(np.float32) if len(counts) else np.ones(BUCKETS, np.float32)
-    x = _unit(_damped(counts) * idf) if len(counts) else np.zeros((0, BUCKETS), np.float32)
+    idf = (np.log((1 + len(counts)) / (1 + np.count_nonzero(counts, axis=0))) + 1).astype(np.float32)
+    x = np.log1p(counts, out=counts)  # in place: the driver has little memory
+    x *= idf
+    x /= np.maximum(np.sqrt(np.einsum("ij,ij->i", x, x)), 1e-9)[:, None]
     centroids, owner, least = [], [], []
     for k, _ in enumerate(names):
         own = x[y == k]
@@ -117,24 +120,26 @@ def train(docs: DataFrame, learn: Column, sample: int = 4000, id_col: str = "doc
     for kind in kinds:
         low = low | ((F.col(lang_col) == kind[lang_col]) & (place < int(min(1.0, each / kind["n"]) * (1 << 20))))
     chosen = labelled.where(low & F.col(text_col).isNotNull()).select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
-    rows = [(x.lang, x) for x in chosen.mapInArrow(_counts, "lang string, counts binary").collect()]
+    small_batches(docs.sparkSession, 8 << 20)
+    rows = chosen.mapInArrow(_counts, "lang string, counts binary").collect()
     counts = np.zeros((len(rows), BUCKETS), np.float32)
-    for i, (_, x) in enumerate(rows):
+    for i, x in enumerate(rows):
         pairs = np.frombuffer(x.counts, np.uint32).reshape(2, -1)
         counts[i, pairs[0]] = pairs[1]
-    return fit(counts, [x for x, _ in rows], **options)
+    return fit(counts, [x.lang for x in rows], **options)
 
 
 def _counts(batches):
     for batch in batches:
         data, offsets = flat_text(batch.column(0))
-        for a, b in slices(offsets, 1 << 20):
+        for a, b in _bounded(offsets):
             counts = ngram_counts(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
             yield pa.RecordBatch.from_arrays([batch.column(1).slice(a, b - a), pa.array([np.concatenate((at := np.flatnonzero(c), c[at])).astype(np.uint32).tobytes() for c in counts], pa.binary())], ["lang", "counts"])
 
 
 def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """``docs`` with lang_pred, score and lang_rejected. A letter is any Unicode letter."""
+    small_batches(docs.sparkSession, 8 << 20)
     spread = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("lang_pred string, score double, lang_rejected boolean")
@@ -148,6 +153,7 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
         names = np.array(m.languages or ["und"], object)[lang]
         return pd.DataFrame({"lang_pred": names, "score": score, "lang_rejected": margin < 0})
 
+    predict = predict.asNondeterministic()  # else a filter on its result is pushed down and evaluates it twice
     fresh = [c for c in docs.columns if c not in {"lang_pred", "score", "lang_rejected"}]
     letter = F.coalesce(F.col(text_col).rlike("\\p{L}"), F.lit(False))
     told = docs.select(*fresh, letter.alias("_letter"), predict(F.coalesce(F.col(text_col), F.lit(""))).alias("_p"))

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewright.llm.bpe_ids import Encoder
+from tidewright.llm.common import small_batches, tidy
 
 PIECES = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
 
@@ -127,5 +128,8 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int
                 yield rows()
         packer.finish()
         yield rows()
+        encoder.forget()
+        tidy()
 
+    small_batches(docs.sparkSession, 8 << 20)
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, PIECES)

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewright.llm.bpe_ids import Encoder
-from tidewright.llm.common import shared_folder
+from tidewright.llm.common import shared_folder, small_batches, tidy
 
 #: Fixed values of the seekable zstandard format.
 IDS_MAGIC, SEEK_MAGIC, SEEK_FOOTER = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
@@ -126,7 +126,10 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, folder: str | None =
         if out is not None:
             done.append(out.close())
         yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in done], pa.string()), pa.array([part] * len(done), pa.int32()), pa.array(range(len(done)), pa.int32()), pa.array([x[1] for x in done], pa.int64()), pa.array([x[2] for x in done], pa.int64())], ["file", "part", "part_file", "n_docs", "n_ids"])
+        encoder.forget()
+        tidy()
 
+    small_batches(spark, 8 << 20)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     rows = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))
     rows.mapInArrow(write, MANIFEST).write.parquet(f"{folder}/manifest")
