@@ -1,3 +1,4 @@
+import os
 import random
 import re
 
@@ -133,6 +134,25 @@ def test_language_of_held_out_texts(spark):
     assert {x.lang_pred for x in language_id.identify(odd, none).collect()} == {"und"}
 
 
+FOREIGN = [
+    "Nel mezzo del cammin di nostra vita mi ritrovai per una selva oscura che la diritta via era smarrita", "Het is een mooie dag en wij gaan naar het strand om te zwemmen met de kinderen van onze buren",
+    "Det var en gång en liten flicka som bodde i skogen med sin mormor och hennes katt", "Olipa kerran pieni tyttö joka asui metsässä isoäitinsä kanssa ja he kävivät usein järvellä",
+    "Bir zamanlar ormanda büyükannesi ile yaşayan küçük bir kız vardı ve her gün göle yüzmeye giderlerdi", "Lorem ipsum dolor sit amet consectetur adipiscing elit sed do eiusmod tempor incididunt ut labore",
+    "从前有一个小女孩和她的外婆住在森林里每当天气暖和的时候她们就去湖里游泳", "zq xj " * 50, "aGVsbG8gd29ybGQgdGhpcyBpcyBiYXNlNjQgbm9pc2UK" * 6,
+]
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="no test tables")
+def test_foreign_texts_are_rejected_and_known_ones_stay(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = language_id.train(docs, F.col("doc_id") % 4 != 2)
+    assert (model.least > 0).all()
+    known = [x.lang_rejected for x in language_id.identify(docs, model).where("doc_id % 4 = 2").collect()]
+    assert len(known) > 200 and np.mean(known) < 0.01
+    odd = spark.createDataFrame([(x[:cut], cut) for x in FOREIGN for cut in (40, 1000)], "text string, cut int")
+    assert [x.text for x in language_id.identify(odd, model).collect() if not x.lang_rejected] == []
+
+
 def test_toxicity_of_held_out_texts(spark):
     docs = labelled_docs(spark)
     model = toxicity.fit(docs.where("doc_id % 4 <> 2"))

@@ -3,8 +3,10 @@
 A text's vector counts its byte n-grams (2 and 3 bytes, A-Z lowered, digits and marks left out, word ends kept) in
 hashed buckets, damped by a logarithm, weighted by inverse document frequency and scaled to length 1. Each language has
 several centroids, found by spherical k-means over its training vectors; a text gets the language of the centroid with
-the largest cosine. The score turns the two best languages' cosines into a number from 0 to 1. A text that is further
-from its centroid than all but ``reject_share`` of that centroid's training texts, less ``slack``, is rejected.
+the largest cosine. The score turns the two best languages' cosines into a number from 0 to 1. A text is rejected if its
+cosine is below ``reject_below`` times the median cosine of its centroid's training texts of about the same length.
+Short texts have few n-grams and small cosines, so each binary order of different n-grams has its own median. Clusters
+with less than ``least_share`` of a language's texts are dissolved, so no centroid or median stands on a few odd texts.
 
 Training takes about ``sample`` labelled texts, those whose ids hash lowest, so it is bounded and repeats. The IDF and
 the centroids are the fitted model. Every text is classified whole, by tasks that each get the model (a few hundred
@@ -32,6 +34,8 @@ _FOLD[97:123] = np.arange(1, 27)
 _FOLD[65:91] = np.arange(1, 27)
 _FOLD[128:] = np.arange(27, 155)
 BUCKETS = 1 << 13
+#: Length bins, and how many training texts a bin needs for a median of its own.
+BINS, ENOUGH = 14, 20
 
 
 def ngram_counts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -66,48 +70,84 @@ class Model:
     idf: np.ndarray
     centroids: np.ndarray
     owner: np.ndarray  # language index of each centroid
-    least: np.ndarray  # cosine below which a text is rejected, for each centroid
+    least: np.ndarray  # cosine below which a text is rejected, for each centroid and length bin
     languages: list[str]
 
 
-def fit(counts: np.ndarray, languages: list[str], per_language: int = 4, rounds: int = 12, reject_share: float = 0.001, slack: float = 0.25) -> Model:
-    """Centroids of TF-IDF vectors by spherical k-means, started from spread-out texts, deterministically. ``counts`` is
-    used up."""
+def _bins(counts: np.ndarray) -> np.ndarray:
+    """Length bin of each row: the binary logarithm of how many different n-grams it has."""
+    some = np.array([np.count_nonzero(row) for row in counts], int)
+    return np.minimum(np.log2(np.maximum(some, 1)).astype(int), BINS - 1)
+
+
+def _clusters(own: np.ndarray, wanted: int, rounds: int, least_share: float) -> np.ndarray:
+    """Spherical k-means from random texts. Clusters with less than ``least_share`` of the texts are dissolved, the smallest first."""
+    means = own[np.sort(np.random.default_rng(17).choice(len(own), min(wanted, len(own)), replace=False))]
+    while True:
+        for _ in range(rounds):
+            near = (own @ means.T).argmax(1)
+            means = _unit(np.array([own[near == j].mean(0) if (near == j).any() else means[j] for j in range(len(means))]))
+        sizes = np.bincount((own @ means.T).argmax(1), minlength=len(means))
+        if len(means) == 1 or sizes.min() >= max(2, least_share * len(own)):
+            return means
+        means = np.delete(means, sizes.argmin(), axis=0)
+
+
+def _bounds(groups: list[tuple[np.ndarray, np.ndarray]], reject_below: float) -> np.ndarray:
+    """The rejection bound of each length bin. ``groups`` has cosines and bins of a centroid's texts, its language's and
+    all texts'; a bin takes its median from the first group with ``ENOUGH`` texts there."""
+    out = np.full(BINS, np.nan)
+    for b in range(BINS):
+        for cos, bins in groups:
+            if np.count_nonzero(bins == b) >= ENOUGH:
+                out[b] = reject_below * np.median(cos[bins == b])
+                break
+    if np.isnan(out).all():
+        cos, bins = groups[0]
+        out[int(np.median(bins))] = reject_below * np.median(cos)
+    known = np.flatnonzero(~np.isnan(out))
+    for b in range(known[0] - 1, -1, -1):
+        out[b] = out[b + 1] / np.sqrt(2)  # the cosine of a short text grows with the root of its n-grams
+    for b in range(known[0], BINS):
+        out[b] = out[b - 1] if np.isnan(out[b]) else out[b]
+    return out
+
+
+def fit(counts: np.ndarray, languages: list[str], per_language: int = 4, rounds: int = 12, least_share: float = 0.05, reject_below: float = 0.5) -> Model:
+    """Centroids of TF-IDF vectors by spherical k-means, deterministically. ``counts`` is used up."""
     names = sorted(set(languages))
     y = np.array([names.index(x) for x in languages], int)
     idf = (np.log((1 + len(counts)) / (1 + np.count_nonzero(counts, axis=0))) + 1).astype(np.float32)
+    bins = _bins(counts)
     x = np.log1p(counts, out=counts)  # in place: the driver has little memory
     x *= idf
     x /= np.maximum(np.sqrt(np.einsum("ij,ij->i", x, x)), 1e-9)[:, None]
-    centroids, owner, least = [], [], []
+    centroids, owner, nearest = [], [], []
     for k, _ in enumerate(names):
         own = x[y == k]
-        chosen = [_unit(own.mean(0, keepdims=True))[0]]
-        while len(chosen) < min(per_language, len(own)):
-            chosen.append(own[np.argmin((own @ np.array(chosen).T).max(1))])
-        means = np.array(chosen)
-        for _ in range(rounds):
-            near = (own @ means.T).argmax(1)
-            means = _unit(np.array([own[near == j].mean(0) if (near == j).any() else means[j] for j in range(len(means))]))
+        means = _clusters(own, per_language, rounds, least_share)
         cos = own @ means.T
         near = cos.argmax(1)
-        for j in range(len(means)):
-            mine = cos[near == j, j]
-            if len(mine):
-                centroids.append(means[j])
-                owner.append(k)
-                least.append(float(np.quantile(mine, reject_share)) - slack)
-    return Model(idf, np.array(centroids, np.float32).reshape(-1, BUCKETS), np.array(owner, int), np.array(least), names)
+        nearest.append((cos.max(1), bins[y == k], near))
+        centroids.extend(means)
+        owner.extend([k] * len(means))
+    every = tuple(np.concatenate([n[i] for n in nearest]) for i in (0, 1)) if nearest else None
+    least = []
+    for cos, own_bins, near in nearest:
+        for j in range(near.max() + 1):  # no cluster is empty
+            least.append(_bounds([(cos[near == j], own_bins[near == j]), (cos, own_bins), every], reject_below))
+    return Model(idf, np.array(centroids, np.float32).reshape(-1, BUCKETS), np.array(owner, int), np.array(least).reshape(-1, BINS), names)
 
 
 def classify(model: Model, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Language index, score and cosine margin over the rejection bound of each row."""
+    bins = _bins(counts)
     cos = _unit(_damped(counts) * model.idf) @ model.centroids.T
     best = cos.argmax(1)
     by = np.stack([cos[:, model.owner == k].max(1) if (model.owner == k).any() else np.full(len(cos), -1.0) for k in range(len(model.languages))], 1)
     top = by.max(1)
     share = np.exp(20 * (by - top[:, None]))
-    return model.owner[best], 1 / share.sum(1), top - model.least[best]
+    return model.owner[best], 1 / share.sum(1), top - model.least[best, bins]
 
 
 def train(docs: DataFrame, learn: Column, sample: int = 4000, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", **options) -> Model:
