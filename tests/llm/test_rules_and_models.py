@@ -1,6 +1,7 @@
 import os
 import random
 import re
+import tempfile
 
 import numpy as np
 import pyarrow as pa
@@ -83,6 +84,37 @@ def test_chat_layouts(spark):
     }
 
 
+def test_turns_without_an_order_stay_and_come_last(spark):
+    import duckdb
+
+    from tidewright.llm import queries
+
+    rows = [(1, None, "assistant", "z"), (1, 1, "assistant", "b"), (1, 0, "user", "a"), (1, None, "assistant", None), (2, None, "user", "x"), (3, None, None, "t"), (3, None, "user", None), (4, None, None, None)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = {r.conv_id: r for r in chat_format.conversations(df).collect()}
+    assert [tuple(t) for t in got[1].turns] == [("user", "a"), ("assistant", "b"), ("assistant", ""), ("assistant", "z")]
+    assert {i: (len(r.turns), r.rejected) for i, r in got.items()} == {1: (4, 0), 2: (1, 0), 3: (2, 0), 4: (1, 0)}
+    folder = tempfile.mkdtemp(prefix="spark-")
+    df.where("role IS NOT NULL").write.parquet(f"{folder}/conversations.parquet")
+    c = duckdb.connect()
+    c.sql(f"create view conversations as select * from read_parquet('{folder}/conversations.parquet/*.parquet')")
+    expected, told = c.sql(queries.OP3_SQL).fetchall(), queries.op3_chat_format(spark, folder).collect()
+    assert sorted(expected) == sorted(map(tuple, told))
+
+
+def test_chat_records_with_other_fields_keep_their_layout(spark):
+    schema = "conv_id int, turn int, role string, text string, messages array<struct<role:string,content:string>>, instruction string, output string, prompt string, context string"
+    rows = [(1, 0, "user", "a", None, None, None, "p", "c"), (2, None, None, None, [("user", "hi")], None, None, "p", None), (3, None, None, None, None, "do", "done", None, "c"), (4, None, "user", "a", None, None, None, None, "c"), (5, None, None, None, None, None, "only", None, None)]
+    df = spark.createDataFrame(rows, schema)
+    got = {r.conv_id: (r.layout, r.unmapped, r.turns and [tuple(t) for t in r.turns]) for r in chat_format.canonical(df).collect()}
+    assert got == {
+        1: ("turn_row", ["context", "prompt"], [("user", "a")]), 2: ("messages", ["prompt"], [("user", "hi")]), 3: ("instruction", ["context"], [("user", "do"), ("assistant", "done")]),
+        4: ("turn_row", ["context"], [("user", "a")]), 5: (None, ["output"], None),
+    }
+    assert [(r.conv_id, r.output, r.unmapped) for r in chat_format.rejects(df).collect()] == [(5, "only", ["output"])]
+    assert {r.conv_id: r.rejected for r in chat_format.conversations(df).collect()} == {1: 0, 2: 0, 3: 0, 4: 0, 5: 1}
+
+
 def test_formatted_texts_read_back_exactly(spark):
     r = random.Random(6)
     parts = ["\\", "###", "#", "</turn>", "</turn", "\n", ": ", ":", "é", "\\b", "\\h", "### user: ", "</turn>\n", "", " ", "\\0"]

@@ -2,16 +2,19 @@
 
 Records of several layouts live in one DataFrame (as JSON or schema-merged Parquet gives them): a field that a record
 lacks is null. A record's fingerprint is the hash of the sorted paths of those fields that hold something, of the paths
-that any layout names; other columns don't count, whatever their names. Each layout is declared by its required and
-optional paths and by where its turns come from, and stands for the fingerprints of all its combinations. Records whose
-fingerprint no layout has keep a row, with a null layout and no turns.
+that any layout requires; other columns don't count, whatever their names. Each layout is declared by its required and
+optional paths and by where its turns come from, and stands for the fingerprints with its required paths and without
+those of a layout before it. Known paths that a record fills and its layout has no place for are listed in
+``unmapped``. Records without a layout keep a row, with a null layout and no turns; ``conversations`` counts them for
+each id, and ``rejects`` gives them whole.
 
 A formatted text marks turns by ``### role: text</turn>\\n``. Inside roles and texts a backslash becomes ``\\b``, ``###``
 becomes ``\\h``, ``</turn>`` becomes ``\\t`` and, in roles, ``:`` becomes ``\\c``; a null role is ``\\0``. An escaped text
 thus holds neither mark, so splitting at the marks and undoing the escapes gives the turns back. The loss mask is a list
 of (start, length) spans, in characters of the formatted text, of the assistants' escaped texts.
 
-Null texts are empty texts. Repeated and tied turns all stay, ordered by (turn, role, text). An empty table gives no
+Null texts are empty texts. Repeated and tied turns all stay, ordered by (turn, role, text), null turns last. In a table
+of turns alone a record of nulls is an empty turn. An empty table gives no
 conversation. Everything is DataFrame operations.
 """
 
@@ -43,19 +46,23 @@ class Layout:
     def paths(self) -> set[str]:
         return {*self.required, *self.optional}
 
-    def fingerprints(self) -> list[tuple[str, ...]]:
-        return [tuple(sorted({*self.required, *some})) for n in range(len(self.optional) + 1) for some in combinations(self.optional, n)]
-
 
 #: The field names of common public data sets.
 SHAREGPT_ROLES = (("human", "user"), ("gpt", "assistant"), ("system", "system"))
+TURN_ROW = ("turn", "role", "text")
+#: The first layout whose required paths a record fills is its own. One that requires nothing counts only where the table
+#: has all its paths and none of a layout of another name.
 LAYOUTS = (
-    Layout("turn_row", ("turn",), ("role", "text"), row=("turn", "role", "text")),
+    Layout("turn_row", ("turn",), ("role", "text"), row=TURN_ROW),
+    Layout("turn_row", ("role", "text"), ("turn",), row=TURN_ROW),
     Layout("messages", ("messages[].role",), ("messages[].content",), each=("messages", "role", "content")),
     Layout("sharegpt", ("conversations[].from",), ("conversations[].value",), each=("conversations", "from", "value"), roles=SHAREGPT_ROLES),
     Layout("instruction", ("instruction",), ("input", "output"), turns=(("user", "instruction"), ("user", "input"), ("assistant", "output"))),
     Layout("prompt_completion", ("prompt",), ("completion", "system"), turns=(("system", "system"), ("user", "prompt"), ("assistant", "completion"))),
     Layout("question_answer", ("question",), ("answer", "context"), turns=(("user", "context"), ("user", "question"), ("assistant", "answer"))),
+    Layout("turn_row", ("role",), ("turn", "text"), row=TURN_ROW),
+    Layout("turn_row", ("text",), ("turn", "role"), row=TURN_ROW),
+    Layout("turn_row", (), ("turn", "role", "text"), row=TURN_ROW),
 )
 
 
@@ -89,10 +96,34 @@ def _hash_paths(paths: Column) -> Column:
     return F.xxhash64(F.array_join(paths, "\n"))
 
 
+def _usable(layouts: tuple[Layout, ...], have: set[str]) -> list[Layout]:
+    alone = lambda x: x.paths() <= have and not any(y.paths() & have for y in layouts if y.name != x.name)
+    return [x for x in layouts if (set(x.required) <= have if x.required else alone(x))]
+
+
+def _telling(usable: list[Layout]) -> list[str]:
+    return sorted(set().union(*(x.required for x in usable)))
+
+
+def fingerprints(usable: list[Layout]) -> list[list[tuple[str, ...]]]:
+    """For each layout the sets of telling paths that stand for it."""
+    told = _telling(usable)
+    found: list[list[tuple[str, ...]]] = [[] for _ in usable]
+    for n in range(len(told) + 1):
+        for some in combinations(told, n):
+            first = next((i for i, x in enumerate(usable) if set(x.required) <= set(some)), None)
+            if first is not None:
+                found[first].append(some)
+    return found
+
+
+def _filled(paths: list[str]) -> Column:
+    return F.array_compact(F.array(*[F.when(_present(p), F.lit(p)) for p in paths]) if paths else F.array(F.lit(None).cast("string")))
+
+
 def fingerprint(df: DataFrame, layouts: tuple[Layout, ...] = LAYOUTS) -> Column:
-    """The hash of the sorted known paths that a record fills."""
-    known = sorted(set().union(*(x.paths() for x in layouts)) & _schema_paths(df))
-    return _hash_paths(F.array_compact(F.array(*[F.when(_present(p), F.lit(p)) for p in known]) if known else F.array(F.lit(None).cast("string"))))
+    """The hash of the sorted telling paths that a record fills."""
+    return _hash_paths(_filled(_telling(_usable(layouts, _schema_paths(df)))))
 
 
 def _turn(role: Column, text: Column) -> Column:
@@ -113,15 +144,23 @@ def _mapped(layout: Layout, have: set[str]) -> Column:
 
 
 def canonical(df: DataFrame, layouts: tuple[Layout, ...] = LAYOUTS) -> DataFrame:
-    """``df`` with the fingerprint, the layout's name (null: unknown) and its canonical ``turns``."""
+    """``df`` with the fingerprint, the layout's name (null: unknown), its canonical ``turns`` and the ``unmapped`` paths."""
     have = _schema_paths(df)
-    usable = [x for x in layouts if set(x.required) <= have]
+    usable = _usable(layouts, have)
+    known = sorted(set().union(*(x.paths() for x in layouts)) & have)
     mark = F.col("_fingerprint")
-    name, turns = F.lit(None).cast("string"), F.lit(None).cast(TURNS)
-    for x in reversed(usable):
-        its = mark.isin([_hash_paths_literal(p) for p in x.fingerprints()])
-        name, turns = F.when(its, F.lit(x.name)).otherwise(name), F.when(its, _mapped(x, have).cast(TURNS)).otherwise(turns)
-    return df.withColumn("_fingerprint", fingerprint(df, layouts)).select("*", name.alias("layout"), turns.alias("turns"))
+    name, turns, unmapped = F.lit(None).cast("string"), F.lit(None).cast(TURNS), _filled(known)
+    for x, prints in reversed(list(zip(usable, fingerprints(usable), strict=True))):
+        if prints:
+            its = mark.isin([_hash_paths_literal(p) for p in prints])
+            name, turns = F.when(its, F.lit(x.name)).otherwise(name), F.when(its, _mapped(x, have).cast(TURNS)).otherwise(turns)
+            unmapped = F.when(its, _filled([p for p in known if p not in x.paths()])).otherwise(unmapped)
+    return df.withColumn("_fingerprint", fingerprint(df, layouts)).select("*", name.alias("layout"), turns.alias("turns"), unmapped.alias("unmapped"))
+
+
+def rejects(rows: DataFrame, layouts: tuple[Layout, ...] = LAYOUTS) -> DataFrame:
+    """The records without a layout, with the known paths that they fill."""
+    return canonical(rows, layouts).where(F.col("layout").isNull()).drop("_fingerprint", "layout", "turns")
 
 
 def _hash_paths_literal(paths: tuple[str, ...]) -> Column:
@@ -129,10 +168,11 @@ def _hash_paths_literal(paths: tuple[str, ...]) -> Column:
 
 
 def conversations(rows: DataFrame, id_col: str = "conv_id", order_col: str = "turn", layouts: tuple[Layout, ...] = LAYOUTS) -> DataFrame:
-    """One row for each id with the turns of all its records in order."""
-    each = canonical(rows, layouts).select(F.col(id_col), F.struct(F.col(order_col).alias("at"), F.col("turns")).alias("x"))
-    grouped = each.groupBy(id_col).agg(F.sort_array(F.collect_list("x")).alias("xs"))
-    return grouped.select(id_col, F.flatten(F.transform("xs", lambda x: F.coalesce(x["turns"], F.array().cast(TURNS)))).alias("turns"))
+    """One row for each id with the turns of all its records in order, null order last, and how many records had no layout."""
+    at = F.col(order_col)
+    each = canonical(rows, layouts).select(F.col(id_col), F.struct(at.isNull().alias("last"), at.alias("at"), F.col("turns")).alias("x"))
+    grouped = each.groupBy(id_col).agg(F.sort_array(F.collect_list("x")).alias("xs"), F.count_if(F.col("x.turns").isNull()).alias("rejected"))
+    return grouped.select(id_col, F.flatten(F.transform("xs", lambda x: F.coalesce(x["turns"], F.array().cast(TURNS)))).alias("turns"), "rejected")
 
 
 #: Order matters: the backslash is escaped first and restored last.
