@@ -39,6 +39,28 @@ def test_any_text_can_be_read(html):
 
 def test_unclosed_quotes_take_linear_time():
     blocks('<a "' * 20_000)
+    blocks("<button><div>" * 20_000 + "</p></i>" * 20_000)
+
+
+@pytest.mark.parametrize(
+    ("html", "expected"),
+    [
+        ("<head><title>t</title><meta charset=utf-8><article><p>one<p>two</article>", ["one", "two"]),
+        ("<head><title>t</title><script>x</script></head><body><p>one</p>", ["one"]),
+        ("<article><p>one</p><button>Share<p>two</p><p>three</p></article><p>four</p>", ["one", "Share", "two", "three", "four"]),
+        ("<div><p>one</p><noscript><p>two</p>", ["one", "two"]),
+        ("<div><noscript><p>no</p></noscript><p>one</p><select><option>no<option>no</select><svg><title>no</title><g/></svg>two</div>", ["one", "two"]),
+        ("<template><template>no</template>no</template>one", ["one"]),
+        ("<button>a <button>no</button><p>b</p>", ["a", "b"]),
+    ],
+)
+def test_skipped_elements_end_where_they_close(html, expected):
+    assert [b.text for b in blocks(html)] == expected
+
+
+def test_every_class_word_counts():
+    assert ".advert" in blocks('<div class="a b c d e f g advert" id="h sidebar">x</div>')[0].path
+    assert ".sidebar" in blocks('<div class="a b c d e f g advert" id="h sidebar">x</div>')[0].path
 
 
 def test_article_is_found(network):

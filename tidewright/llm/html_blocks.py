@@ -9,7 +9,7 @@ from html import unescape
 
 #: Element names of the HTML standard.
 BLOCK_TAGS = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre section summary table tbody td tfoot th thead tr ul".split())
-SKIPPED_TAGS = frozenset("script style noscript template svg math iframe object canvas head title textarea select button".split())
+SKIPPED_TAGS = frozenset("script style noscript template svg math iframe object canvas title textarea select button".split())
 RAW_TAGS = frozenset("script style textarea title".split())
 MEDIA_TAGS = frozenset("img audio video source embed".split())
 #: What an opening tag closes: the open element of these names, unless one of the second names lies above it.
@@ -72,7 +72,37 @@ def _names(tag: str, attr: str) -> tuple[str, ...]:
         return (tag,)
     given = attributes(attr)
     words = re.findall(r"[a-z]+", " ".join((given.get("class", ""), given.get("id", ""), given.get("role", ""))).lower())
-    return (tag, *(f".{w}" for w in words[:6]))
+    return (tag, *(f".{w}" for w in words))
+
+
+def skipped_to(found: list[tuple[str, str, str]]) -> dict[int, int]:
+    """Where each skipped element's opening and closing tags are among the events. One that isn't closed before its
+    enclosing block or that has the body's tag in it is left out, so what follows its tag is read as usual."""
+    ends: dict[int, int] = {}
+    stack: list[tuple[str, int]] = []
+    open_now = dict.fromkeys((*BLOCK_TAGS, *SKIPPED_TAGS), 0)
+
+    def pop() -> tuple[str, int]:
+        open_now[stack[-1][0]] -= 1
+        return stack.pop()
+
+    for i, (kind, tag, _) in enumerate(found):
+        if tag not in open_now or kind == "text":
+            continue
+        if kind == "open":
+            if tag == "body":
+                while stack:
+                    pop()
+            if tag != "hr":
+                stack.append((tag, i))
+                open_now[tag] += 1
+        elif open_now[tag]:
+            while stack[-1][0] != tag:
+                pop()
+            at = pop()[1]
+            if tag in SKIPPED_TAGS:
+                ends[at] = i
+    return ends
 
 
 def blocks(html: str, media: bool = False) -> list[Block]:
@@ -80,8 +110,8 @@ def blocks(html: str, media: bool = False) -> list[Block]:
     out: list[Block] = []
     stack: list[tuple[str, tuple[str, ...]]] = []
     pieces: list[str] = []
-    links = skip = in_link = 0
-    skip_tag = ""
+    links = in_link = 0
+    resume = 0
 
     def flush() -> None:
         nonlocal links
@@ -100,21 +130,18 @@ def blocks(html: str, media: bool = False) -> list[Block]:
             if stack[i][0] in above:
                 return
 
-    for kind, value, attr in events(html):
-        if skip:
-            if value == skip_tag:
-                skip += (kind == "open") - (kind == "close")
-            elif kind == "open" and value == "body":
-                skip = 0
-            if skip or kind == "close":
-                continue
+    found = list(events(html))
+    ends = skipped_to(found)
+    for i, (kind, value, attr) in enumerate(found):
+        if i < resume:
+            continue
         if kind == "text":
             pieces.append(value)
             if in_link:
                 links += len(value)
         elif kind == "open":
             if value in SKIPPED_TAGS:
-                skip, skip_tag = 1, value
+                resume = ends.get(i, i) + 1
                 pieces.append(" ")
             elif value in BLOCK_TAGS:
                 flush()
