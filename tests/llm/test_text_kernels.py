@@ -52,6 +52,17 @@ def test_bpe_ids_are_the_library_ids():
     assert each(encoder, texts) == [x.ids for x in encoder.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
 
+def test_added_tokens_are_the_library_ids():
+    from tokenizers import Tokenizer
+
+    library, r, token = Tokenizer.from_file(BPE), random.Random(4), "<|endoftext|>"
+    parts = [token, token[:6], token[6:], "<|", "\n", " ", "a", "b c", "é", "."]
+    texts = [token, f"a\n\n{token}b", f"{token}{token} x", "a <|endof", "text|> b", "a\n\n", "b", "", token] + ["".join(r.choice(parts) for _ in range(r.randrange(9))) for _ in range(2000)]
+    got = each(Encoder(BPE), texts)
+    assert got == [x.ids for x in library.encode_batch(texts, add_special_tokens=False)]
+    assert got[0] == [library.token_to_id(token)]
+
+
 def test_sentencepiece_ids_are_the_library_ids():
     sentencepiece = pytest.importorskip("sentencepiece")
     texts = [*TRICKY, *random_texts(1500), "x" * 700 + " " + "ab" * 400]

@@ -2,7 +2,8 @@
 
 The byte-level pre-tokenizer always starts a new word at a single blank or line feed that a visible character follows,
 whatever stands before, and between a letter and a punctuation mark. Cutting there changes no id, and the pieces repeat so often that encoding the distinct ones
-costs a tenth of encoding the texts.
+costs a tenth of encoding the texts. The tokenizer's added tokens, such as ``<|endoftext|>``, are pieces of their own
+where a text holds them, as the library has it, and a text ends before them as at its own end.
 """
 
 from __future__ import annotations
@@ -46,7 +47,11 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        if any(x.lstrip or x.rstrip or x.single_word for x in added):
+            raise ValueError(f"{path}: added tokens that depend on their neighbours")
+        told = sorted((re.escape(x.content.encode()) for x in added if x.content), key=len, reverse=True)
+        self.added = re.compile(b"|".join(told)) if told else None
         self.model, self.cache_size = self.tokenizer.model, cache
         self.forget()
 
@@ -82,15 +87,33 @@ class Encoder:
                 self._keep(x, e.ids)
         return np.fromiter(map(self.place.__getitem__, texts), np.int32, len(texts))
 
+    def _added_spans(self, data: np.ndarray, offsets: np.ndarray) -> list[tuple[int, int]]:
+        """Where the rows' added tokens are, without those that would reach into the next row."""
+        spans, raw, at = [], data.tobytes(), 0
+        while self.added and (found := self.added.search(raw, at)):
+            a, b = found.span()
+            whole = offsets[np.searchsorted(offsets, a, "right")] >= b
+            at = b if whole else a + 1
+            if whole:
+                spans.append((a, b))
+        return spans
+
     def _encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if not len(data):
             return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
         cut = np.zeros(len(data) + 1, bool)
-        gap = np.flatnonzero(((data[:-1] == 32) | (data[:-1] == 10)) & _VISIBLE[data[1:]])
+        spans = self._added_spans(data, offsets)
+        edge = np.zeros(len(data) + 1, bool)
+        edge[offsets] = True
+        edge[[x for span in spans for x in span]] = True
+        # a blank or line feed before an edge ends its text, and belongs to the white space before it
+        gap = np.flatnonzero(((data[:-1] == 32) | (data[:-1] == 10)) & _VISIBLE[data[1:]] & ~edge[1:-1])
         cut[gap] = True
         cut[gap[data[gap] == 10] + 1] = True
         cut[1:-1] |= _LETTER[data[:-1]] & _MARK[data[1:]]
-        cut[offsets] = True
+        for a, b in spans:
+            cut[a:b] = False
+        cut |= edge
         bounds = np.flatnonzero(cut)
         pieces = pa.Array.from_buffers(pa.large_string(), len(bounds) - 1, [None, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data))])
         coded = pieces.dictionary_encode()
