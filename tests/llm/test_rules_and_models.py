@@ -32,7 +32,7 @@ def test_base_counts(spark, monkeypatch, bits):
     monkeypatch.setattr(line_quality, "POSITION_BITS", bits)  # 3: most texts take the keys of two fields
     texts = odd_texts()
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "k int, text string")
-    got = df.select("k", *[v.alias(n) for n, v in line_quality.base_counts(F.col("text")).items()]).collect()
+    got = df.select("k", line_quality.base_counts(F.col("text")).alias("c")).select("k", *[f"c.{n}" for n in line_quality.COUNTS]).collect()
     assert {r.k: tuple(r)[1:] for r in got} == {i: plain_counts(t) for i, t in enumerate(texts)}
 
 
@@ -70,6 +70,17 @@ def test_line_frequency_against_plain_version(spark):
     assert line_quality.quality_rules(docs.limit(0)).collect() == []
 
 
+@pytest.mark.parametrize("most_rows", [100_000, 0])
+def test_one_line_in_a_small_and_in_a_hot_host(spark, monkeypatch, most_rows):
+    """A line in 60 documents is boilerplate in both hosts once 50 documents are the limit of large ones."""
+    monkeypatch.setattr(common.with_found, "__defaults__", ("left", most_rows))  # 0: salted joins
+    docs = spark.range(2400).selectExpr("id AS doc_id", "if(id < 400, 'small', 'hot') AS source", "concat('text ', id, ' of its own', if(id % 400 < 60 AND id < 800, '\nthe line that comes again and again', '')) AS text")
+    rules = lambda most: {r.doc_id for r in line_quality.quality_rules(docs, min_words=1, most_docs=most).where("NOT kept").collect()}
+    both = {*range(60), *range(400, 460)}
+    assert rules(50) == both
+    assert rules(10**9) == set(range(60))  # a share alone lets the hot host's pass
+
+
 def test_chat_layouts(spark):
     schema = "id int, messages array<struct<role:string,content:string>>, conversations array<struct<from:string,value:string>>, instruction string, input string, output string, prompt string, completion string, system string, layout_note string"
     rows = [

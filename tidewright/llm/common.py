@@ -11,7 +11,9 @@ import uuid
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import MapType, VariantType
 
 #: Bytes that separate words: blank, tab, line feed, vertical tab, form feed, carriage return.
 WORD_SPACE = np.zeros(256, bool)
@@ -40,9 +42,48 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Deletes the files of tables that ``written`` made and nobody reads any more."""
+    for df in tables:
+        jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
+        for folder in {x.rpartition("/")[0] for x in df.inputFiles()}:
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(conf).delete(path, True)
+
+
+#: Tables of at most so many rows of a few numbers and a name, some ten megabytes, are broadcast.
+BROADCAST_ROWS = 100_000
+SALTS = 16
+
+
+def with_found(rows: DataFrame, found: DataFrame, keys: list[str], how: str = "left", most_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``rows`` joined with ``found``, a written table with one small row for each key.
+
+    Up to ``most_rows``, which are counted first, ``found`` is broadcast and ``rows`` stay where they are. Beyond that
+    both are shuffled by the keys and a salt made of the whole row, so that the rows of a hot key are split.
+    """
+    if found.count() <= most_rows:
+        return rows.join(F.broadcast(found), keys, how)
+    simple = [F.col(f.name) for f in rows.schema.fields if not isinstance(f.dataType, (MapType, VariantType))]
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*simple), F.lit(SALTS)).cast("int"))
+    return salted.join(found.withColumn("_salt", F.explode(F.array(*[F.lit(i) for i in range(SALTS)]))), [*keys, "_salt"], how).drop("_salt")
+
+
+def place_of(*columns: Column) -> Column:
+    """A number from 0 to 2**20 - 1 by which rows are sampled: a hash of the columns, null or not."""
+    return F.pmod(F.xxhash64(*columns), F.lit(1 << 20))
+
+
 def small_batches(spark: SparkSession, size: int = 16 << 20) -> None:
-    """Bound the Arrow batches that Python workers get, as long documents make the usual ones large."""
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
+    """Bound the Arrow batches that Python workers get, as long documents make the usual ones large.
+
+    The bound is read when a query is planned, so it is the session's; it is only ever lowered.
+    """
+    name, units = "spark.sql.execution.arrow.maxBytesPerBatch", {"b": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30}
+    given = str(spark.conf.get(name, "")).lower().removesuffix("b")
+    number, unit = (given[:-1], given[-1]) if given[-1:] in units else (given, "b")
+    if not number.isdigit() or int(number) * units[unit] > size:
+        spark.conf.set(name, size)
 
 
 def tidy() -> None:

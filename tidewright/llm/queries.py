@@ -118,7 +118,7 @@ cov AS (SELECT rid, count(DISTINCT p) AS n_repeat_words FROM (SELECT rid, unnest
 ln AS (SELECT rid, host, text, trim(regexp_replace(lower(x), '[\x20\x09-\x0D]+', ' ', 'g'), ' ') AS line, len(list_filter(regexp_split_to_array(x, '[\x20\x09-\x0D]+'), lambda y: y <> '')) AS k
        FROM (SELECT rid, host, text, unnest(lines) AS x FROM n)),
 hosts AS (SELECT host, count(DISTINCT text) AS texts FROM n GROUP BY host),
-often AS (SELECT host, line FROM ln JOIN hosts USING (host) GROUP BY host, line, texts HAVING count(DISTINCT text) > 20 AND count(DISTINCT text) > 0.1 * texts),
+often AS (SELECT host, line FROM ln JOIN hosts USING (host) GROUP BY host, line, texts HAVING count(DISTINCT text) > greatest(20, least(200, 0.1 * texts))),
 gone AS (SELECT rid, sum(k) AS removed_words FROM ln JOIN often USING (host, line) GROUP BY rid)
 SELECT doc_id, n_words, CAST(length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g')) AS BIGINT) AS word_chars,
   CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
