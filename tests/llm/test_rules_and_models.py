@@ -198,14 +198,14 @@ def test_foreign_texts_are_rejected_and_known_ones_stay(spark):
 
 def test_toxicity_of_held_out_texts(spark):
     docs = labelled_docs(spark)
-    model = toxicity.fit(docs.where("doc_id % 4 <> 2"))
+    model = toxicity.fit(docs.where("doc_id % 4 <> 2").drop("toxic"), docs.where("doc_id % 4 <> 2").select("doc_id", "toxic"))
     got = toxicity.scored(docs.withColumn("predicted", F.lit("clash")), model).where("doc_id % 4 = 2").collect()
     assert np.mean([x.predicted == x.toxic for x in got]) > 0.95
     assert all(x.predicted == int(x.score >= 0.3) for x in got)
     odd = spark.createDataFrame([(1, None), (2, ""), (3, "the"), (4, "the " * 30000)], "doc_id long, text string")
     assert all(0 <= x.score <= 1 for x in toxicity.scored(odd, model).collect())
     assert toxicity.scored(odd.limit(0), model).collect() == []
-    nothing = toxicity.fit(docs.where("toxic = 0"))
+    nothing = toxicity.fit(docs, docs.where("toxic = 0"))
     assert nothing is None and {x.score for x in toxicity.scored(odd, nothing).collect()} == {0.0}
 
 
@@ -222,3 +222,32 @@ def test_pooling_is_the_plain_convolution():
         e = w["word"][own & 0xFFFF] + w["stem"][own >> 16]
         want = [max((sum(e[s + j] @ w[f"conv{k}"][j] for j in range(k)) for s in range(n + 1)), key=lambda v: v[f])[f] + w[f"shift{k}"][f] for k in toxicity.WIDTHS for f in range(toxicity.FILTERS)]
         assert np.allclose(got[i], np.maximum(want, 0), atol=1e-5) and np.allclose(also[i], got[i], atol=1e-5)
+
+
+def test_sample_is_bounded_whatever_the_ids(spark):
+    """Repeated ids, texts and labels give at most ``sample`` rows, and null ids none."""
+    labels = spark.createDataFrame([(1, 1)] * 50 + [(2, 0)] * 50 + [(None, 1), (3, None), (4, 7)], "doc_id long, toxic int")
+    assert sorted((r.doc_id, r.toxic) for r in toxicity.chosen(labels, 10).collect()) == [(1, 1), (2, 0)]
+    many = spark.range(5000).selectExpr("id AS doc_id", "cast(id % 5 = 0 AS int) AS toxic")
+    assert 200 <= toxicity.chosen(many, 300).count() <= 300
+    docs = spark.range(400).selectExpr("if(id % 2 = 0, NULL, 5L) AS doc_id", "concat('hello there ', id) AS text", "if(id % 2 = 0, 'en', 'de') AS lang")
+    assert language_id.train(docs, F.lit(True), sample=40).languages == ["de", "en"]  # a hash of ids alone would take all or nothing
+
+
+TABLES = "/root/testdata/sf0.01"
+
+
+@pytest.mark.skipif(not os.path.isdir(TABLES), reason="no test tables")
+def test_held_out_rows_of_the_tables(spark):
+    """Toxicity and languages on rows that nothing was learnt from. Of the 14 toxic texts there, 9 are English; the other
+    languages' words can't be learnt from the four or five toxic texts that each has here (see the README for more rows)."""
+    from tidewright.llm import queries
+
+    labels = spark.read.parquet(f"{TABLES}/labels.parquet").select("doc_id", "toxic")
+    told = queries.op2_toxicity(spark, TABLES).where("held_out").join(labels, "doc_id").collect()
+    bad, good = [r.score for r in told if r.toxic == 1], [r.score for r in told if r.toxic == 0]
+    assert np.mean([x > y for x in bad for y in good]) > 0.8
+    assert sum(r.predicted for r in told if r.toxic == 1) >= 9 and sum(r.predicted for r in told if r.toxic == 0) <= 0.03 * len(good)
+    langs = spark.read.parquet(f"{TABLES}/documents.parquet").where("lang IS NOT NULL").select("doc_id", "lang")
+    told = queries.op5_language_id(spark, TABLES).where("held_out").join(langs, "doc_id").collect()
+    assert np.mean([r.lang == r.lang_pred for r in told]) > 0.98

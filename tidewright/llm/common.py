@@ -80,7 +80,7 @@ def small_batches(spark: SparkSession, size: int = 16 << 20) -> None:
     The bound is read when a query is planned, so it is the session's; it is only ever lowered.
     """
     name, units = "spark.sql.execution.arrow.maxBytesPerBatch", {"b": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30}
-    given = str(spark.conf.get(name, "")).lower().removesuffix("b")
+    given = str(spark.conf.get(name)).lower().removesuffix("b")
     number, unit = (given[:-1], given[-1]) if given[-1:] in units else (given, "b")
     if not number.isdigit() or int(number) * units[unit] > size:
         spark.conf.set(name, size)

@@ -8,7 +8,8 @@ cosine is below ``reject_below`` times the median cosine of its centroid's train
 Short texts have few n-grams and small cosines, so each binary order of different n-grams has its own median. Clusters
 with less than ``least_share`` of a language's texts are dissolved, so no centroid or median stands on a few odd texts.
 
-Training takes about ``sample`` labelled texts, those whose ids hash lowest, so it is bounded and repeats. The IDF and
+Training takes about ``sample`` labelled texts and never more than twice as many, those whose ids and texts hash
+lowest, so it is bounded and repeats, whatever ids are null or shared. The IDF and
 the centroids are the fitted model. Every text is classified whole, by tasks that each get the model (a few hundred
 kilobytes, whatever the input).
 
@@ -26,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewright.llm.common import flat_text, slices, small_batches
+from tidewright.llm.common import flat_text, place_of, slices, small_batches
 
 #: Byte classes: letters keep a code (lower case; bytes of longer characters their own), all else is a word end.
 _FOLD = np.zeros(256, np.uint32)
@@ -155,13 +156,13 @@ def train(docs: DataFrame, learn: Column, sample: int = 4000, id_col: str = "doc
     labelled = docs.where(learn & F.col(lang_col).isNotNull())
     kinds = labelled.groupBy(lang_col).agg(F.count("*").alias("n")).orderBy(lang_col).collect()  # one row a language
     # a language's rows are those in the low share of the ids' hashes that holds about its part of the sample
-    place, each = F.pmod(F.xxhash64(F.col(id_col), F.lit(17)), F.lit(1 << 20)), sample / max(1, len(kinds))
+    place, each = place_of(F.col(id_col), F.col(text_col), F.lit(17)), sample / max(1, len(kinds))
     low = F.lit(False)
     for kind in kinds:
         low = low | ((F.col(lang_col) == kind[lang_col]) & (place < int(min(1.0, each / kind["n"]) * (1 << 20))))
-    chosen = labelled.where(low & F.col(text_col).isNotNull()).select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
+    chosen = labelled.where(low & F.col(text_col).isNotNull()).select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"), place.alias("place"))
     small_batches(docs.sparkSession, 8 << 20)
-    rows = chosen.mapInArrow(_counts, "lang string, counts binary").collect()
+    rows = chosen.mapInArrow(_counts, "lang string, counts binary, place long").orderBy("place", "lang", "counts").limit(2 * sample).collect()
     counts = np.zeros((len(rows), BUCKETS), np.float32)
     for i, x in enumerate(rows):
         pairs = np.frombuffer(x.counts, np.uint32).reshape(2, -1)
@@ -174,7 +175,7 @@ def _counts(batches):
         data, offsets = flat_text(batch.column(0))
         for a, b in _bounded(offsets):
             counts = ngram_counts(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
-            yield pa.RecordBatch.from_arrays([batch.column(1).slice(a, b - a), pa.array([np.concatenate((at := np.flatnonzero(c), c[at])).astype(np.uint32).tobytes() for c in counts], pa.binary())], ["lang", "counts"])
+            yield pa.RecordBatch.from_arrays([batch.column(1).slice(a, b - a), pa.array([np.concatenate((at := np.flatnonzero(c), c[at])).astype(np.uint32).tobytes() for c in counts], pa.binary()), batch.column(2).slice(a, b - a)], ["lang", "counts", "place"])
 
 
 def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:

@@ -30,7 +30,7 @@ def op1_html_labeller(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
-    model = toxicity.fit(docs.where(~held_out()).join(labels.where(~held_out()), "doc_id"))
+    model = toxicity.fit(docs.where(~held_out()), labels.where(~held_out()))
     return toxicity.scored(docs, model).select("doc_id", held_out().alias("held_out"), "score", "predicted")
 
 
