@@ -74,21 +74,51 @@ def test_sentencepiece_ids_are_the_library_ids():
     assert back == [t.replace("▁", " ") for t in texts]
 
 
-def test_viterbi_finds_the_best_path():
-    vocabulary = sentencepiece_codec.Vocabulary.of(PIECES)
-    r = random.Random(3)
-    words = sorted({"".join(r.choice("thenaigr") for _ in range(6)) for _ in range(200)})
-    codes = sentencepiece_codec._codes("".join(words))
-    table = vocabulary.table(sentencepiece_codec._running(codes), np.arange(len(words)) * 6, 6)
-    ends = vocabulary.viterbi(table)
-    for i, w in enumerate(words):
-        best = [0.0] + [-1e30] * 6
-        for e in range(1, 7):
-            best[e] = max(best[s] + float(vocabulary.scores[vocabulary.index[w[s:e]]]) for s in range(e) if w[s:e] in vocabulary.index)
-        at, total = 0, 0.0
-        while at < 6:
-            total, at = total + float(vocabulary.scores[vocabulary.index[w[at : ends[i, at]]]]), int(ends[i, at])
-        assert total == pytest.approx(best[6])
+def test_unigram_model_takes_the_best_path():
+    """The given pieces read as a unigram model: whole ``encode`` against the best sum of scores found by brute force."""
+    bpe = sentencepiece_codec.Vocabulary.of(PIECES)
+    scores = -np.arange(len(bpe.pieces), dtype=np.float32) / 1000 - 1
+    vocabulary = sentencepiece_codec.Vocabulary(bpe.pieces, scores, bpe.kinds, sentencepiece_codec.UNIGRAM, bpe.prefix).prepared()
+    texts = [*random_texts(150), *random_texts(100, 4, "thenaigr "), "the" * 1500]
+    for text, ids in zip(texts, each(vocabulary, texts), strict=True):
+        assert vocabulary.decode(np.array(ids, np.int64)).decode() == text
+        marked = f"▁{text.replace(' ', '▁')}" if text else ""
+        best = [0.0] + [-np.inf] * len(marked)
+        for e in range(1, len(marked) + 1):
+            for s in range(max(0, e - vocabulary.longest), e):
+                piece = vocabulary.index.get(marked[s:e])
+                one = scores[piece] if piece is not None else scores.min() - 10 if e == s + 1 else -np.inf
+                best[e] = max(best[e], best[s] + one)
+        kept = [i for i in ids if bpe.kinds[i] != sentencepiece_codec.BYTE]
+        odd = sum(c not in vocabulary.index for c in marked)
+        assert sum(float(scores[i]) for i in kept) + odd * float(scores.min() - 10) == pytest.approx(best[-1], rel=1e-5)
+
+
+def test_paths_of_pieces_that_stand_are_the_library_s():
+    """Ties, runs of blanks and words longer than a stretch of the table go through the same Viterbi."""
+    sentencepiece = pytest.importorskip("sentencepiece")
+    texts = [*random_texts(2000, 5, "aaab"), *random_texts(2000, 6, "etaoinshrdlu"), *(f"{' ' * n}x" for n in range(70)), *(f"{' ' * n}日 " for n in range(70)), "a" * 9000, "q" * 4097 + "e", "the" * 5000, "xy z" * 3000]
+    assert each(sentencepiece_codec.Vocabulary.of(PIECES), texts) == sentencepiece.SentencePieceProcessor(model_file=PIECES).encode(texts)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_pieces_stand_where_merging_gives_them_back(seed):
+    """``stand`` against merging the joined text of random pairs."""
+    sentencepiece = pytest.importorskip("sentencepiece")
+    v, r = sentencepiece_codec.Vocabulary.of(PIECES), random.Random(seed)
+    plain = [i for i in v.ids.tolist() if v.pieces[i].isascii() and len(v.pieces[i]) < 5]
+    pairs = np.array([(r.choice(plain), r.choice(plain)) for _ in range(3000)], np.int32)
+    words = [f"▁▁{v.pieces[a]}{v.pieces[b]}" for a, b in pairs]
+    codes, lengths = sentencepiece_codec._codes("".join(w[2:] for w in words)), np.array([len(w) - 2 for w in words])
+    run, first = sentencepiece_codec._running(codes), np.cumsum(lengths) - lengths
+    want = np.zeros(len(pairs), bool)
+    for n in np.unique(lengths):
+        own = np.flatnonzero(lengths == n)
+        ends = v.merges(v.table(run, first[own], int(n)))
+        middle = np.array([len(v.pieces[pairs[i, 0]]) for i in own])
+        want[own] = (ends[:, 0] == middle) & (ends[np.arange(len(own)), middle] == n)
+    assert (v.stand(pairs[:, 0], pairs[:, 1]) == want).all() and 0 < want.sum() < len(want)
+    assert (v.stand(pairs[:, 0], pairs[:, 1]) == want).all()  # as remembered
 
 
 def docs_of(spark, texts, ids=None):

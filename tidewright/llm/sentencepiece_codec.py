@@ -6,21 +6,22 @@ and length for all words at once.
 
 * Unigram models: Viterbi over the table. The best score at each position is a vectorised maximum over piece lengths,
   whose argument is kept as the backpointer.
-* BPE models: their scores are merge ranks, for which the best-scoring path is not the library's segmentation. All words
-  make their best merge (the leftmost of equals) in each step, until no word has one. This gives the library's ids.
+* BPE models: their scores are merge ranks, and a sum of ranks doesn't pick the library's segmentation. The same Viterbi
+  runs with transition scores instead: 0 where two pieces can stand side by side, which is when merging their joined
+  text gives them back, else minus infinity. Each prefix of a word has exactly one path of score 0, which is what the
+  library makes of it (``stand``). The test of a pair walks back through both pieces' merges and is remembered.
 
 Characters outside the vocabulary become byte pieces if the model has them, else the unknown piece. Words end before a
-blank that follows a non-blank; that is exact for vocabularies without pieces that have a blank inside. Words over
-``LONG`` characters are merged with a heap, one by one.
+blank that follows a non-blank; that is exact for vocabularies without pieces that have a blank inside. Words of any
+length take the same way; long ones have their table made piece by piece.
 
 Null and empty texts have no ids and decode to the empty text. Decoding undoes the marks for blanks and the leading
 blank that encoding adds, so texts without U+2581 come back exactly. Repeated rows get equal ids; an empty table gives
-an empty result; other columns are left alone.
+an empty result. Other columns are left alone, but for one named like the output, which is replaced.
 """
 
 from __future__ import annotations
 
-import heapq
 import struct
 from dataclasses import dataclass
 
@@ -33,8 +34,9 @@ from pyspark.sql import functions as F
 from tidewright.llm.common import _BASE, _INVERSE, _powers, flat_text, mix64, slices, small_batches, tidy
 
 SPACE = "▁"
-LONG = 200
-SEEN_BITS = 22
+#: Ends of a word for which the table of pieces is made at a time.
+STRETCH = 4096
+SEEN_BITS, PAIR_BITS = 22, 19
 KEPT_WORDS = 150_000
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, BYTE, UNIGRAM, BPE = 1, 2, 3, 4, 6, 1, 2
 
@@ -79,6 +81,68 @@ def _running(codes: np.ndarray) -> np.ndarray:
     return out
 
 
+class Paths:
+    """The best path to each end of words of one length, all words together; ``back`` has the last piece's length."""
+
+    def __init__(self, vocabulary: Vocabulary, n: int, length: int):
+        self.vocabulary, self.n, self.length = vocabulary, n, length
+        self.back = np.zeros((n, length + 1), np.int32)
+
+    def advance(self, table: np.ndarray, low: int, first: int, last: int) -> None:
+        """From end ``first`` to end ``last``, by a table of pieces whose starts count from ``low``."""
+        for end in range(first, last + 1):
+            sizes = np.arange(1, min(end, table.shape[2] - 1) + 1)
+            self.step(end, sizes, table[:, end - low - sizes, sizes])
+
+    def step(self, end: int, sizes: np.ndarray, piece: np.ndarray) -> None:
+        raise NotImplementedError
+
+    def ends(self) -> np.ndarray:
+        """Ends of the pieces that begin at each position (0: no piece begins there)."""
+        ends = np.zeros((self.n, self.length), np.int32)
+        at, rows = np.full(self.n, self.length), np.arange(self.n)
+        while (at > 0).any():
+            live = at > 0
+            size = self.back[rows[live], at[live]]
+            ends[rows[live], at[live] - size] = at[live]
+            at[live] -= size
+        return ends
+
+
+class Summed(Paths):
+    """Paths by the sum of their pieces' scores; a character that is no piece scores below all."""
+
+    def __init__(self, vocabulary: Vocabulary, n: int, length: int):
+        super().__init__(vocabulary, n, length)
+        self.floor = np.float32(vocabulary.scores.min() - 10)
+        self.best = np.full((n, length + 1), -np.inf, np.float32)
+        self.best[:, 0] = 0
+
+    def step(self, end: int, sizes: np.ndarray, piece: np.ndarray) -> None:
+        score = np.where(piece >= 0, self.vocabulary.scores[piece], np.float32(-np.inf))
+        score[:, 0] = np.where(piece[:, 0] >= 0, score[:, 0], self.floor)
+        paths = self.best[:, end - sizes] + score
+        self.back[:, end], self.best[:, end] = sizes[paths.argmax(1)], paths.max(1)
+
+
+class Standing(Paths):
+    """Paths of pieces that can stand side by side; ``last`` has each prefix's last piece."""
+
+    def __init__(self, vocabulary: Vocabulary, n: int, length: int):
+        super().__init__(vocabulary, n, length)
+        self.last = np.full((n, length + 1), vocabulary.start, np.int32)
+
+    def step(self, end: int, sizes: np.ndarray, piece: np.ndarray) -> None:
+        piece[:, 0] = np.where(piece[:, 0] >= 0, piece[:, 0], self.vocabulary.alone)
+        there = piece >= 0
+        several = there.sum(1) > 1  # one piece alone needs no test
+        row, column = np.nonzero(there & several[:, None])
+        score = np.where(there, np.float32(0), np.float32(-np.inf))
+        score[row, column] = np.where(self.vocabulary.stand(self.last[row, end - sizes[column]], piece[row, column]), 0, -np.inf)
+        best, rows = score.argmax(1), np.arange(self.n)
+        self.back[:, end], self.last[:, end] = sizes[best], piece[rows, best]
+
+
 @dataclass
 class Vocabulary:
     pieces: list[str]
@@ -134,52 +198,132 @@ class Vocabulary:
         out[self.unknown] = " ⁇ ".encode()
         self.outputs = np.frombuffer(b"".join(out), np.uint8)
         self.output_at = np.concatenate((np.zeros(1, np.int64), np.cumsum([len(x) for x in out])))
+        if self.model == BPE:
+            self._merge_trees(usable, texts)
         return self
 
+    def _merge_trees(self, usable: np.ndarray, texts: list[str]) -> None:
+        """The two pieces that each piece is last merged from, and which pieces join to a piece.
+
+        ``formed`` is a piece's score, or infinity for a single character; merges happen in falling order of it.
+        Pieces that merges of their own text don't give are left out of ``ids``: nothing ever merges to them.
+        """
+        size = len(self.pieces)
+        self.left, self.right = np.full(size + 2, -1, np.int32), np.full(size + 2, -1, np.int32)
+        self.formed = np.full(size + 2, np.inf, np.float32)  # the last two: a character that is no piece, a word's start
+        self.alone, self.start = size, size + 1
+        lengths = np.array([len(x) for x in texts])
+        codes = _codes("".join(texts))
+        run, first = _running(codes), np.cumsum(lengths) - lengths
+        lost, joins = [], []
+        for length in np.unique(lengths[lengths > 1]):
+            same = np.flatnonzero(lengths == length)
+            table = self.table(run, first[same], int(length))
+            for k in range(1, length):  # every way to split the pieces in two
+                a, b = table[:, 0, k], table[:, k, length - k]
+                ok = (a >= 0) & (b >= 0)
+                joins.append(np.stack((a[ok].astype(np.int64) << 32 | b[ok], usable[same[ok]]), 1))
+            table[:, 0, length] = -1  # the state before the last merge
+            ends = self.merges(table)
+            middle = ends[:, 0]
+            two = (middle < length) & (ends[np.arange(len(same)), np.minimum(middle, length - 1)] == length)
+            rows = np.flatnonzero(two)
+            own = usable[same[rows]]
+            a, b = table[rows, 0, middle[rows]], table[rows, middle[rows], length - middle[rows]]
+            known = (a >= 0) & (b >= 0)
+            self.left[own[known]], self.right[own[known]] = a[known], b[known]
+            self.formed[own] = self.scores[own]
+            lost.append(usable[same[~two]])
+            lost.append(own[~known])
+        joined = np.concatenate(joins) if joins else np.zeros((0, 2), np.int64)
+        order = np.argsort(joined[:, 0])
+        self.join_keys, self.join_ids = joined[order, 0], joined[order, 1].astype(np.int32)
+        gone = np.isin(self.ids, np.concatenate(lost)) if lost else np.zeros(len(self.ids), bool)
+        self.keys, self.ids = self.keys[~gone], self.ids[~gone]
+        whole = np.flatnonzero(self.left >= 0)
+        if (np.minimum(self.formed[self.left[whole]], self.formed[self.right[whole]]) < self.formed[whole]).any():
+            raise ValueError("pieces that are merged before their parts are not supported")
+        self.pair_keys, self.pair_good = np.full(1 << PAIR_BITS, -1, np.int64), np.zeros(1 << PAIR_BITS, bool)
+
+    def _joined(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """The score of the piece that a and b make together (minus infinity: none)."""
+        if not len(self.join_keys):
+            return np.full(len(a), -np.inf, np.float32)
+        key = a.astype(np.int64) << 32 | b
+        at = np.minimum(np.searchsorted(self.join_keys, key), len(self.join_keys) - 1)
+        return np.where(self.join_keys[at] == key, self.scores[self.join_ids[at]], np.float32(-np.inf))
+
+    def _walked(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """``stand`` by walking back in time: the later formed of the two symbols at the border is taken apart.
+
+        Two symbols that met are merged if their piece comes before what took one of them away, or at the same time
+        and further left. Where no pair of symbols was, the pieces stand.
+        """
+        good = np.ones(len(a), bool)
+        row, x, y = np.arange(len(a)), a, b
+        until, later = np.full(len(a), -np.inf, np.float32), np.zeros(len(a), bool)
+        while len(row):
+            score = self._joined(x, y)
+            bad = (score > until) | later & (score == until) & (score > -np.inf)
+            good[row[bad]] = False
+            fx, fy = self.formed[x], self.formed[y]
+            live = ~bad & (np.minimum(fx, fy) < np.inf)
+            row, x, y, fx, fy = row[live], x[live], y[live], fx[live], fy[live]
+            later = fy <= fx  # of equal pieces the left one is merged first
+            until = np.where(later, fy, fx)
+            x, y = np.where(later, x, self.right[x]), np.where(later, self.left[y], y)
+        return good
+
+    def stand(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Whether merging the text of piece a and then b gives these two pieces; remembers what it found."""
+        key = a.astype(np.int64) << 32 | b
+        slot = (mix64(key.view(np.uint64)) >> np.uint64(64 - PAIR_BITS)).astype(np.int64)
+        good = self.pair_good[slot]
+        new = np.flatnonzero(self.pair_keys[slot] != key)
+        if len(new):
+            found, back = np.unique(key[new], return_inverse=True)
+            told = self._walked((found >> 32).astype(np.int32), (found & 0xFFFFFFFF).astype(np.int32))
+            good[new] = told[back]
+            at = (mix64(found.view(np.uint64)) >> np.uint64(64 - PAIR_BITS)).astype(np.int64)
+            self.pair_keys[at] = found
+            kept = self.pair_keys[at] == found  # of new pairs in one slot one stays
+            self.pair_good[at[kept]] = told[kept]
+        return good
+
     @staticmethod
     def _keys(run: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         return mix64((run[ends] - run[starts]) * _powers(_INVERSE, len(run))[starts] + (ends - starts).astype(np.uint64))
 
+    def found(self, run: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """Piece ids of substrings (-1: none)."""
+        keys = self._keys(run, starts, starts + lengths)
+        maybe = np.flatnonzero(self.seen[keys >> np.uint64(64 - SEEN_BITS)])
+        place = np.minimum(np.searchsorted(self.keys, keys[maybe]), len(self.keys) - 1)
+        out = np.full(len(keys), -1, np.int32)
+        out[maybe] = np.where(self.keys[place] == keys[maybe], self.ids[place], -1)
+        return out
+
     def table(self, run: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
         """Piece ids (words x start x piece length, -1: none) of words of one length."""
         most = min(length, self.longest)
         out = np.full((len(starts), length, most + 1), -1, np.int32)
         for k in range(1, most + 1):
             at = starts[:, None] + np.arange(length - k + 1)
-            keys = self._keys(run, at.ravel(), at.ravel() + k)
-            maybe = np.flatnonzero(self.seen[keys >> np.uint64(64 - SEEN_BITS)])
-            keys = keys[maybe]
-            place = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-            found = np.full(at.size, -1, np.int32)
-            found[maybe] = np.where(self.keys[place] == keys, self.ids[place], -1)
-            out[:, : length - k + 1, k] = found.reshape(at.shape)
+            out[:, : length - k + 1, k] = self.found(run, at.ravel(), np.int64(k)).reshape(at.shape)
         return out
 
     def viterbi(self, table: np.ndarray) -> np.ndarray:
         """Ends of the pieces that begin at each position on the best path (0: no piece begins there)."""
         n, length, width = table.shape
-        floor = np.float32(self.scores.min() - 10)
-        score = np.where(table >= 0, self.scores[table], -np.inf).astype(np.float32)
-        score[:, :, 1] = np.where(table[:, :, 1] >= 0, score[:, :, 1], floor)
-        best = np.full((n, length + 1), -np.inf, np.float32)
-        best[:, 0] = 0
-        back = np.zeros((n, length + 1), np.int32)
-        for end in range(1, length + 1):
-            sizes = np.arange(1, min(end, width - 1) + 1)
-            paths = best[:, end - sizes] + score[:, end - sizes, sizes]
-            back[:, end] = sizes[paths.argmax(1)]
-            best[:, end] = paths.max(1)
-        ends = np.zeros((n, length), np.int32)
-        at, rows = np.full(n, length), np.arange(n)
-        while (at > 0).any():
-            live = at > 0
-            size = back[rows[live], at[live]]
-            ends[rows[live], at[live] - size] = at[live]
-            at[live] -= size
-        return ends
+        paths = self.paths(n, length)
+        paths.advance(table, 0, 1, length)
+        return paths.ends()
+
+    def paths(self, n: int, length: int) -> Paths:
+        return (Standing if self.model == BPE else Summed)(self, n, length)
 
     def merges(self, table: np.ndarray) -> np.ndarray:
-        """As ``viterbi``, but by the best merge of each word in each step."""
+        """Ends of pieces by the best merge of each word in each step (the leftmost of equals), as BPE is defined."""
         n, length, width = table.shape
         ends = np.broadcast_to(np.arange(1, length + 1, dtype=np.int32), (n, length)).copy()
         if length < 2:
@@ -203,37 +347,6 @@ class Vocabulary:
             ends[live, middle] = 0
         return ends
 
-    def merge_long(self, text: str) -> list[int]:
-        """Ids of one long word by a heap of merges."""
-        n = len(text)
-        end, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap: list[tuple[float, int, int]] = []
-
-        def offer(i: int) -> None:
-            if i >= 0 and end[i] < n:
-                piece = self.index.get(text[i : end[end[i]]]) if end[end[i]] - i <= self.longest else None
-                if piece is not None:
-                    heapq.heappush(heap, (-float(self.scores[piece]), i, end[end[i]]))
-
-        for i in range(n):
-            offer(i)
-        while heap:
-            _, i, stop = heapq.heappop(heap)
-            if end[i] == 0 or end[i] >= n or end[end[i]] != stop:
-                continue
-            middle = end[i]
-            end[i], end[middle] = stop, 0
-            if stop < n:
-                before[stop] = i
-            offer(before[i])
-            offer(i)
-        out: list[int] = []
-        i = 0
-        while i < n:
-            out += self.single(text[i : end[i]])
-            i = end[i]
-        return out
-
     def single(self, text: str) -> list[int]:
         """Ids of a piece, or of a character that is none."""
         piece = self.index.get(text)
@@ -266,21 +379,26 @@ class Vocabulary:
             same = np.flatnonzero(lengths == length)
             if length == 0:
                 continue
-            if length > LONG and self.model == BPE:
-                for i in same:
-                    found.append(np.array(self.merge_long(texts[i]), np.uint32))
-                    owners.append(np.full(len(found[-1]), i))
-                continue
-            step = max(1, 3_000_000 // int(length * (min(length, self.longest) + 1)))
+            most = min(int(length), self.longest)
+            step = max(1, 3_000_000 // (min(int(length), STRETCH + most) * (most + 1)))
             for a in range(0, len(same), step):
                 part = same[a : a + step]
-                table = self.table(run, first[part], int(length))
-                ends = self.merges(table) if self.model == BPE else self.viterbi(table)
+                paths = self.paths(len(part), int(length))
+                for end in range(0, int(length), STRETCH):
+                    low, high = max(0, end - most), min(int(length), end + STRETCH)
+                    paths.advance(self.table(run, first[part] + low, high - low), low, end + 1, high)
+                ends = paths.ends()
                 row, at = np.nonzero(ends)
-                piece = table[row, at, ends[row, at] - at]
-                if (piece < 0).any():
-                    each = [[p] if p >= 0 else self.single(texts[part[r]][w]) for p, r, w in zip(piece.tolist(), row, at, strict=True)]
-                    row, piece = np.repeat(row, [len(x) for x in each]), np.array([y for x in each for y in x])
+                piece = self.found(run, first[part[row]] + at, ends[row, at] - at)
+                none = np.flatnonzero(piece < 0)
+                if len(none):
+                    each = [self.single(texts[part[r]][w]) for r, w in zip(row[none], at[none], strict=True)]
+                    sizes = np.ones(len(piece), np.int64)
+                    sizes[none] = [len(x) for x in each]
+                    begin = (np.cumsum(sizes) - sizes)[none]
+                    row, piece = np.repeat(row, sizes), np.repeat(piece, sizes)
+                    inside = np.arange(sizes[none].sum()) - np.repeat(np.cumsum(sizes[none]) - sizes[none], sizes[none])
+                    piece[np.repeat(begin, sizes[none]) + inside] = [y for x in each for y in x]
                 found.append(piece.astype(np.uint32))
                 owners.append(part[row])
         if not found:
