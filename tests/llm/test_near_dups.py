@@ -56,8 +56,9 @@ def corpus(seed):
     return dict(zip(ids, texts, strict=True))
 
 
-@pytest.mark.parametrize(("seed", "width", "pct"), [(1, 3, 85), (2, 5, 80)])
-def test_components_are_those_of_all_pairs(spark, seed, width, pct):
+@pytest.mark.parametrize(("seed", "width", "pct", "block"), [(1, 3, 85, 512), (2, 5, 80, 512), (3, 3, 85, 2), (4, 5, 80, 1)])
+def test_components_are_those_of_all_pairs(spark, monkeypatch, seed, width, pct, block):
+    monkeypatch.setattr(near_dups, "BLOCK", block)  # small: most bands are joined by prefixes, in many blocks
     texts = corpus(seed)
     docs = spark.createDataFrame([(k, t, 1, "x") for k, t in texts.items()], "doc_id long, text string, n_shingles int, rep string").repartition(3)
     got = near_dups.near_duplicates(docs, width, pct / 100).collect()
@@ -65,8 +66,10 @@ def test_components_are_those_of_all_pairs(spark, seed, width, pct):
     assert len(got) == len(texts)
 
 
-def test_a_large_group_of_near_copies(spark):
+@pytest.mark.parametrize("block", [512, 16])
+def test_a_large_group_of_near_copies(spark, monkeypatch, block):
     """Copies that drift from one base: some reach others only through it, some reach nobody."""
+    monkeypatch.setattr(near_dups, "BLOCK", block)
     r = random.Random(9)
     base = [f"b{i}" for i in range(150)]
     texts = {}
@@ -80,6 +83,17 @@ def test_a_large_group_of_near_copies(spark):
     assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in got} == brute(texts, 3, 85)
 
 
+def test_many_short_documents_with_one_passage(spark, monkeypatch):
+    """They share bands, and no two are similar but for a few pairs."""
+    monkeypatch.setattr(near_dups, "BLOCK", 8)
+    r = random.Random(4)
+    passage = [f"p{i}" for i in range(14)]
+    texts = {k: " ".join([*passage, *(f"x{r.randrange(40)}" for _ in range(r.randrange(1, 6)))]) for k in range(120)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = near_dups.near_duplicates(docs, 3, 0.85).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in got} == brute(texts, 3, 85)
+
+
 def test_no_documents_and_null_ids(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert near_dups.near_duplicates(empty).collect() == []

@@ -13,11 +13,15 @@ Steps, each on what the one before left:
    is 5 standard errors below the threshold, on whole sets. Linear in the rows of the bands.
 3. Connected components of the links so far. Pairs inside one component need no more work. For bands that still span
    components: a shingle that only one of their members has can't be shared, which bounds a member's similarity to any
-   other; members that can't reach the threshold leave. The rest are compared by bounds and estimates in square blocks
-   of bounded size (members by the parity of 1024 bits bound two sets' difference from below, without error), across components only, each pair in the first band that it shares; whole sets confirm.
+   other; members that can't reach the threshold leave. The rest of a band of up to ``BLOCK`` members are compared by
+   bounds and estimates (members by the parity of 1024 bits bound two sets' difference from below, without error),
+   across components only, each pair in the first band that it shares. Members of larger bands are joined by prefixes
+   instead: of n shingles ordered from the rarest, similar sets share one of the first n - ceil(threshold * n) + 1, so
+   only documents with such a shingle in common are compared, in square blocks of bounded size. Whole sets confirm.
 4. Components of all links; copies get their class's component.
 
-Pairs are never listed within a component or within a group of copies, and no bucket is capped.
+Pairs are never listed within a component or within a group of copies, and no bucket is capped. Joins by band, set or
+node move rows of a few numbers; a hot key's side is split by adaptive execution. What is written on the way is deleted.
 
 Null texts and texts without words have an empty set, n_shingles 0 and link with nothing. Fewer words than a shingle
 form one shingle. Rows that share a doc_id are compared as separate texts under one id. A null doc_id is left out of linking and keeps
@@ -27,12 +31,11 @@ itself as component (null). Other columns are left alone; an empty table gives a
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewright.llm.common import flat_text, mix64, slices, small_batches, span_hashes, tidy, word_spans, written
+from tidewright.llm.common import discard, flat_text, mix64, slices, small_batches, span_hashes, tidy, word_spans, written
 
 BUCKET_BITS, MANTISSA_BITS, BAND = 7, 10, 4
 REGISTERS, BANDS = 1 << BUCKET_BITS, (1 << BUCKET_BITS) // BAND
@@ -160,44 +163,50 @@ def _sets(docs: DataFrame, width: int) -> DataFrame:
     return docs.mapInArrow(run, "rep long, shingles binary")
 
 
-def _similar(threshold_pct: int) -> Column:
-    """Whether 100 * |a and b| >= threshold * |a or b|, on whole sets."""
+def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All 64-bit numbers of a binary column, and the rows' offsets."""
+    data, offsets = flat_text(column)
+    return np.ascontiguousarray(data).view(np.uint64), offsets // 8
 
-    @F.pandas_udf("boolean")
-    def same(a: pd.Series, b: pd.Series) -> pd.Series:
-        out = []
-        for x, y in zip(a, b, strict=True):
-            x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-            both = np.concatenate((x, y))
-            both.sort()
-            k = int((both[1:] == both[:-1]).sum())
-            out.append(100 * k >= threshold_pct * (len(x) + len(y) - k))
-        return pd.Series(out, dtype=bool)
 
-    return same("shingles", "other")
+def _similar(threshold_pct: int):
+    """(a, b) of the rows (a, b, shingles, other) with 100 * |a and b| >= threshold * |a or b|, on whole sets."""
+
+    def run(batches):
+        for batch in batches:
+            (x, ox), (y, oy) = _flat(batch.column(2)), _flat(batch.column(3))
+            good = np.zeros(batch.num_rows, bool)
+            for i in range(batch.num_rows):
+                both = np.concatenate((x[ox[i] : ox[i + 1]], y[oy[i] : oy[i + 1]]))
+                both.sort()
+                k = int((both[1:] == both[:-1]).sum())
+                good[i] = 100 * k >= threshold_pct * (len(both) - k)
+            yield batch.select([0, 1]).filter(pa.array(good))
+
+    return run
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, threshold_pct: int) -> DataFrame:
     """The (a, b) pairs whose whole sets are similar enough."""
     one = pairs.join(sets.withColumnRenamed("rep", "a"), "a")
     two = one.join(sets.select(F.col("rep").alias("b"), F.col("shingles").alias("other")), "b")
-    return two.where(_similar(threshold_pct)).select("a", "b")
+    return two.select("a", "b", "shingles", "other").mapInArrow(_similar(threshold_pct), "a long, b long")
 
 
-def _promising(threshold_pct: int) -> Column:
-    """Whether sketches x and y may belong to similar sets."""
+def _promising(threshold_pct: int):
+    """(a, b) of the rows (a, b, x, y, sizes) whose sketches x and y may belong to similar sets."""
 
-    @F.pandas_udf("boolean")
-    def near(x: pd.Series, y: pd.Series, sizes: pd.Series) -> pd.Series:
-        out, t = [], threshold_pct / 100
-        for i in range(0, len(x), 4096):
-            one, two = (np.stack(v.iloc[i : i + 4096].to_numpy()) for v in (x, y))
-            same, full = matching(*(np.ascontiguousarray(v[:, :BANDS]).view(np.uint16) for v in (one, two)))
-            small = least_difference(one[:, BANDS:], two[:, BANDS:]) <= most_difference(sizes.iloc[i : i + 4096].to_numpy(), t)
-            out.append(small & (estimate(same, full) >= floor_of(t, full)))
-        return pd.Series(np.concatenate(out) if out else [], dtype=bool)
+    def run(batches):
+        t = threshold_pct / 100
+        for batch in batches:
+            for i in range(0, batch.num_rows, 4096):
+                part = batch.slice(i, 4096)
+                one, two = (part.column(c).flatten().to_numpy().reshape(part.num_rows, BANDS + PARITY_WORDS) for c in (2, 3))
+                same, full = matching(*(np.ascontiguousarray(v[:, :BANDS]).view(np.uint16) for v in (one, two)))
+                small = least_difference(one[:, BANDS:], two[:, BANDS:]) <= most_difference(part.column(4).to_numpy(), t)
+                yield part.select([0, 1]).filter(pa.array(small & (estimate(same, full) >= floor_of(t, full))))
 
-    return near("x", "y", F.col("n_a") + F.col("n_b"))
+    return run
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 100) -> DataFrame:
@@ -206,8 +215,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 1
     Alternates two steps on the edge table until nothing changes: every node's larger neighbours are tied to its
     smallest one, then its smaller ones. Both are one grouping, and hot nodes are grouped by minimum first.
     """
-    links = written(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct(), "links")
-    state = None
+    links, state = written(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct(), "links"), None
     for _ in range(max_rounds):
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
@@ -215,6 +223,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 1
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = written(large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct(), "links")
         now = small.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
+        discard(links, large)
         links = small
         if state == now:
             break
@@ -222,10 +231,12 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 1
     else:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     labels = links.groupBy("u").agg(F.min("v").alias("label")).withColumnRenamed("u", "node")
-    return labels.unionByName(labels.select(F.col("label").alias("node"), "label").distinct())
+    found = written(labels.unionByName(labels.select(F.col("label").alias("node"), "label").distinct()), "labels")
+    discard(links)
+    return found
 
 
-BLOCK = 1024
+BLOCK = 512
 PAIRS = 20_000
 
 
@@ -233,7 +244,7 @@ def tile_pairs(group: np.ndarray, band: np.ndarray, diagonal: np.ndarray, side:
     """(a, b) pairs of one group and different labels that bounds, estimate and first common band let through.
 
     Rows are ordered by group. All groups are worked on together: rows are paired with the row d places on, for each d
-    up to the largest group. Off the diagonal only rows of different sides are paired.
+    up to the largest group. Off the diagonal only rows of different sides are paired. Groups of band -1 are no bands.
     """
     t, out = threshold_pct / 100, []
     end = np.searchsorted(group, group, "right")
@@ -256,7 +267,7 @@ def tile_pairs(group: np.ndarray, band: np.ndarray, diagonal: np.ndarray, side:
             good = estimate(same, full) >= floor_of(t, full)
             p, q = p[good], q[good]
             common = (bands[p] == bands[q]) & (bands[p] != -1)
-            good = common.argmax(1) == band[p]  # else an earlier band has this pair
+            good = (band[p] < 0) | (common.argmax(1) == band[p])  # else an earlier band has this pair
             p, q = rep[p[good]], rep[q[good]]
             out.append(np.stack((np.minimum(p, q), np.maximum(p, q)), 1))
     return np.concatenate(out) if out else np.zeros((0, 2), np.int64)
@@ -317,7 +328,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, threshold: float = 0.8, id_
     stars = stars.select(F.least("rep", "leader").alias("a"), F.greatest("rep", "leader").alias("b")).distinct()
     sketch = classes.join(company.select("rep"), "rep", "left_semi").select("rep", "bands", "n")
     near = stars.join(sketch.select(F.col("rep").alias("a"), F.col("bands").alias("x"), F.col("n").alias("n_a")), "a").join(sketch.select(F.col("rep").alias("b"), F.col("bands").alias("y"), F.col("n").alias("n_b")), "b")
-    near = near.where(100 * F.least("n_a", "n_b") >= pct * F.greatest("n_a", "n_b")).where(_promising(pct)).select("a", "b")
+    near = near.where(100 * F.least("n_a", "n_b") >= pct * F.greatest("n_a", "n_b")).select("a", "b", "x", "y", (F.col("n_a") + F.col("n_b")).alias("sizes"))
+    near = near.mapInArrow(_promising(pct), "a long, b long")
     # whole sets of the live classes alone
     own = source.join(company.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
     sets = written(_sets(own, width), "sets")
@@ -334,21 +346,46 @@ def near_duplicates(docs: DataFrame, width: int = 5, threshold: float = 0.8, id_
     able = classes.join(members, "rep", "left_semi").join(single, "rep", "left").select("rep", "n", (F.col("n") - F.coalesce("single", F.lit(0))).alias("can")).where(100 * F.col("can") >= pct * F.col("n"))
     rest = written(split(open_.join(able, "rep")), "open")
     sizes = rest.groupBy("band", "key").agg(F.count("*").alias("size"))
-    placed = rest.join(sizes, ["band", "key"]).withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int")).withColumn("at", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
-    pair = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least(o, F.col("at")).alias("i"), F.greatest(o, F.col("at")).alias("j"), F.when(F.col("at") <= o, 0).otherwise(1).alias("side")))
-    tiles = placed.select("band", "key", "rep", "label", "n", "can", F.explode(pair).alias("p")).select("*", "p.i", "p.j", "p.side").drop("p")
+    small = rest.join(sizes.where(F.col("size") <= BLOCK).select("band", "key"), ["band", "key"])
+    tiles = small.select("band", "key", "rep", "label", "n", "can", *[F.lit(0).alias(c) for c in ("i", "j", "side")])
+    hot = written(rest.join(sizes.where(F.col("size") > BLOCK).select("band", "key"), ["band", "key"], "left_semi").select("rep", "label", "n").distinct(), "hot")
+    if not hot.isEmpty():
+        tiles = tiles.unionByName(_blocks(split(_prefixes(hot, sets, pct))))
     tiles = tiles.join(classes.select("rep", "bands"), "rep")
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     tiles = tiles.repartition(parts, "band", "key", "i", "j").sortWithinPartitions("band", "key", "i", "j")
     more = tiles.select("band", "key", "i", "j", "side", "rep", "label", "n", "can", "bands").mapInArrow(_tiles(pct), "a long, b long").distinct()
     more = written(_confirmed(more, sets, pct), "pairs")
-    labels = components(links.unionByName(more)).withColumnRenamed("node", "rep")
+    final = components(links.unionByName(more))
+    discard(live, sets, open_, rest, hot, links, more, labels)
 
-    known = classes.select("set_a", "set_b", "rep").join(labels, "rep", "left").select("set_a", "set_b", F.coalesce("label", "rep").alias("component"))
-    each = rows.join(known, ["set_a", "set_b"], "left")
+    known = classes.select("set_a", "set_b", "rep").join(final.withColumnRenamed("node", "rep"), "rep", "left").select("set_a", "set_b", F.coalesce("label", "rep").alias("component"))
+    # texts without words have one set and no class: they stay out of the join
+    alone = rows.where("n_shingles = 0").withColumn("component", F.lit(None).cast("long"))
+    each = rows.where("n_shingles > 0").join(known, ["set_a", "set_b"], "left").select(alone.columns).unionByName(alone)
     linked = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
     component = F.when(linked, F.coalesce("component", "doc_id")).otherwise(F.col("doc_id"))
-    return each.select("doc_id", "n_shingles", component.alias("component_id"), (component.eqNullSafe(F.col("doc_id"))).alias("kept"))
+    done = written(each.select("doc_id", "n_shingles", component.alias("component_id"), (component.eqNullSafe(F.col("doc_id"))).alias("kept")), "near-duplicates")
+    discard(rows, classes, final)
+    return done
+
+
+def _prefixes(hot: DataFrame, sets: DataFrame, threshold_pct: int) -> DataFrame:
+    """(band -1, key, rep, label, n, can) for the shingles (as key) of each member's prefix that another member has."""
+    tokens = sets.join(hot.select("rep"), "rep", "left_semi").mapInArrow(_exploded, "rep long, token long")
+    often = tokens.groupBy("token").agg(F.count("*").alias("k"))
+    listed = tokens.join(often, "token").groupBy("rep").agg(F.sort_array(F.collect_list(F.struct("k", "token"))).alias("all"))  # one document's set
+    kept = F.expr(f"n - ceil(n * {threshold_pct} / 100) + 1").cast("int")
+    each = listed.join(hot, "rep").select("rep", "label", "n", F.explode(F.filter(F.slice("all", F.lit(1), kept), lambda x: x["k"] > 1)).alias("x"))
+    return each.select(F.lit(-1).alias("band"), F.col("x.token").alias("key"), "rep", "label", "n", F.col("n").alias("can"))
+
+
+def _blocks(rows: DataFrame) -> DataFrame:
+    """Rows of each key dealt to pairs of blocks of about ``BLOCK`` rows, so that each pair of rows meets in one of them."""
+    sizes = rows.groupBy("band", "key").agg(F.count("*").alias("size"))
+    placed = rows.join(sizes, ["band", "key"]).withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int")).withColumn("at", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    pair = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least(o, F.col("at")).alias("i"), F.greatest(o, F.col("at")).alias("j"), F.when(F.col("at") <= o, 0).otherwise(1).alias("side")))
+    return placed.select("band", "key", "rep", "label", "n", "can", F.explode(pair).alias("p")).select("band", "key", "rep", "label", "n", "can", "p.i", "p.j", "p.side")
 
 
 def _exploded(batches):
