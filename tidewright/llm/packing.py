@@ -10,7 +10,9 @@ of a task the unfinished bins' pieces are put together, longest first, and the l
 Sequence ids are the task's number times 2**32 plus a count, so they are unique without any exchange. The same rows in
 the same order give the same sequences, so a task that runs again repeats its result.
 
-A null text is an empty document, which has the end id alone. Repeated rows are packed as often as they occur; an empty
+A null text is an empty document, which has the end id alone. Repeated rows, and rows that share an id, are packed as
+often as they occur; a null id stays null. A document longer than ``capacity`` ids gives whole sequences first, however
+long it is, and its ids are in memory once. Only the id and text columns are read, so other columns never clash. An empty
 table gives no piece.
 """
 
@@ -121,7 +123,7 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int
 
         for batch in batches:
             doc_ids = batch.column(0).to_pylist()
-            for first, ids, at in encoder.encode(batch.column(1)):
+            for first, ids, at in encoder.encode(batch.column(1), 1 << 20):
                 for i in range(len(at) - 1):
                     own = np.append(ids[at[i] : at[i + 1]], np.uint32(end_id)).astype("<u4")
                     packer.add((doc_ids[first + i], own), len(own))
@@ -131,5 +133,5 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int
         encoder.forget()
         tidy()
 
-    small_batches(docs.sparkSession, 8 << 20)
+    small_batches(docs.sparkSession, 4 << 20)
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, PIECES)

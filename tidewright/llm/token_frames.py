@@ -12,7 +12,9 @@ A reader takes the seek table and the document ids from the end of the file and
 is asked for, no others.
 
 Null texts are empty documents; each document ends with ``end_id``. Rows that share a doc_id keep a place each, in the
-order of their text's hash. A null doc_id is stored as the smallest 64-bit integer and read back as null.
+order of their text's hash, and are dealt to partitions by it, so that an id with many rows is split. A null doc_id is
+stored as the smallest 64-bit integer and read back as null. A document is one frame however long it is, up to the 4 GB
+that a seek table can tell. Only the id and text columns are read, so other columns never clash.
 """
 
 from __future__ import annotations
@@ -116,7 +118,7 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, folder: str | None =
         part, done, out, encoder = TaskContext.get().partitionId(), [], None, Encoder.of(tokenizer_path)
         for batch in batches:
             doc_ids = batch.column(0).fill_null(NO_ID).to_numpy(zero_copy_only=False)
-            for first, ids, at in encoder.encode(batch.column(1)):
+            for first, ids, at in encoder.encode(batch.column(1), 1 << 20):
                 for i in range(len(at) - 1):
                     if out is not None and out.size >= max_file_bytes:
                         done.append(out.close())
@@ -129,9 +131,9 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, folder: str | None =
         encoder.forget()
         tidy()
 
-    small_batches(spark, 8 << 20)
+    small_batches(spark, 4 << 20)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    rows = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))
+    rows = rows.withColumn("hash", F.xxhash64("text")).repartitionByRange("doc_id", "hash").sortWithinPartitions("doc_id", "hash").select("doc_id", "text")
     rows.mapInArrow(write, MANIFEST).write.parquet(f"{folder}/manifest")
     return folder
 
