@@ -22,7 +22,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -183,16 +182,16 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
     small_batches(docs.sparkSession, 8 << 20)
     spread = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("lang_pred string, score double, lang_rejected boolean")
-    def predict(text: pd.Series) -> pd.DataFrame:
+    @F.arrow_udf("lang_pred string, score double, lang_rejected boolean")
+    def predict(text: pa.Array) -> pa.Array:
         m = spread.value
-        data, offsets = flat_text(pa.array(text, pa.string()))
+        data, offsets = flat_text(text)
         lang, score, margin = (np.zeros(len(text), t) for t in (int, float, float))
         if len(m.languages):
             for a, b in _bounded(offsets):
                 lang[a:b], score[a:b], margin[a:b] = classify(m, ngram_counts(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]))
-        names = np.array(m.languages or ["und"], object)[lang]
-        return pd.DataFrame({"lang_pred": names, "score": score, "lang_rejected": margin < 0})
+        names = pa.array(m.languages or ["und"], pa.string()).take(pa.array(lang))
+        return pa.StructArray.from_arrays([names, pa.array(score), pa.array(margin < 0)], ["lang_pred", "score", "lang_rejected"])
 
     predict = predict.asNondeterministic()  # else a filter on its result is pushed down and evaluates it twice
     fresh = [c for c in docs.columns if c not in {"lang_pred", "score", "lang_rejected"}]
