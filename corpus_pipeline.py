@@ -10,27 +10,47 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewright.llm import language_id, line_quality, near_dups, packing
-from tidewright.llm.common import written
+from tidewright.llm.common import with_found, written
 from tidewright.llm.queries import tokenizer_path
 
 
+#: The columns that stages read. Others are carried under names that no operator uses, whatever they are called.
+READ = ("doc_id", "text", "lang", "source")
+
+
+def _apart(docs: DataFrame) -> DataFrame:
+    return docs.toDF(*[c if c in READ else f"_x{i}" for i, c in enumerate(docs.columns)])
+
+
+def _back(df: DataFrame, docs: DataFrame) -> DataFrame:
+    return df.select(_apart(docs).columns).toDF(*docs.columns)
+
+
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose text is near enough to a centroid of some language; the label stays, a null one is filled in."""
     model = language_id.train(docs, F.lit(True))
-    told = language_id.identify(docs, model).where(~F.col("lang_rejected"))
-    return told.withColumn("lang", F.coalesce("lang", "lang_pred")).select(docs.columns)
+    told = language_id.identify(_apart(docs), model).where(~F.col("lang_rejected"))
+    return _back(told.withColumn("lang", F.coalesce("lang", "lang_pred")), docs)
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and aren't mostly boilerplate lines of their host."""
-    return line_quality.quality_rules(docs).where("kept").select(docs.columns)
+    return _back(line_quality.quality_rules(_apart(docs)).where("kept"), docs)
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of similar ones: shingles of five words, similarity 0.8."""
-    found = near_dups.near_duplicates(docs, width=5, threshold=0.8)
-    gone = found.groupBy("doc_id").agg(F.bool_or("kept").alias("kept")).where("NOT kept").select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    """The document with the smallest id of each group of similar ones: shingles of five words, similarity 0.8.
+
+    Rows with equal id and text are one document; texts are shuffled for them alone, or where many documents go.
+    """
+    found = near_dups.near_duplicates(docs, width=5, threshold=0.8).where("doc_id IS NOT NULL")
+    told = found.groupBy("doc_id").agg(F.bool_or("kept").alias("_kept"), F.count("*").alias("_rows")).where("NOT _kept OR _rows > 1")
+    told = written(told, "told")
+    marked = with_found(_apart(docs), told, ["doc_id"])
+    once = marked.where("_rows IS NULL")
+    if told.where("_kept").isEmpty():
+        return _back(once, docs)
+    return _back(once.unionByName(marked.where("_kept").dropDuplicates(["doc_id", "text"])), docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

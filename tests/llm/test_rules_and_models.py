@@ -36,7 +36,7 @@ def test_base_counts(spark, monkeypatch, bits):
     assert {r.k: tuple(r)[1:] for r in got} == {i: plain_counts(t) for i, t in enumerate(texts)}
 
 
-def plain_rules(rows, min_docs, share):
+def plain_rules(rows, min_docs, share, most_docs=10**9, min_words=5):
     norm = lambda x: " ".join(WORD.findall(x.lower()))
     texts = {}
     for _, host, text in rows:
@@ -46,9 +46,9 @@ def plain_rules(rows, min_docs, share):
         n, _, _, _, repeat = plain_counts(text)
         lines = [x for x in (text or "").split("\n") if WORD.search(x)]
         own = texts[host or ""]
-        often = {norm(x) for x in lines if (k := sum(norm(x) in {norm(y) for y in t.split("\n")} for t in own)) > min_docs and k > share * len(own)}
+        often = {norm(x) for x in lines if (k := sum(norm(x) in {norm(y) for y in t.split("\n")} for t in own)) > max(min_docs, min(most_docs, share * len(own)))}
         removed = sum(len(WORD.findall(x)) for x in lines if norm(x) in often)
-        failed = n < 5 or 2 * repeat > n
+        failed = n < min_words or 2 * repeat > n
         out.append((doc_id, removed, failed, not failed and 2 * removed <= n))
     return out
 
