@@ -186,12 +186,72 @@ def test_lineage(spark):
 
 
 def test_lockout_rules():
-    import pandas as pd
-
     at = [0, 1, 2, 3, 100, 101, 200]
     ok = [False, False, False, True, False, True, True]
-    got = alerts.locked_out(pd.DataFrame({"at_us": at, "ok": ok}), 2, 50)
-    assert list(got.outcome) == ["failed", "locked", "refused", "refused", "locked", "refused", "allowed"]
+    state, got, _ = alerts.locked_out((0, -1), at[:3], ok[:3], 2, 50)
+    more = alerts.locked_out(state, at[3:], ok[3:], 2, 50)[1]
+    assert got + more == ["failed", "locked", "refused", "refused", "locked", "refused", "allowed"]
+
+
+def test_lockout_of_unknown_and_disabled_users(spark):
+    tries = spark.createDataFrame([("a", 1, False), ("b", 2, False), ("c", 3, True), ("d", 4, True), (None, 5, True)], "user string, i int, ok boolean").withColumn("at", F.timestamp_seconds("i"))
+    users = spark.createDataFrame([("a", True), ("b", False), ("c", True), ("d", None)], "user string, enabled boolean")
+    got = alerts.lockout(tries, "user", "at", F.col("ok"), "i", users=users).collect()
+    assert {r.i: r.outcome for r in got} == {1: "failed", 2: "disabled", 3: "allowed", 4: "disabled", 5: "unknown"}
+
+
+def test_scans_carry_their_state_over_batches(spark):
+    """Batches of two rows give what one batch gives, for keys that begin and end anywhere, null keys too."""
+    import random
+
+    r = random.Random(6)
+    rows = [(r.choice(["a", "b", "c", None]), i, r.choice([1, 9, 9, None])) for i in range(60)]
+    df = spark.createDataFrame(rows, "s string, i int, v int").withColumn("at", F.timestamp_seconds("i"))
+    expected = []
+    for key in ("a", "b", "c", None):
+        last = None
+        for _, i, v in (x for x in rows if x[0] == key):
+            if not (v or 0) > 5:
+                last = None
+            elif last is None or i >= last + 3:
+                expected.append(i)
+                last = i
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        for size in (2, 10_000):
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+            assert sorted(x.i for x in alerts.threshold_alerts(df, ["s"], "at", "v", F.lit(5), 3).collect()) == sorted(expected)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
+def test_ignore_null_replay(spark):
+    t = spark.createDataFrame([(1, "a", "b"), (2, "c", "d"), (3, "e", "f")], "k int, x string, y string")
+    c = [(1, None, "B", "UPDATE", 1), (1, "A", None, "UPSERT", 2), (2, "C", None, "UPDATE", 1), (2, None, None, "DELETE", 2), (2, None, "D", "UPSERT", 3), (3, "E", None, "UPDATE", 1), (3, None, None, "DELETE", 2), (4, "n", None, "INSERT", 1), (4, None, "m", "UPDATE", 2)]
+    after, rejects = changes.replay(t, spark.createDataFrame(c, "k int, x string, y string, _op string, seq int"), ["k"], "seq", ignore_null=True)
+    assert sorted(map(tuple, after.collect())) == [(1, "A", "B"), (2, None, "D"), (4, "n", "m")] and rejects.count() == 0
+
+
+def test_commands_take_lines_that_end_at_line_feeds_alone(spark):
+    from tidewright.operators import rows
+
+    values = ["a\u2028b", "c\x0bd", "two\nlines", "", "é"]
+    got = rows.piped(spark.createDataFrame([(x,) for x in values], "value string").coalesce(1), ["cat"]).collect()
+    assert sorted((r.value, r._route) for r in got) == sorted((x, "failure" if "\n" in x else "success") for x in values)
+
+
+def test_all_messages_and_extra_fields_stay(spark):
+    from tidewright.operators import routing
+    from tidewright.sources import delimited
+
+    bad = spark.range(30).select(F.lit("u").alias("unit"), F.concat(F.lit("message "), F.col("id").cast("string")).alias("_error"))
+    assert len(routing.errors_by(bad, "unit").first().messages) == 30
+    fields = spark.createDataFrame([(["1", "2", "3", "4"],), (["5"],)], "fields array<string>")
+    got = delimited.named_fields(fields, ["a"]).collect()
+    assert got[0].unknown_fields == {"unknown_field_index_1": "2", "unknown_field_index_2": "3", "unknown_field_index_3": "4"} and got[1].unknown_fields == {}
+    wide = delimited.named_fields(fields, ["a"], most=3).first()
+    assert (wide.unknown_field_index_1, wide.unknown_field_index_2, wide.unknown_fields) == ("2", "3", {"unknown_field_index_3": "4"})
+    assert delimited.named_fields(fields, ["a"], extra="drop").columns == ["a"]
 
 
 def test_alerts_rearm(spark):

@@ -21,15 +21,15 @@ def test_publish_is_all_or_nothing(spark, tmp_path):
 
 def test_versions(spark, tmp_path):
     path = str(tmp_path / "v")
-    assert tables.append_version(spark.createDataFrame([(1, "alice"), (2, "bob"), (3, "carol")], "id int, name string"), path) == 0
-    assert tables.append_version(spark.createDataFrame([(4, "dan")], "id int, name string"), path) == 1
+    assert tables.append_version(spark.createDataFrame([(7, "oak"), (8, "elm"), (9, "ash")], "tree int, kind string"), path) == 0
+    assert tables.append_version(spark.createDataFrame([(10, "fir")], "tree int, kind string"), path) == 1
     assert tables.read_version(spark, path).count() == 4 and tables.read_version(spark, path, 0).count() == 3
 
 
 def test_partition_folders(spark, tmp_path):
-    df = spark.createDataFrame([("2015-02-02",), ("2015-02-02",), ("2016-01-02",), ("2017-01-10",)], "d string").select(F.col("d").cast("date").alias("date"))
+    df = spark.createDataFrame([("1999-12-31",), ("1999-05-06",), ("2003-07-08",), ("2020-02-29",)], "d string").select(F.col("d").cast("date").alias("date"))
     tables.append(df, str(tmp_path / "t"), [("date", "year")])
-    assert sorted(p.name for p in (tmp_path / "t").iterdir() if "=" in p.name) == ["date_year=2015", "date_year=2016", "date_year=2017"]
+    assert sorted(p.name for p in (tmp_path / "t").iterdir() if "=" in p.name) == ["date_year=1999", "date_year=2003", "date_year=2020"]
 
 
 def test_compaction_keeps_or_removes_sources(spark, tmp_path):
@@ -85,15 +85,63 @@ def test_snapshot_modes(spark):
     assert feeds.with_snapshot(s, c, "when_needed", have_offsets=True).count() == 1
 
 
+SCHEMA = "k int, v string, _op string, seq long"
+
+
 def test_redelivered_batches_change_nothing(spark, tmp_path):
-    feed = str(tmp_path / "feed")
-    schema = "k int, v string, _op string, seq long"
-    spark.createDataFrame([(1, "a", "UPSERT", 1), (2, "b", "UPSERT", 2)], schema).coalesce(1).write.parquet(feed)
-    spark.createDataFrame([(1, "c", "UPSERT", 3), (2, "x", "DELETE", 4)], schema).coalesce(1).write.mode("append").parquet(feed)
+    feed, path = str(tmp_path / "feed"), str(tmp_path / "t")
+    spark.createDataFrame([(1, "a", "UPSERT", 1), (2, "b", "UPSERT", 2), (None, "n", "UPSERT", 9)], SCHEMA).coalesce(1).write.parquet(feed)
+    spark.createDataFrame([(1, "c", "UPSERT", 3), (2, "x", "DELETE", 4), (3, "z", "DELETE", 1)], SCHEMA).coalesce(1).write.mode("append").parquet(feed)
     for attempt in range(2):  # a new checkpoint delivers everything again
-        stream = spark.readStream.schema(schema).parquet(feed)
-        upserts.upsert_stream(stream, str(tmp_path / "t"), str(tmp_path / f"c{attempt}"), ["k"], "seq").awaitTermination()
-        assert [(x.k, x.v) for x in spark.read.parquet(str(tmp_path / "t")).collect() if x.k == 1] == [(1, "c")]
+        stream = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(feed)
+        upserts.upsert_stream(stream, path, str(tmp_path / f"c{attempt}"), ["k"], "seq", buckets=3).awaitTermination()
+        assert sorted((x.k, x.v, x.seq) for x in upserts.read_upserted(spark, path).collect()) == [(1, "c", 3)]
+        assert [x._error for x in spark.read.parquet(f"{path}_rejects").collect()] == ["null key"]
+    assert len(tables.names_in(spark, f"{path}/_snapshots")) == 2  # older ones go with their folders
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_batches_in_any_order_keep_deleted_keys_away(spark, tmp_path, seed):
+    import random
+
+    r, path = random.Random(seed), str(tmp_path / "t")
+    changes = [(r.randrange(6), f"v{i}", r.choice(["UPSERT", "UPSERT", "DELETE"]), i) for i in range(40)]
+    last = {k: (v, op, i) for k, v, op, i in changes}
+    r.shuffle(changes)
+    for n in range(0, 40, 10):
+        upserts.upsert_batch(spark.createDataFrame(changes[n : n + 10], SCHEMA), path, ["k"], "seq", buckets=4, number=n)
+    assert sorted((x.k, x.v, x.seq) for x in upserts.read_upserted(spark, path).collect()) == sorted((k, v, i) for k, (v, op, i) in last.items() if op == "UPSERT")
+
+
+def test_transactions_are_all_or_nothing(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.range(100).withColumn("v", F.col("id") % 50)
+    bad = lambda df: F.when(F.col("id") == 7, F.lit("bad row"))
+    for _ in range(2):  # a repeated batch replaces its own
+        done = upserts.append_transactions(rows, path, 0, 30, bad)
+        assert len(done) == 3
+        kept, failed = (spark.read.parquet(f"{path}{x}/batch=0") for x in ("", "_failed"))
+        assert kept.count() + failed.count() == 100 and failed.where("_error IS NOT NULL").count() == 1 and failed.select("part").distinct().count() == 1
+
+
+def test_stream_states_take_a_key_s_rows_in_order(spark, tmp_path):
+    """A key with more rows in a trigger than an Arrow batch holds is still processed in order, as the batch form does."""
+    from tidewright.operators import alerts
+    from tidewright.streaming import monitors
+
+    rows = [(1, i, (i * 7) % 40, (i * 7) % 40 % 5 == 0) for i in range(40)]
+    df = spark.createDataFrame(rows, "user_id long, event_id long, at_us long, ok boolean").coalesce(1)
+    df.write.parquet(str(tmp_path / "feed"))
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 2)
+    try:
+        feed = spark.readStream.schema(df.schema).parquet(str(tmp_path / "feed"))
+        upserts.append_stream(monitors.lockout(feed, "user_id", "at_us", "ok", 3, 0, "event_id"), str(tmp_path / "out"), str(tmp_path / "c")).awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    got = {x.at_us: x.outcome for x in spark.read.parquet(str(tmp_path / "out")).collect()}
+    batch = alerts.lockout(df.withColumn("at", F.timestamp_micros("at_us")), "user_id", "at", F.col("ok"), "at_us", 3, 0).collect()
+    assert got == {x.at_us: x.outcome for x in batch}
 
 
 def test_routes_of_destinations(spark, tmp_path):

@@ -6,7 +6,7 @@ returns the new target (and rejects where rows can fail); publishing it is the s
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -89,46 +89,50 @@ def replay(target: DataFrame, changes: DataFrame, keys: list[str], seq: str, op:
     """(new target, rejects) of changes with an operation each, applied in ``seq`` order.
 
     INSERT of a present key is rejected. UPDATE and DELETE of an absent key have no effect, or with ``strict`` are
-    rejected; the _IGNORE forms never are. A null key is rejected. Each key's changes are folded in order over its
-    target row, so the table is joined once however the operations mix; a change carries all target columns.
+    rejected; the _IGNORE forms never are. A null key and an unknown operation are rejected. A change carries all target
+    columns; ``seq`` isn't null and differs between a key's changes.
+
+    Whether a key is there before a change follows from the last change before it that set or removed it, which a
+    window tells row by row; what the key holds in the end is the last change that set it, by partial maxima. So no
+    key's changes are gathered in one row, however many a hot key has.
     """
     values = [c for c in target.columns if c not in keys]
     null_key = F.lit(False)
     for k in keys:
         null_key = null_key | F.col(k).isNull()
     bad_keys = changes.where(null_key).withColumn("_error", F.lit("null key"))
-    item = F.struct(F.col(seq).alias("seq"), F.col(op).alias("op"), F.struct(*[F.col(c).cast(target.schema[c].dataType).alias(c) for c in values]).alias("row"), F.struct(*changes.columns).alias("whole"))
-    grouped = changes.where(~null_key).groupBy(*keys).agg(F.array_sort(F.collect_list(item), lambda a, b: F.when(a["seq"] < b["seq"], -1).when(a["seq"] > b["seq"], 1).otherwise(0)).alias("_changes"))
-    base = target.select(*keys, F.struct(F.lit(True).alias("there"), F.struct(*values).alias("row")).alias("_base"))
-    joined = base.join(grouped, keys, "full_outer")
-    row_type = target.select(F.struct(*values).alias("r")).schema["r"].dataType
-    whole_type = changes.select(F.struct(*changes.columns).alias("w")).schema["w"].dataType
-    empty_row = F.lit(None).cast(row_type)
-    state = F.coalesce(F.col("_base"), F.struct(F.lit(False).alias("there"), empty_row.alias("row")))
-    zero = F.struct(state["there"].alias("there"), state["row"].alias("row"), F.array().cast(f"array<struct<_error:string,whole:{whole_type.simpleString()}>>").alias("bad"))
-
-    def merged(old: Column, new: Column) -> Column:
-        if not ignore_null:
-            return new
-        return F.struct(*[F.coalesce(new.getField(c), old.getField(c)).alias(c) for c in values])
-
-    def step(a: Column, x: Column) -> Column:
-        kind, there = x["op"], a["there"]
-        insert_, update_, delete_ = kind.isin("INSERT", "INSERT_IGNORE"), kind.isin("UPDATE", "UPDATE_IGNORE"), kind.isin("DELETE", "DELETE_IGNORE")
-        row = F.when(insert_ & ~there, x["row"]).when(update_ & there, merged(a["row"], x["row"])).when(kind == "UPSERT", F.when(there, merged(a["row"], x["row"])).otherwise(x["row"])).when(delete_, empty_row).otherwise(a["row"])
-        now = F.when(insert_ | (kind == "UPSERT"), True).when(delete_, False).otherwise(there)
-        error = F.when((kind == "INSERT") & there, F.lit("duplicate key"))
-        if strict:
-            error = F.coalesce(error, F.when(kind.isin("UPDATE", "DELETE") & ~there, F.lit("no such key")))
-        known = insert_ | update_ | delete_ | (kind == "UPSERT")
-        error = F.coalesce(error, F.when(~F.coalesce(known, F.lit(False)), F.lit("no operation")))
-        bad = F.when(error.isNotNull(), F.concat(a["bad"], F.array(F.struct(error.alias("_error"), x["whole"].alias("whole"))))).otherwise(a["bad"])
-        return F.struct(F.coalesce(now, there).alias("there"), row.alias("row"), bad.alias("bad"))
-
-    folded = joined.select(*keys, F.aggregate(F.coalesce(F.col("_changes"), F.array().cast(f"array<struct<seq:{changes.schema[seq].dataType.simpleString()},op:string,row:{row_type.simpleString()},whole:{whole_type.simpleString()}>>")), zero, step).alias("_s"))
-    after = folded.where("_s.there").select(*keys, "_s.row.*").select(*target.columns)
-    rejects = folded.select(F.explode("_s.bad").alias("b")).select("b.whole.*", "b._error").unionByName(bad_keys)
-    return after, rejects
+    kind = F.col(op)
+    insert_, update_, delete_ = kind.isin("INSERT", "INSERT_IGNORE"), kind.isin("UPDATE", "UPDATE_IGNORE"), kind.isin("DELETE", "DELETE_IGNORE")
+    effect = F.when(insert_ | (kind == "UPSERT"), True).when(delete_, False)
+    base = target.select(*keys, F.struct(*values).alias("_base"))
+    before = Window.partitionBy(*keys).orderBy(seq).rowsBetween(Window.unboundedPreceding, -1)
+    so_far = Window.partitionBy(*keys).orderBy(seq).rowsBetween(Window.unboundedPreceding, 0)
+    told = changes.where(~null_key).join(target.select(*keys, F.lit(True).alias("_present")), keys, "left")
+    told = told.withColumn("_effect", effect).withColumn("_there", F.coalesce(F.last("_effect", True).over(before), "_present", F.lit(False)))
+    there = F.col("_there")
+    error = F.when((kind == "INSERT") & there, F.lit("duplicate key"))
+    if strict:
+        error = F.coalesce(error, F.when(kind.isin("UPDATE", "DELETE") & ~there, F.lit("no such key")))
+    error = F.coalesce(error, F.when(~F.coalesce(insert_ | update_ | delete_ | (kind == "UPSERT"), F.lit(False)), F.lit("no operation")))
+    rejects = told.withColumn("_error", error).where(F.col("_error").isNotNull()).select(*changes.columns, "_error").unionByName(bad_keys)
+
+    sets = insert_ & ~there | update_ & there | (kind == "UPSERT")
+    # a life begins with each row that is created and each removal; the target's own row is life 0
+    lives = told.withColumn("_sets", sets).withColumn("_life", F.sum(F.when(sets & ~there | delete_, 1).otherwise(0)).over(so_far))
+    row = F.struct(*[F.col(c).cast(target.schema[c].dataType).alias(c) for c in values])
+    at = lambda what: F.struct(F.col("_life").alias("life"), F.col(seq).alias("seq"), what.alias("what"))
+    if ignore_null:
+        last = [F.max_by(F.struct(F.col("_life").alias("life"), F.col(c).cast(target.schema[c].dataType).alias("v")), F.when(F.col("_sets") & F.col(c).isNotNull(), F.struct("_life", seq))).alias(f"_v{i}") for i, c in enumerate(values)]
+    else:
+        last = [F.max_by(at(row), F.when(F.col("_sets"), F.struct("_life", seq))).alias("_row")]
+    final = lives.groupBy(*keys).agg(F.max_by("_effect", F.when(F.col("_effect").isNotNull(), F.col(seq))).alias("_alive"), F.max("_life").alias("_last"), *last)
+    joined = base.join(final, keys, "full_outer").where(F.coalesce("_alive", F.col("_base").isNotNull()))
+    own = lambda c: F.when(F.coalesce("_last", F.lit(0)) == 0, F.col(f"_base.{c}"))
+    if ignore_null:
+        out = [F.when(F.col(f"_v{i}.life") == F.col("_last"), F.col(f"_v{i}.v")).otherwise(own(c)).alias(c) for i, c in enumerate(values)]
+    else:
+        out = [F.when(F.col("_row.life") == F.col("_last"), F.col(f"_row.what.{c}")).otherwise(own(c)).alias(c) for c in values]
+    return joined.select(*keys, *out).select(*target.columns), rejects
 
 
 def apply_changes(target: DataFrame, changes: DataFrame, keys: list[str], mode: str, seq: str | None = None, **options) -> DataFrame:

@@ -71,10 +71,10 @@ def metrics(df: DataFrame, by: list[str] | None = None) -> DataFrame:
     return grouped.agg(F.count("*").alias("rows_in"), failed.alias("rows_failed"), (F.count("*") - failed).alias("rows_out"))
 
 
-def errors_by(df: DataFrame, unit: str, most: int = 10) -> DataFrame:
-    """For each input unit how many rows failed, and up to ``most`` of its distinct messages in order."""
+def errors_by(df: DataFrame, unit: str, most: int | None = None) -> DataFrame:
+    """For each input unit how many rows failed, and its distinct messages in order (``most``: only the first so many)."""
     bad = df.where(F.col("_error").isNotNull()).groupBy(unit, "_error").agg(F.count("*").alias("n"))
-    return bad.groupBy(unit).agg(F.sum("n").alias("rows_failed"), F.slice(F.sort_array(F.collect_list("_error")), 1, most).alias("messages"))
+    return bad.groupBy(unit).agg(F.sum("n").alias("rows_failed"), (F.sort_array(F.collect_list("_error")) if most is None else F.slice(F.sort_array(F.collect_list("_error")), 1, most)).alias("messages"))
 
 
 def all_or_nothing(df: DataFrame, publish: Callable[[DataFrame], None]) -> bool:

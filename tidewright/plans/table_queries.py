@@ -231,7 +231,7 @@ def compaction(spark, d):
     path = work_folder(spark, "parts")
     for i in range(3):
         _orders(spark, d).where(order_key() % 3 == i).repartition(4).write.mode("append").parquet(path)
-    tables.compact(spark, path, f"{path}_one", files=2)
+    tables.compact(spark, path, f"{path}_one", target_bytes=1 << 20)
     return spark.read.parquet(f"{path}_one").groupBy("o_orderstatus").agg(F.count("*").alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total"))
 
 
@@ -260,9 +260,9 @@ def _stream_source(spark, d, files=4):
 @query("SELECT user_id, event_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS r FROM events) WHERE r = 1 AND event_type <> 'error'")
 def stream_upsert(spark, d):
     path, feed = _stream_source(spark, d)
-    run = upserts.upsert_stream(feed, f"{path}_table", f"{path}_checkpoint", ["user_id"], "event_id")
+    run = upserts.upsert_stream(feed, f"{path}_table", f"{path}_checkpoint", ["user_id"], "event_id", buckets=8)
     run.awaitTermination()
-    return spark.read.parquet(f"{path}_table").select("user_id", "event_id", "event_type")
+    return upserts.read_upserted(spark, f"{path}_table").select("user_id", "event_id", "event_type")
 
 
 @query("SELECT event_type, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS ids FROM events GROUP BY event_type")
@@ -329,9 +329,9 @@ def lockout(spark, d):
 @query(_LOCKOUT + "SELECT outcome, count(*) AS n FROM s GROUP BY outcome")
 def stream_lockout(spark, d):
     path = work_folder(spark, "attempts")
-    table(spark, d, "events").select("user_id", (F.unix_micros(F.col("ts").cast("timestamp"))).alias("at_us"), (F.col("event_type") != "error").alias("ok")).repartitionByRange(3, "at_us").sortWithinPartitions("at_us").write.parquet(path)
-    feed = spark.readStream.schema("user_id long, at_us long, ok boolean").parquet(path)
-    upserts.append_stream(monitors.lockout(feed, "user_id", "at_us", "ok", 2, 86400), f"{path}_out", f"{path}_checkpoint").awaitTermination()
+    table(spark, d, "events").select("event_id", "user_id", (F.unix_micros(F.col("ts").cast("timestamp"))).alias("at_us"), (F.col("event_type") != "error").alias("ok")).repartitionByRange(3, "at_us").sortWithinPartitions("at_us").write.parquet(path)
+    feed = spark.readStream.schema("event_id long, user_id long, at_us long, ok boolean").parquet(path)
+    upserts.append_stream(monitors.lockout(feed, "user_id", "at_us", "ok", 2, 86400, "event_id"), f"{path}_out", f"{path}_checkpoint").awaitTermination()
     return spark.read.parquet(f"{path}_out").groupBy("outcome").agg(F.count("*").alias("n"))
 
 

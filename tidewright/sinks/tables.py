@@ -38,6 +38,38 @@ def move(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"can't rename {source}")
 
 
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files and folders in a folder; none where it is absent."""
+    fs, at = _fs(spark, path)
+    return [x.getPath().getName() for x in fs.listStatus(at)] if fs.exists(at) else []
+
+
+def size_of(spark: SparkSession, path: str) -> int:
+    """Bytes of all files under a path or glob."""
+    fs, at = _fs(spark, path)
+    return sum(fs.getContentSummary(x.getPath()).getLength() for x in fs.globStatus(at) or [])
+
+
+def create(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that wasn't there; fails if it was."""
+    fs, at = _fs(spark, path)
+    out = fs.create(at, False)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file's text."""
+    fs, at = _fs(spark, path)
+    stream = fs.open(at)
+    try:
+        return str(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
+
+
 def publish(df: DataFrame, path: str, check: Callable[[DataFrame], bool] | None = None, file_format: str = "parquet", partition_by: list[str] | None = None, options: dict[str, str] | None = None) -> None:
     """Replaces the table at ``path`` with ``df``, which may read it: stage, check, rename the old away, rename in."""
     spark, stage, old = df.sparkSession, f"{path}_staging_{uuid.uuid4().hex}", f"{path}_old_{uuid.uuid4().hex}"
@@ -85,11 +117,7 @@ def append_version(df: DataFrame, path: str, retries: int = 5) -> int:
 
     def commit() -> int:
         version = len(versions(spark, path))
-        mark = f"{path}/_versions/{version:08d}"
-        fs, at = _fs(spark, mark)
-        out = fs.create(at, False)
-        out.write(bytearray(data.encode()))
-        out.close()
+        create(spark, f"{path}/_versions/{version:08d}", data)
         return version
 
     return retried(commit, retries=retries, least=0.01)
@@ -109,12 +137,13 @@ def read_version(spark: SparkSession, path: str, version: int | None = None) ->
     return spark.read.parquet(*folders[: len(folders) if version is None else version + 1])
 
 
-def compact(spark: SparkSession, source: str, target: str, files: int = 1, keep_source: bool = False, codec: str = "snappy") -> int:
-    """Few files from many, checked by row count before the sources go; returns the rows."""
+def compact(spark: SparkSession, source: str, target: str, target_bytes: int = 128 << 20, keep_source: bool = False, codec: str = "snappy") -> int:
+    """Few files from many, of about ``target_bytes``, checked by row count before the sources go; returns the rows.
+
+    Every source split is read by its own task; the number of files follows from the sources' bytes."""
     rows = spark.read.parquet(source)
-    n = rows.count()
-    # a rebalance splits work by size; one file is asked for only where the data is small
-    publish(rows.coalesce(files) if files < rows.rdd.getNumPartitions() else rows, target, lambda x: x.count() == n, options={"compression": codec})
+    n, files = rows.count(), max(1, -(-size_of(spark, source) // target_bytes))
+    publish(rows.repartition(files), target, lambda x: x.count() == n, options={"compression": codec})
     if not keep_source and source.rstrip("/") != target.rstrip("/"):
         remove(spark, source)
     return n

@@ -12,6 +12,7 @@ from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidewright.functions.text import quoted, unquoted
 
@@ -131,18 +132,24 @@ def csv_fields(lines: DataFrame, value: str = "value", sep: str = ",") -> DataFr
     return lines.withColumn("fields", F.transform(marked, lambda x: F.when(F.startswith(x, F.lit('"')), F.replace(unquoted(x), F.lit('""'), F.lit('"'))).otherwise(x)))
 
 
-def width_guard(rows: DataFrame, width: int, fail: bool = False) -> DataFrame:
-    """``rows`` with ``_error`` where a non-empty row has another width; with ``fail``, reading such a row fails."""
+def width_guard(rows: DataFrame, width: int | StructType, fail: bool = False) -> DataFrame:
+    """``rows`` with ``_error`` where a non-empty row has another width, given as a number or by a schema's fields; with
+    ``fail``, reading such a row fails."""
+    width = width if isinstance(width, int) else len(width.fields)
     bad = (F.size("fields") != width) & ~((F.size("fields") == 1) & (F.get("fields", 0) == ""))
     text = F.format_string(f"%d fields, not {width}", F.size("fields"))
     return rows.withColumn("_error", F.when(bad, F.raise_error(text) if fail else text))
 
 
 def named_fields(rows: DataFrame, names: list[str], extra: str = "keep", most: int = 0) -> DataFrame:
-    """Fields by name. Further ones are dropped, or kept as unknown_field_index_i (``most`` names columns for so many)."""
+    """Fields by name. Further ones are dropped, or kept under unknown_field_index_i: the first of them up to field
+    ``most`` as columns, all others in the map ``unknown_fields``."""
     out = [F.get("fields", i).alias(n) for i, n in enumerate(names)]
     if extra == "keep":
-        out += [F.get("fields", i).alias(f"unknown_field_index_{i}") for i in range(len(names), max(most, len(names)))]
+        wide = max(most, len(names))
+        out += [F.get("fields", i).alias(f"unknown_field_index_{i}") for i in range(len(names), wide)]
+        rest = F.slice("fields", F.lit(wide + 1), F.greatest(F.size("fields") - wide, F.lit(0)))
+        out.append(F.map_from_entries(F.transform(rest, lambda x, i: F.struct(F.concat(F.lit("unknown_field_index_"), (i + wide).cast("string")), x))).alias("unknown_fields"))
     return rows.select(*[c for c in rows.columns if c != "fields"], *out)
 
 

@@ -1,4 +1,8 @@
-"""Stateful streams: threshold alerts with re-arming, and the consecutive-failure lockout, one state a key."""
+"""Stateful streams: threshold alerts with re-arming, and the consecutive-failure lockout, one state a key.
+
+A key's rows of one trigger are gathered and sorted, however many Arrow batches bring them; ties go by ``tie``. Rows of
+later triggers count as later, so sources should bring each key's rows in order between triggers.
+"""
 
 from __future__ import annotations
 
@@ -9,43 +13,45 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 
+def _sorted(batches: Iterator[pd.DataFrame], order: list[str]) -> pd.DataFrame:
+    return pd.concat(list(batches)).sort_values(order, kind="stable")
+
+
 def threshold_alerts(rows: DataFrame, series: str, at_us: str, value: str, threshold: float, interval_s: int) -> DataFrame:
     """(series, at_us, value) of alerts, as in ``operators.alerts``, for rows that come in order within each series."""
 
     def run(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         last = state.get[0] if state.exists else -1  # -1: armed
-        for batch in batches:
-            fired = []
-            for at, v in batch.sort_values(at_us)[[at_us, value]].itertuples(index=False):
-                if not v > threshold:
-                    last = -1
-                elif last < 0 or at >= last + interval_s * 1_000_000:
-                    fired.append((key[0], at, v))
-                    last = at
-            yield pd.DataFrame(fired, columns=["series", "at_us", "value"])
+        fired = []
+        for at, v in _sorted(batches, [at_us, value])[[at_us, value]].itertuples(index=False):
+            if not v > threshold:
+                last = -1
+            elif last < 0 or at >= last + interval_s * 1_000_000:
+                fired.append((key[0], at, v))
+                last = at
+        yield pd.DataFrame(fired, columns=["series", "at_us", "value"])
         state.update((int(last),))
 
     return rows.groupBy(series).applyInPandasWithState(run, "series string, at_us long, value double", "last long", "append", GroupStateTimeout.NoTimeout)
 
 
-def lockout(attempts: DataFrame, user: str, at_us: str, ok: str, most: int = 5, lock_s: int = 900) -> DataFrame:
+def lockout(attempts: DataFrame, user: str, at_us: str, ok: str, most: int = 5, lock_s: int = 900, tie: str | None = None) -> DataFrame:
     """(user, at_us, outcome) of each attempt, as in ``operators.alerts``."""
 
     def run(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         failures, until = state.get if state.exists else (0, -1)
-        for batch in batches:
-            out = []
-            for at, good in batch.sort_values(at_us)[[at_us, ok]].itertuples(index=False):
-                if at < until:
-                    out.append((key[0], at, "refused"))
-                elif good:
-                    failures = 0
-                    out.append((key[0], at, "allowed"))
-                else:
-                    failures += 1
-                    until = at + lock_s * 1_000_000 if failures >= most else until
-                    out.append((key[0], at, "locked" if failures >= most else "failed"))
-            yield pd.DataFrame(out, columns=["user_id", "at_us", "outcome"])
+        out = []
+        for at, good in _sorted(batches, [at_us, tie or ok])[[at_us, ok]].itertuples(index=False):
+            if at < until:
+                out.append((key[0], at, "refused"))
+            elif good:
+                failures = 0
+                out.append((key[0], at, "allowed"))
+            else:
+                failures += 1
+                until = at + lock_s * 1_000_000 if failures >= most else until
+                out.append((key[0], at, "locked" if failures >= most else "failed"))
+        yield pd.DataFrame(out, columns=["user_id", "at_us", "outcome"])
         state.update((int(failures), int(until)))
 
     return attempts.groupBy(user).applyInPandasWithState(run, "user_id long, at_us long, outcome string", "failures long, until long", "append", GroupStateTimeout.NoTimeout)

@@ -2,31 +2,90 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidewright.operators.changes import replay
-from tidewright.sinks.tables import exists, publish
-
-
-def upsert_stream(events: DataFrame, path: str, checkpoint: str, keys: list[str], seq: str, op: str = "_op", available_now: bool = True) -> StreamingQuery:
-    """Replays each micro-batch on the table at ``path``. Every row keeps the ``seq`` that wrote it, and a batch that is
-    delivered again finds its changes already there: at least once becomes once."""
-
-    def apply(batch: DataFrame, _: int) -> None:
-        spark = batch.sparkSession
-        values = [c for c in batch.columns if c != op]
-        if not exists(spark, path):
-            batch.select(*values).limit(0).write.parquet(path)
-        target = spark.read.schema(batch.select(*values).schema).parquet(path)
-        known = target.select(*keys, F.col(seq).alias("_had"))
-        fresh = batch.join(known, keys, "left").where(F.col("_had").isNull() | (F.col(seq) > F.col("_had"))).drop("_had")
-        publish(replay(target, fresh, keys, seq, op)[0], path)
-
-    writer = events.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
+from tidewright.sinks.tables import create, exists, names_in, read_text, remove
+
+DELETED, BUCKET = "_deleted", "_bucket"
+
+
+def _snapshots(spark: SparkSession, path: str) -> list[str]:
+    return sorted(names_in(spark, f"{path}/_snapshots"))
+
+
+def _folders(spark: SparkSession, path: str, snapshot: str) -> dict[int, str]:
+    """The folder of each bucket of a snapshot; a snapshot has a line a bucket."""
+    lines = read_text(spark, f"{path}/_snapshots/{snapshot}").split()
+    return {int(x.rpartition("=")[2]): x for x in lines}
+
+
+def _rows(spark: SparkSession, path: str, folders: list[str], schema) -> DataFrame:
+    return spark.read.schema(schema).parquet(*[f"{path}/{x}" for x in folders]) if folders else spark.createDataFrame([], schema)
+
+
+def read_upserted(spark: SparkSession, path: str) -> DataFrame:
+    """The latest snapshot of a table of ``upsert_stream``, without what marks its deleted keys."""
+    found = _snapshots(spark, path)
+    folders = list(_folders(spark, path, found[-1]).values()) if found else []
+    if not folders:
+        raise FileNotFoundError(f"{path} has no rows")
+    return spark.read.parquet(*[f"{path}/{x}" for x in folders]).where(~F.col(DELETED)).drop(DELETED)
+
+
+def _bucket(keys: list[str], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+
+
+def upsert_batch(batch: DataFrame, path: str, keys: list[str], seq: str, op: str = "_op", buckets: int = 64, number: int = 0) -> None:
+    """Replays one micro-batch on the table at ``path``.
+
+    The table keeps the last ``seq`` of each key, of deleted keys too, so changes that come again or late are left out:
+    at least once becomes once, in whatever order batches bring them. Rows lie in buckets of keys; only the buckets that
+    a batch touches are read and written, and a snapshot file that lists the buckets' folders makes them visible at
+    once. Changes that can't be applied go to ``<path>_rejects/batch=<number>``, which a repeated batch replaces.
+    """
+    spark, values = batch.sparkSession, [c for c in batch.columns if c != op]
+    schema = batch.select(*values).withColumn(DELETED, F.lit(False)).schema
+    before = _snapshots(spark, path)
+    folders = _folders(spark, path, before[-1]) if before else {}
+    placed = batch.withColumn(BUCKET, _bucket(keys, buckets))
+    touched = sorted(r[0] for r in placed.select(BUCKET).distinct().collect())  # at most ``buckets`` numbers
+    if not touched:
+        return
+    known = _rows(spark, path, [folders[b] for b in touched if b in folders], schema)
+    had = known.groupBy(*keys).agg(F.max(seq).alias("_had"))
+    fresh = batch.join(had, keys, "left").where(F.col("_had").isNull() | (F.col(seq) > F.col("_had"))).drop("_had")
+    after, rejects = replay(known.where(~F.col(DELETED)).drop(DELETED), fresh, keys, seq, op)
+    data = f"data/{uuid.uuid4().hex}"
+
+    def write(rows: DataFrame, deleted: bool) -> None:
+        placed = rows.withColumn(DELETED, F.lit(deleted)).withColumn(BUCKET, _bucket(keys, buckets))
+        placed.repartition(BUCKET).write.mode("append").partitionBy(BUCKET).parquet(f"{path}/{data}")
+
+    write(after, False)
+    live = spark.read.schema(schema).parquet(f"{path}/{data}").select(*keys)
+    gone = known.where(DELETED).select(*keys, seq).unionByName(fresh.where(F.col(op).startswith("DELETE")).select(*keys, seq)).dropna(subset=keys)
+    gone = gone.groupBy(*keys).agg(F.max(seq).alias(seq)).join(live, keys, "left_anti")
+    write(after.limit(0).unionByName(gone, allowMissingColumns=True), True)
+    rejects.write.mode("overwrite").parquet(f"{path}_rejects/batch={number}")
+    made = {b: f"{data}/{BUCKET}={b}" for b in touched if exists(spark, f"{path}/{data}/{BUCKET}={b}")}
+    now = {b: x for b, x in folders.items() if b not in touched} | made
+    create(spark, f"{path}/_snapshots/{len(before) and int(before[-1]) + 1:012d}", "\n".join(now.values()))
+    for old in before[:-1]:  # readers may still be at the one before
+        for x in set(_folders(spark, path, old).values()) - set(now.values()) - set(folders.values()):
+            remove(spark, f"{path}/{x}")
+        remove(spark, f"{path}/_snapshots/{old}")
+
+
+def upsert_stream(events: DataFrame, path: str, checkpoint: str, keys: list[str], seq: str, op: str = "_op", buckets: int = 64, available_now: bool = True) -> StreamingQuery:
+    """``upsert_batch`` of each micro-batch; ``read_upserted`` reads the table."""
+    writer = events.writeStream.foreachBatch(lambda batch, number: upsert_batch(batch, path, keys, seq, op, buckets, number)).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
@@ -37,6 +96,23 @@ def append_stream(events: DataFrame, path: str, checkpoint: str, rows_per_file:
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
+def append_transactions(batch: DataFrame, path: str, number: int, rows_each: int = 0, check: Callable[[DataFrame], Column] | None = None) -> list[str]:
+    """One micro-batch as transactions: folders ``batch=N/part=K`` of at most about ``rows_each`` rows (0: one), each all
+    or nothing. ``check`` gives the error of a row or null; a transaction with an error is left out whole and its rows
+    go to ``<path>_failed``. Returns the committed folders; a repeated batch replaces its own."""
+    spark = batch.sparkSession
+    rows = batch.withColumn("_error", check(batch) if check else F.lit(None).cast("string"))
+    parts = max(1, -(-rows.count() // rows_each)) if rows_each else 1
+    told = rows.withColumn("part", F.pmod(F.xxhash64(*batch.columns), F.lit(parts)).cast("int"))
+    bad = told.where("_error IS NOT NULL").select("part").distinct()
+    good = told.join(bad, "part", "left_anti").drop("_error")
+    for name in (f"{path}/batch={number}", f"{path}_failed/batch={number}"):
+        remove(spark, name)
+    good.repartition(parts, "part").write.partitionBy("part").parquet(f"{path}/batch={number}")
+    told.join(bad, "part", "left_semi").write.parquet(f"{path}_failed/batch={number}")
+    return sorted(f"batch={number}/{x}" for x in names_in(spark, f"{path}/batch={number}") if x.startswith("part="))
+
+
 def route_stream(events: DataFrame, checkpoint: str, sinks: dict[str, Callable[[DataFrame, int], None]], column: str = "cdc_destination", available_now: bool = True) -> StreamingQuery:
     """Each micro-batch's rows to the sink of their destination."""
 
