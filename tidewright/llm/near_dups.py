@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewright.llm.common import discard, flat_text, mix64, slices, small_batches, span_hashes, tidy, word_spans, written
+from tidewright.llm.common import discard, flat_text, mix64, slices, small_batches, span_hashes, tidy, with_found, word_spans, written
 
 BUCKET_BITS, MANTISSA_BITS, BAND = 7, 10, 4
 REGISTERS, BANDS = 1 << BUCKET_BITS, (1 << BUCKET_BITS) // BAND
@@ -349,15 +349,16 @@ def near_duplicates(docs: DataFrame, width: int = 5, threshold: float = 0.8, id_
     small = rest.join(sizes.where(F.col("size") <= BLOCK).select("band", "key"), ["band", "key"])
     tiles = small.select("band", "key", "rep", "label", "n", "can", *[F.lit(0).alias(c) for c in ("i", "j", "side")])
     hot = written(rest.join(sizes.where(F.col("size") > BLOCK).select("band", "key"), ["band", "key"], "left_semi").select("rep", "label", "n").distinct(), "hot")
+    made: list[DataFrame] = []
     if not hot.isEmpty():
-        tiles = tiles.unionByName(_blocks(split(_prefixes(hot, sets, pct))))
+        tiles = tiles.unionByName(_blocks(split(_prefixes(hot, sets, pct, made))))
     tiles = tiles.join(classes.select("rep", "bands"), "rep")
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     tiles = tiles.repartition(parts, "band", "key", "i", "j").sortWithinPartitions("band", "key", "i", "j")
     more = tiles.select("band", "key", "i", "j", "side", "rep", "label", "n", "can", "bands").mapInArrow(_tiles(pct), "a long, b long").distinct()
     more = written(_confirmed(more, sets, pct), "pairs")
     final = components(links.unionByName(more))
-    discard(live, sets, open_, rest, hot, links, more, labels)
+    discard(live, sets, open_, rest, hot, links, more, labels, *made)
 
     known = classes.select("set_a", "set_b", "rep").join(final.withColumnRenamed("node", "rep"), "rep", "left").select("set_a", "set_b", F.coalesce("label", "rep").alias("component"))
     # texts without words have one set and no class: they stay out of the join
@@ -370,11 +371,18 @@ def near_duplicates(docs: DataFrame, width: int = 5, threshold: float = 0.8, id_
     return done
 
 
-def _prefixes(hot: DataFrame, sets: DataFrame, threshold_pct: int) -> DataFrame:
-    """(band -1, key, rep, label, n, can) for the shingles (as key) of each member's prefix that another member has."""
+def _prefixes(hot: DataFrame, sets: DataFrame, threshold_pct: int, made: list[DataFrame]) -> DataFrame:
+    """(band -1, key, rep, label, n, can) for the shingles (as key) of each member's prefix that another member has.
+    ``made`` gets the tables that were written for it."""
     tokens = sets.join(hot.select("rep"), "rep", "left_semi").mapInArrow(_exploded, "rep long, token long")
     often = tokens.groupBy("token").agg(F.count("*").alias("k"))
-    listed = tokens.join(often, "token").groupBy("rep").agg(F.sort_array(F.collect_list(F.struct("k", "token"))).alias("all"))  # one document's set
+    # a shingle of many members is looked up without bringing its rows together; others have few rows
+    often = written(often, "shingles")
+    common = written(often.where(F.col("k") > BLOCK), "shingles")
+    made += [often, common]
+    told = with_found(tokens, common, ["token"])
+    told = told.where("k IS NOT NULL").unionByName(told.where("k IS NULL").drop("k").join(often.where(F.col("k") <= BLOCK), "token"))
+    listed = told.groupBy("rep").agg(F.sort_array(F.collect_list(F.struct("k", "token"))).alias("all"))  # one document's set
     kept = F.expr(f"n - ceil(n * {threshold_pct} / 100) + 1").cast("int")
     each = listed.join(hot, "rep").select("rep", "label", "n", F.explode(F.filter(F.slice("all", F.lit(1), kept), lambda x: x["k"] > 1)).alias("x"))
     return each.select(F.lit(-1).alias("band"), F.col("x.token").alias("key"), "rep", "label", "n", F.col("n").alias("can"))
