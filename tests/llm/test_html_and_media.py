@@ -131,3 +131,18 @@ def test_digests_resolve_and_missing_stay(spark):
     assert len(got) == 2
     with pytest.raises(Exception, match="differs"):
         media_sequences.features(spark.createDataFrame([("00", image)], "digest string, media binary")).collect()
+
+
+def test_a_hot_digest_is_dealt_to_several_tasks(spark, monkeypatch):
+    """Many references to one picture, ties, clashing columns and an empty table."""
+    monkeypatch.setattr(media_sequences, "HOT", 3)
+    image = b"P5\n192 1\n255\n" + bytes(range(192))
+    digest = hashlib.sha256(image).hexdigest()
+    stored = media_sequences.features(spark.createDataFrame([(digest, image)], "digest string, media binary"))
+    html = f'<p>one</p><figure><img src="digest:{digest}" alt="x"><figcaption>c</figcaption></figure><img src="digest:gone"><p>two</p>' + "<p>long</p>" * 5000
+    pages = spark.createDataFrame([(i % 20, html, "clash", "clash") for i in range(40)], "id long, html string, items string, caption string")
+    read = media_sequences.interleave(pages)
+    assert read.columns == ["id", "caption", "items"]
+    got = media_sequences.resolve(read, stored, "id").collect()
+    assert sorted((r.id, r.position, str(r.caption), str(r.payload_bytes)) for r in got) == sorted(x for i in range(40) for x in ((i % 20, 1, "c", "192"), (i % 20, 2, "None", "None")))
+    assert media_sequences.resolve(media_sequences.interleave(pages.limit(0)), stored, "id").count() == 0

@@ -3,12 +3,16 @@
 ``interleave`` reads HTML into an ordered array of structs: text blocks and media references, each with its position; a
 reference has its digest (of a ``digest:`` source), alternative text and the caption of the figure that it stands in.
 ``resolve`` joins references to a media table by digest and keeps positions and captions beside the payload's columns;
-references without a payload stay, with nulls. Hot digests are joined on one small row each, never on payloads.
+references without a payload stay, with nulls. Joins move one small row a reference, never payloads; the references of
+a hot digest are dealt to several tasks by a salt, and that digest's row goes to each of them.
 
 ``media_table`` stores bytes as 8-bit grey-level images (binary PGM, ``WIDTH`` samples a row): lossless, and the stored
 form is a function of the payload. ``features`` reads stored images back, checks their digest and describes samples.
 
-Null HTML gives an empty sequence. Repeated rows repeat their sequences; an empty table gives an empty result.
+Null HTML gives an empty sequence; null text is stored as blanks. A page of any length is read whole, one page at a
+time. References that tie on an id, and repeated rows, keep a row each. An empty table gives an empty result. Of other
+columns ``interleave`` replaces one named ``items`` and keeps the rest; ``resolve`` returns the id and its own columns
+alone, so an id that is to carry more is a struct.
 """
 
 from __future__ import annotations
@@ -21,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewright.llm.common import small_batches
+from tidewright.llm.common import small_batches, written
 from tidewright.llm.html_blocks import blocks
 
 WIDTH = 192
@@ -121,7 +125,20 @@ def interleave(pages: DataFrame, html_col: str = "html") -> DataFrame:
     return pages.select(*keep, html_col).mapInArrow(run, schema)
 
 
+#: More references than this to one digest, or than one in ten thousand of all, are dealt to several tasks.
+HOT = 4096
+
+
 def resolve(pages: DataFrame, media: DataFrame, id_col: str) -> DataFrame:
-    """(id, position, alt, caption, digest, ...) of every media reference, with the columns of ``media`` for its digest."""
+    """(id, position, alt, caption, digest, ...) of every media reference, with the columns of ``media``, which has a row
+    for each digest."""
     each = pages.select(F.col(id_col), F.explode("items").alias("i")).where("i.kind = 'media'")
-    return each.select(id_col, "i.position", "i.alt", "i.caption", "i.digest").join(media, "digest", "left")
+    each = written(each.select(id_col, "i.position", "i.alt", "i.caption", "i.digest"), "references")
+    limit = max(HOT, each.count() // 10_000)
+    hot = each.where("digest IS NOT NULL").groupBy("digest").agg(F.count("*").alias("n")).where(F.col("n") > limit)
+    # at most ten thousand rows, as each stands for more than a ten-thousandth of all references
+    hot = F.broadcast(written(hot.select("digest", F.ceil(F.col("n") / limit).cast("int").alias("_salts")), "hot-digests"))
+    salts = F.coalesce("_salts", F.lit(1))
+    dealt = each.join(hot, "digest", "left").withColumn("_salt", F.pmod(F.xxhash64(id_col, "position"), salts).cast("int")).drop("_salts")
+    copied = media.join(hot, "digest", "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("_salts")
+    return dealt.join(copied, ["digest", "_salt"], "left").drop("_salt").select(id_col, "position", "alt", "caption", "digest", *[c for c in media.columns if c != "digest"])

@@ -69,10 +69,11 @@ def op4_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
     html = F.concat(F.lit("<p>"), safe, F.lit('</p><figure><img src="digest:'), F.sha2(image, 256), F.lit('"><figcaption>document '), key, F.lit("</figcaption></figure>"))
     pages = media_sequences.interleave(docs.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), html.alias("html")))
-    pages = pages.select(F.struct("doc_id", "n_bytes").alias("id"), "items")
+    texts = F.size(F.filter("items", lambda x: x["kind"] == "text"))
+    pages = pages.select(F.struct("doc_id", "n_bytes", texts.alias("texts_before")).alias("id"), "items")
     found = media_sequences.resolve(pages, media_sequences.features(stored), "id")
     return found.select(
-        "id.doc_id", "id.n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", F.col("digest").alias("media_sha256"), "feature", "position", "caption"
+        "id.doc_id", "id.n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", F.col("digest").alias("media_sha256"), "feature", "position", "caption", "id.texts_before"
     )
 
 
