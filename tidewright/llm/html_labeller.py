@@ -10,8 +10,9 @@ together from those pages' own texts in varied layouts (article, main and plain
 footers, sidebars, notices, adverts, forms and reader comments around them), whose labels are known. Training is plain
 numpy on the driver, on a bounded number of pages, and repeats exactly. Tasks get the model, some hundred kilobytes.
 
-Null or empty HTML and pages without text give an empty text. Repeated rows get equal results; an empty table gives an
-empty result; other columns are left alone.
+Null or empty HTML and pages without text give an empty text; a page of any length is read whole, its blocks as one
+sequence. Repeated rows, and pages that tie in the sample's order, get equal results. An empty table gives an empty
+result. Other columns are left alone, but for ``text`` and ``n_blocks``, which are replaced.
 """
 
 from __future__ import annotations
@@ -218,6 +219,9 @@ _BODIES = (("article",), ("main", "article"), ("main",), ("div", ".content"), ("
 _BEFORE = (("nav", "ul", "li"), ("header", "nav", "ul", "li"), ("header",), ("header", "h1"), ("header", "p"), ("div", ".header"), ("div", ".menu", "ul", "li"), ("div", ".navbar"), ("div", ".ad"), ("div", ".cookie", ".notice"), ("div", ".cookie", ".banner", "p"), ("div", ".notice"), ("ul", ".breadcrumb", "li"), ("form",), ("form", "label"), ("div", ".advert"), ("div", ".search", "form"), ("div", ".banner"), ("section", ".notice", "p"))
 _AFTER = (("footer",), ("footer", "p"), ("div", ".footer"), ("aside",), ("aside", "p"), ("aside", "ul", "li"), ("div", ".sidebar", "p"), ("div", ".sidebar", "ul", "li"), ("div", ".related", "ul", "li"), ("section", ".comments", "p"), ("div", ".comments", "div", ".comment", "p"), ("section", ".comments", "article", ".comment", "p"), ("ol", ".comments", "li", "p"), ("div", ".ad"), ("div", ".ads", "p"), ("form", "label"), ("form", ".newsletter", "p"), ("div", ".newsletter"), ("div", ".share"), ("div", ".copyright"), ("div", ".advertisement"), ("div", ".comment"))
 _INSIDE = (("div", ".ad"), ("aside",), ("aside", "p"), ("div", ".advert", "p"), ("div", ".related", "ul", "li"), ("form",), ("div", ".share"), ("div", ".promo"))
+#: What the whole page may stand in, menus and footers too.
+_AROUND = ((), (), (), (), ("div", ".wrapper"), ("div", ".page"), ("table", "tr", "td"), ("div", ".container", "div"), ("center",))
+_LISTS = (("ul", "li"), ("ol", "li"), ("ol", "li", "p"), ("dl", "dd"), ("dl", "dt"))
 _PARTS = (("p",), ("p",), ("p",), ("p",), ("h2",), ("blockquote",), ("blockquote", "p"), ("ul", "li"), ("pre",), ("div",), ("section", "p"), ("h1",), ("h3",), ("figure", "figcaption"), ("table", "tr", "td"), ())
 
 
@@ -230,9 +234,10 @@ def made_pages(texts: list[str], n: int, seed: int = 11) -> list[tuple[list[Bloc
     for _ in range(n):
         page: list[Block] = []
         labels: list[int] = []
+        around = pick(_AROUND)
 
-        def noise(paths, top=(), page=page, labels=labels):
-            path = ("html", "body", *top, *pick(paths))
+        def noise(paths, top=(), page=page, labels=labels, around=around):
+            path = ("html", "body", *around, *top, *pick(paths))
             for _ in range(int(r.integers(2, 8)) if path[-1] == "li" else int(r.integers(1, 3))):
                 text = short() if path[-1] in ("li", "label") or r.random() < 0.5 else pick(texts)
                 page.append(Block(path, text, len(text) if path[-1] == "li" and r.random() < 0.9 else 0))
@@ -240,14 +245,17 @@ def made_pages(texts: list[str], n: int, seed: int = 11) -> list[tuple[list[Bloc
 
         for _ in range(int(r.integers(0, 4))):
             noise(_BEFORE)
+        if r.random() < 0.15:  # a list of links that nothing names
+            noise((("ul", "li"), ("td", "ul", "li"), ("div", "ul", "li"), ("ol", "li")))
         body = pick(_BODIES)
         for k in range(int(r.integers(1, 16))):
             if k and r.random() < 0.06:
                 noise(_INSIDE, body)
-            part = ("h1",) if k == 0 and r.random() < 0.7 else pick(_PARTS)
-            text = short() if part and part[-1] in ("h1", "h2", "h3") or r.random() < 0.25 else pick(texts)
-            page.append(Block(("html", "body", *body, *part), text, int(len(text) * r.random()) if r.random() < 0.05 else 0))
-            labels.append(1)
+            part = ("h1",) if k == 0 and r.random() < 0.7 else pick(_LISTS) if r.random() < 0.12 else pick(_PARTS)
+            for _ in range(int(r.integers(2, 6)) if part in _LISTS else 1):
+                text = short() if part and part[-1] in ("h1", "h2", "h3", "dt") or r.random() < (0.5 if part in _LISTS else 0.25) else pick(texts)
+                page.append(Block(("html", "body", *around, *body, *part), text, int(len(text) * r.random()) if r.random() < 0.05 else 0))
+                labels.append(1)
         for _ in range(int(r.integers(0, 4))):
             noise(_AFTER, body if r.random() < 0.1 else ())
         out.append((page, np.array(labels, np.float32)))
@@ -262,7 +270,7 @@ def fit(pages: DataFrame, sample: int = 200, made: int = 900, html_col: str = "h
     real = [b for b in (blocks(x.html) for x in some) if b]
     if not real:
         return Network.fresh()
-    texts = [b.text for page in real for b in page][:4000]
+    texts = [b.text for page in real for b in page]
     examples = [(read(page), weak_labels(page)) for page in real]
     examples += [(read(page), labels) for page, labels in made_pages(texts, made)]
     return train(examples)
