@@ -137,23 +137,35 @@ def test_retries():
         def action():
             calls.append(1)
             if len(calls) <= times:
-                raise OSError("conflict")
+                raise routing.CommitConflict("conflict")
             return "done"
 
         return action
 
-    with pytest.raises(OSError):
+    with pytest.raises(routing.CommitConflict):
         routing.retried(fails(99), retries=3, sleep=lambda _: None)
     assert len(calls) == 4
     calls.clear()
     assert routing.retried(fails(2), retries=3, sleep=lambda _: None) == "done" and len(calls) == 3
     calls.clear()
     now = iter(range(0, 1000, 10))
-    with pytest.raises(OSError):
+    with pytest.raises(routing.CommitConflict):
         routing.retried(fails(99), retries=50, total=30, sleep=lambda _: None, clock=lambda: next(now))
     assert len(calls) < 10
 
 
+def test_other_errors_end_a_commit_at_once():
+    calls = []
+
+    def action():
+        calls.append(1)
+        raise OSError("disk full")
+
+    with pytest.raises(OSError):
+        routing.retried(action, sleep=lambda _: None)
+    assert len(calls) == 1
+
+
 def test_error_classes():
     assert routing.classify_code(30001).route is routing.Route.RETRY
     assert routing.classify_code(10001) is routing.ErrorType.INVALID_INPUT

@@ -60,6 +60,57 @@ def test_script_stops_at_failure(spark):
     assert [r for _, r in tables.run_script(spark, "SELECT 1; SELECT FROM WHERE; SELECT 2")] == ["success", "failure"]
 
 
+def test_an_aborted_append_leaves_nothing(spark, tmp_path, monkeypatch):
+    path, moves = str(tmp_path / "t"), []
+    tables.append(spark.range(10), path, target_bytes=1 << 20)
+    real = tables.move
+
+    def breaks(s, source, target):
+        moves.append(target)
+        if len(moves) == 2:
+            raise ValueError("gone")
+        real(s, source, target)
+
+    monkeypatch.setattr(tables, "move", breaks)
+    with pytest.raises(ValueError):
+        tables.append(spark.range(10, 20).repartition(3), path)
+    monkeypatch.undo()
+    assert len(moves) == 2 and spark.read.parquet(path).count() == 10
+    assert [x.name for x in tmp_path.iterdir()] == ["t"]
+    tables.append(spark.range(10, 20), path)
+    assert spark.read.parquet(path).count() == 20
+
+
+def test_a_taken_version_is_a_conflict(spark, tmp_path):
+    from tidewright.operators.routing import CommitConflict
+
+    tables.create(spark, str(tmp_path / "v"), "one")
+    with pytest.raises(CommitConflict):
+        tables.create(spark, str(tmp_path / "v"), "two")
+    assert tables.read_text(spark, str(tmp_path / "v")) == "one"
+
+
+def test_partition_events(spark, tmp_path):
+    for name, parts in (("parted", ["day"]), ("flat", [])):
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        tables.sync_table(spark, name, spark.createDataFrame([(1,)], "id int"), parts, location=str(tmp_path / name), stored_as="ORC", external=True)
+    event = lambda *x: (e := tables.partition_event(spark, *x), e["kind"], bool(e["warning"]))[1:]
+    assert [event("parted", "put", {"day": "1"}), event("parted", "put", {"day": "1"}), event("parted", "delete", {"day": "1"})] == [("add_partition", False), ("insert", False), ("drop_partition", False)]
+    assert [event("flat", "put"), event("flat", "delete")] == [("insert", False), ("none", True)]
+    assert tables.location(spark, "flat").endswith("/flat") and tables.resolve(spark, "default.flat").columns == ["id"]
+    with pytest.raises(ValueError):
+        tables.sync_table(spark, "other", spark.range(1), external=True)
+    for name in ("parted", "flat"):
+        spark.sql(f"DROP TABLE {name}")
+
+
+def test_parquet_options(spark, tmp_path):
+    df = spark.sql("SELECT timestamp '2024-01-31 23:30:00' AS at, timestamp '2024-01-31 23:30:00' AS told, 'x' AS s")
+    tables.write_parquet(df, str(tmp_path / "t"), page_bytes=4096, dictionary=False, shift_hours=9, patterns={"told": "yyyy/MM/dd HH"})
+    row = spark.read.parquet(str(tmp_path / "t")).first()
+    assert (str(row.at), row.told, row.s) == ("2024-02-01 08:30:00", "2024/02/01 08", "x")
+
+
 def test_dialects():
     d = dialects.dialect
     assert d("postgresql").upsert("t", ["id", "v"], ["id"]) == "INSERT INTO t(id, v) VALUES (?, ?) ON CONFLICT (id) DO UPDATE SET v = EXCLUDED.v"

@@ -28,6 +28,11 @@ def to_number(c: Column, kind: str) -> Column:
     return c.try_cast(kind)
 
 
+def date_number(c: Column, kind: str = "bigint") -> Column:
+    """A date or timestamp as epoch milliseconds in a numeric type; null where they don't fit."""
+    return F.unix_millis(c.cast("timestamp")).try_cast(kind)
+
+
 def decimal_rounded(c: Column, precision: int, scale: int) -> Column:
     """HALF_UP to the scale; null beyond the precision."""
     return c.try_cast(f"decimal({precision},{scale})")

@@ -75,10 +75,39 @@ def reshaped(value: Column, have: T.DataType, want: T.DataType) -> Column:
     if isinstance(have, T.ArrayType) and isinstance(want, T.ArrayType):
         return F.transform(value, lambda x: reshaped(x, have.elementType, want.elementType))
     if isinstance(have, T.MapType) and isinstance(want, T.MapType):
-        return F.transform_values(value, lambda _, x: reshaped(x, have.valueType, want.valueType))
+        entries = F.transform(F.map_entries(value), lambda e: F.struct((e["key"] if have.keyType == want.keyType else e["key"].try_cast(want.keyType)).alias("k"), reshaped(e["value"], have.valueType, want.valueType).alias("v")))
+        return F.map_from_entries(F.filter(entries, lambda e: e["k"].isNotNull()))
     return value if have == want else value.try_cast(want)
 
 
+def failures(value: Column, have: T.DataType, want: T.DataType, at: str) -> Column:
+    """The paths below ``at`` whose values ``reshaped`` can't coerce, and of map keys that would become null."""
+    none = F.array().cast("array<string>")
+    if isinstance(have, T.StructType) and isinstance(want, T.StructType):
+        by = {f.name.lower(): f for f in have.fields}
+        parts = [failures(value.getField(by[w.name.lower()].name), by[w.name.lower()].dataType, w.dataType, f"{at}.{w.name}") for w in want.fields if w.name.lower() in by]
+        return F.coalesce(F.concat(*parts), none) if parts else none
+    if isinstance(have, T.ArrayType) and isinstance(want, T.ArrayType):
+        return F.coalesce(F.array_distinct(F.flatten(F.transform(value, lambda x: failures(x, have.elementType, want.elementType, f"{at}[]")))), none)
+    if isinstance(have, T.MapType) and isinstance(want, T.MapType):
+        keys = F.when(F.exists(F.map_keys(value), lambda k: k.try_cast(want.keyType).isNull()), F.array(F.lit(f"{at} key"))).otherwise(none) if have.keyType != want.keyType else none
+        values = F.array_distinct(F.flatten(F.transform(F.map_values(value), lambda x: failures(x, have.valueType, want.valueType, f"{at}{{}}"))))
+        return F.coalesce(F.concat(keys, values), none)
+    if have == want:
+        return none
+    return F.when(value.isNotNull() & value.try_cast(want).isNull(), F.array(F.lit(at))).otherwise(none)
+
+
+def reshaped_rows(df: DataFrame, target: T.StructType) -> DataFrame:
+    """``df``'s columns as the target's nested types with ``_error``, which names the paths that can't be coerced (null:
+    none); their values are null."""
+    have = {f.name.lower(): f for f in df.schema.fields}
+    both = [(have[w.name.lower()], w) for w in target.fields if w.name.lower() in have]
+    bad = F.array_distinct(F.concat(*[failures(F.col(f"`{h.name}`"), h.dataType, w.dataType, w.name) for h, w in both]))
+    error = F.when(F.size(bad) > 0, F.concat(F.lit("can't coerce "), F.array_join(bad, ", ")))
+    return df.select(*[reshaped(F.col(f"`{h.name}`"), h.dataType, w.dataType).alias(w.name) for h, w in both], error.alias("_error"))
+
+
 def lowered(df: DataFrame) -> DataFrame:
     """Column names in lower case; a collision is an error."""
     names = [c.lower() for c in df.columns]

@@ -91,8 +91,13 @@ def first_error_stops(df: DataFrame) -> DataFrame:
     return df.withColumn("_stop", stop).where(F.col("_stop").isNull()).drop("_stop", "_error")
 
 
-def retried(action: Callable[[], object], retries: int = 10, least: float = 0.1, most: float = 2.0, total: float = 30.0, on: tuple[type[Exception], ...] = (Exception,), sleep: Callable[[float], None] = time.sleep, clock: Callable[[], float] = time.monotonic) -> object:
-    """Runs a driver-side commit up to ``retries`` + 1 times, waiting twice as long each time, up to ``total`` seconds."""
+class CommitConflict(RuntimeError):
+    """Another writer committed first; the same commit may succeed when tried again."""
+
+
+def retried(action: Callable[[], object], retries: int = 10, least: float = 0.1, most: float = 2.0, total: float = 30.0, on: tuple[type[Exception], ...] = (CommitConflict,), sleep: Callable[[float], None] = time.sleep, clock: Callable[[], float] = time.monotonic) -> object:
+    """Runs a driver-side commit up to ``retries`` + 1 times, waiting twice as long each time, up to ``total`` seconds.
+    Only conflicts are tried again; any other error ends it at once."""
     began, wait = clock(), least
     for attempt in range(retries + 1):
         try:

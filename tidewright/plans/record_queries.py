@@ -301,3 +301,72 @@ def identifiers(spark, d):
 def lenient_values(spark, d):
     raw = F.when(F.col("c_custkey") % 2 == 0, F.col("c_custkey").cast("string")).otherwise(F.col("c_name"))
     return table(spark, d, "customer").select("c_custkey", coerce.lenient(raw, "int").alias("v")).select("c_custkey", "v.value", "v.text")
+
+
+@query("SELECT event_id, strftime(ts, '%Y-%m-%d') AS day, strftime(ts, '%Y-%m-%d %H:%M:%S') AS second, strftime(ts, '%Y-%m-%d %H:%M:%S.%g') AS milli, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS micro FROM events")
+def timestamp_types(spark, d):
+    e = table(spark, d, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"))
+    names = {"day": "DATE", "second": "TIMESTAMP", "milli": "TIMESTAMP_MILLIS", "micro": "TIMESTAMP_MICROS"}
+    return e.select("event_id", *[F.date_format("ts", coerce.NAMED_PATTERNS[k]).alias(c) for c, k in names.items()])
+
+
+@query("SELECT o_orderkey, epoch_ms(CAST(o_orderdate AS TIMESTAMP)) AS same_day, epoch_ms(CAST(o_orderdate AS TIMESTAMP)) - 18000000 AS same_instant, epoch_ms(CAST(o_orderdate AS TIMESTAMP)) AS basic, epoch_ms(CAST(o_orderdate AS TIMESTAMP)) AS ordinal FROM orders")
+def iso_times(spark, d):
+    """Wall-clock days and instants in UTC, by the named ISO formats."""
+    o = table(spark, d, "orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("day"))
+    by = lambda form, name: F.unix_millis(coerce.to_timestamp(F.date_format("day", form), name))
+    offset = F.unix_millis(coerce.to_timestamp(F.concat(F.date_format("day", "yyyy-MM-dd"), F.lit("T00:00:00+05:00")), "ISO_OFFSET_DATE_TIME"))
+    return o.select("o_orderkey", F.unix_millis(coerce.same_day_in_utc(F.col("day"), "Asia/Tokyo")).alias("same_day"), offset.alias("same_instant"), by("yyyyMMdd", "BASIC_ISO_DATE").alias("basic"), by("yyyy-DDD", "ISO_ORDINAL_DATE").alias("ordinal"))
+
+
+@query("""SELECT o_orderkey, strftime(o_orderdate, '%d/%m/%Y') AS told, CAST(epoch_ms(CAST(o_orderdate AS TIMESTAMP)) AS VARCHAR) AS millis, '[' || o_orderkey || ', ' || o_custkey || ']' AS both_keys, o_orderpriority AS bytes,
+CASE WHEN o_orderstatus IN ('O', 'F') THEN o_orderstatus END AS known, CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE o_orderpriority END AS trimmed FROM orders""")
+def text_forms(spark, d):
+    o = table(spark, d, "orders").withColumn("day", F.col("o_orderdate").cast("date"))
+    raw = o.withColumn("trimmed", F.when(F.col("o_orderkey") % 3 == 0, F.lit('""')).when(F.col("o_orderkey") % 3 == 1, F.concat(F.lit('"'), "o_orderpriority", F.lit('"'))).otherwise(F.col("o_orderpriority")))
+    return delimited.trimmed_values(raw, ["trimmed"]).select(
+        "o_orderkey", coerce.to_text(F.col("day"), "date", "dd/MM/yyyy").alias("told"), coerce.to_text(F.col("day"), "date").alias("millis"), coerce.to_text(F.array("o_orderkey", "o_custkey"), "array<bigint>").alias("both_keys"),
+        coerce.to_text(F.encode("o_orderpriority", "UTF-8"), "binary").alias("bytes"), coerce.one_of(F.col("o_orderstatus"), ["O", "F"]).alias("known"), "trimmed",
+    )
+
+
+@query("SELECT o_orderkey, epoch_ms(CAST(o_orderdate AS TIMESTAMP)) AS millis, CASE WHEN epoch_ms(CAST(o_orderdate AS TIMESTAMP)) BETWEEN -2147483648 AND 2147483647 THEN CAST(epoch_ms(CAST(o_orderdate AS TIMESTAMP)) AS VARCHAR) END AS small FROM orders")
+def date_numbers(spark, d):
+    day = F.col("o_orderdate").cast("date")
+    return table(spark, d, "orders").select("o_orderkey", coerce.date_number(day).alias("millis"), coerce.date_number(day, "int").cast("string").alias("small"))
+
+
+@query("""SELECT c_custkey, CASE WHEN c_custkey % 4 <> 0 THEN CAST(c_custkey AS VARCHAR) END AS key, CASE c_custkey % 4 WHEN 0 THEN 'can''t coerce r.KEY' WHEN 1 THEN 'can''t coerce r.TAGS[]' WHEN 2 THEN 'can''t coerce r.BY key' END AS error FROM customer""")
+def nested_rejects(spark, d):
+    """Nested values that can't be coerced are named row by row."""
+    key, kind = F.col("c_custkey").cast("string"), F.col("c_custkey") % 4
+    tags = F.array(F.when(kind == 1, "x").otherwise(key), F.lit("7"))
+    by = F.create_map(F.when(kind == 2, "no number").otherwise(key), F.lit(1))
+    rows = table(spark, d, "customer").select("c_custkey", F.struct(F.when(kind == 0, "none").otherwise(key).alias("key"), tags.alias("tags"), by.alias("by")).alias("r"))
+    told = align.reshaped_rows(rows, T.StructType.fromDDL("c_custkey BIGINT, r STRUCT<KEY: BIGINT, TAGS: ARRAY<INT>, BY: MAP<INT, INT>>"))
+    return told.select("c_custkey", F.col("r.KEY").cast("string").alias("key"), F.col("_error").alias("error"))
+
+
+@query("""SELECT view_name AS name, 'CREATE EXTERNAL TABLE IF NOT EXISTS ' || view_name || ' (' || string_agg('`' || lower(column_name) || '` ' || CASE data_type WHEN 'VARCHAR' THEN 'STRING' WHEN 'INTEGER' THEN 'INT' ELSE data_type END, ', ' ORDER BY column_index) || ') STORED AS ORC' AS ddl
+FROM (SELECT table_name AS view_name, column_name, data_type, column_index FROM duckdb_columns() WHERE table_name IN ('nation', 'region')) GROUP BY view_name""")
+def table_ddl(spark, d):
+    from tidewright.functions.types import hive_ddl
+
+    return spark.createDataFrame([(n, hive_ddl(table(spark, d, n).schema, n, True)) for n in ("nation", "region")], "name string, ddl string")
+
+
+@query("SELECT CAST(c_custkey AS VARCHAR) AS k, c_name AS name FROM customer ORDER BY c_custkey OFFSET 25")
+def skipped_rows(spark, d):
+    """The first rows of a file are left out by their place in it."""
+    path = work_folder(spark, "skipped")
+    delimited.write(table(spark, d, "customer").select("c_custkey", "c_name").repartition(1).sortWithinPartitions("c_custkey"), path)
+    return delimited.scan(spark, path, ["k", "name"], charset="UTF-8", skip_rows=25).select("k", "name")
+
+
+@query("SELECT c_custkey, c_name FROM customer WHERE c_acctbal > 500 ORDER BY c_custkey LIMIT 40 OFFSET 10")
+def dialect_page(spark, d):
+    """A page by the text of a dialect that is loaded by its name."""
+    from tidewright.plans.dialects import dialect
+
+    text_of = dialect("postgresql").page("customer_in", ["c_custkey", "c_name"], "c_acctbal > 500", limit=40, offset=10, order_by="c_custkey")
+    return sql.sql_source(spark, text_of, views={"customer_in": table(spark, d, "customer")})

@@ -450,3 +450,68 @@ def partition_events(spark, d):
     spark.table(name).groupBy(F.col("day").cast("long").alias("day")).agg(F.count("*").alias("n")).write.parquet(f"{at}_out")
     spark.sql(f"DROP TABLE {name}")
     return spark.read.parquet(f"{at}_out")
+
+
+@query("SELECT c_custkey, c_name FROM customer WHERE c_custkey % 4 IN (0, 1, 2)")
+def script_runs(spark, d):
+    """A script that makes and fills a table and stops at its first bad statement."""
+    import uuid
+
+    name, at = f"script_{uuid.uuid4().hex}", work_folder(spark, "script")
+    table(spark, d, "customer").select("c_custkey", "c_name").createOrReplaceTempView("customer_in")
+    script = f"CREATE TABLE {name} USING parquet LOCATION '{at}' AS SELECT * FROM customer_in WHERE c_custkey % 2 = 0; INSERT INTO {name} SELECT * FROM customer_in WHERE c_custkey % 4 = 1; SELECT no_such_column FROM {name}; INSERT INTO {name} SELECT * FROM customer_in"
+    told = tables.run_script(spark, script)
+    assert [route for _, route in told] == ["success", "success", "failure"], told
+    rows = tables.resolve(spark, tables.location(spark, name).removeprefix("file:"))
+    spark.sql(f"DROP TABLE {name}")
+    return rows
+
+
+@query("SELECT CASE (event_id % 6) WHEN 1 THEN 'failure' WHEN 2 THEN 'failure' WHEN 3 THEN 'retry' WHEN 4 THEN 'failure' ELSE 'retry' END AS route, CASE (event_id % 6) WHEN 3 THEN 'TEMPORAL_INPUT_FAILURE' WHEN 0 THEN 'TEMPORAL_FAILURE' WHEN 5 THEN 'TEMPORAL_FAILURE' ELSE 'INVALID_INPUT' END AS kind, count(*) AS n FROM events GROUP BY 1, 2")
+def error_classes(spark, d):
+    """Events routed by the class of an error code."""
+    kinds = {group: routing.classify_code(group * 10_000 + 1) for group in range(6)}
+    look = lambda part: F.create_map(*[F.lit(x) for g, k in kinds.items() for x in (g, part(k))])
+    group = F.floor((F.col("event_id") % 6 * 10_000 + 1) / 10_000).cast("int")
+    told = table(spark, d, "events").select(look(lambda k: k.route.value)[group].alias("route"), look(lambda k: k.name)[group].alias("kind"))
+    return told.groupBy("route", "kind").agg(F.count("*").alias("n"))
+
+
+@query(f"SELECT 'continued' AS how, count(*) FILTER (e IS NULL) AS n FROM {_CHECKED} UNION ALL SELECT 'rolled back', 0 UNION ALL SELECT 'whole', count(*) FROM {_CHECKED} WHERE e IS NULL UNION ALL SELECT 'stopped', count(*) FROM events WHERE false")
+def failure_policies(spark, d):
+    """Bad rows routed, a publication undone by them, one without any, and a load that stops at the first."""
+    path, rows = work_folder(spark, "policies"), _checked(spark, d)
+    good = rows.where("_error IS NULL")
+    publish = lambda name: lambda df: tables.publish(df, f"{path}/{name}")
+    assert not routing.all_or_nothing(rows, publish("bad")) and routing.all_or_nothing(good, publish("good"))
+    try:
+        stopped = routing.first_error_stops(rows).count()
+    except Exception:
+        stopped = 0
+    count = lambda df, how: df.agg(F.lit(how).alias("how"), F.count("*").alias("n"))
+    undone = 0 if not tables.exists(spark, f"{path}/bad") else 1
+    return count(good, "continued").unionByName(count(spark.range(undone), "rolled back")).unionByName(count(spark.read.parquet(f"{path}/good"), "whole")).unionByName(count(spark.range(stopped), "stopped"))
+
+
+@query(_LOCKOUT + "SELECT CASE user_id % 10 WHEN 0 THEN 'unknown' WHEN 1 THEN 'disabled' ELSE outcome END AS outcome, count(*) AS n FROM s GROUP BY 1")
+def lockout_users(spark, d):
+    """Attempts of users that aren't known or not enabled are refused without counting."""
+    e = table(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    users = e.select("user_id").distinct().where("user_id % 10 <> 0").withColumn("enabled", F.col("user_id") % 10 != 1)
+    told = alerts.lockout(e, "user_id", "ts", F.col("event_type") != "error", "event_id", most=2, lock_s=86400, users=users)
+    return told.groupBy("outcome").agg(F.count("*").alias("n"))
+
+
+@query("SELECT n_nationkey, n_name FROM nation")
+def catalog_table(spark, d):
+    """A table found again by its namespace and name."""
+    import uuid
+
+    name, at = f"catalog_{uuid.uuid4().hex}", work_folder(spark, "catalog")
+    n = table(spark, d, "nation").select("n_nationkey", "n_name")
+    tables.sync_table(spark, name, n, location=at, stored_as="ORC", external=True)
+    n.write.mode("append").orc(at)
+    spark.catalog.refreshTable(name)
+    tables.resolve(spark, f"default.{name}").write.parquet(f"{at}_read")
+    spark.sql(f"DROP TABLE {name}")
+    return spark.read.parquet(f"{at}_read")

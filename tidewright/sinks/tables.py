@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewright.functions.text import identifier
-from tidewright.operators.routing import retried
+from tidewright.operators.routing import CommitConflict, retried
 
 
 def _fs(spark: SparkSession, path: str):
@@ -51,9 +51,14 @@ def size_of(spark: SparkSession, path: str) -> int:
 
 
 def create(spark: SparkSession, path: str, text: str) -> None:
-    """A small file that wasn't there; fails if it was."""
+    """A small file that wasn't there; a conflict if it was."""
     fs, at = _fs(spark, path)
-    out = fs.create(at, False)
+    if fs.exists(at):
+        raise CommitConflict(path)
+    try:
+        out = fs.create(at, False)
+    except Exception as error:
+        raise CommitConflict(path) if fs.exists(at) else error
     try:
         out.write(bytearray(text.encode()))
     finally:
@@ -95,17 +100,53 @@ def transform(column: str, unit: str) -> tuple[str, Column]:
     return f"{column}_{unit}", F.date_format(column, pattern)
 
 
-def append(df: DataFrame, path: str, transforms: list[tuple[str, str]] = (), file_format: str = "parquet", rows_per_file: int = 0, options: dict[str, str] | None = None, retries: int = 0) -> None:
-    """Appends with folders for the transforms, rows of a partition brought together first; retried as a whole."""
+def _files_under(spark: SparkSession, path: str) -> list[str]:
+    """Data files under a folder, as paths relative to it."""
+    fs, at = _fs(spark, path)
+    found, root = fs.listFiles(at, True), at.makeQualified(fs.getUri(), fs.getWorkingDirectory()).toString()
+    out = []
+    while found.hasNext():
+        name = found.next().getPath().toString()
+        if not name.rpartition("/")[2].startswith(("_", ".")):
+            out.append(name[len(root) + 1 :])
+    return out
+
+
+def append(df: DataFrame, path: str, transforms: list[tuple[str, str]] = (), file_format: str = "parquet", rows_per_file: int = 0, target_bytes: int = 0, options: dict[str, str] | None = None, retries: int = 10) -> None:
+    """Appends with folders for the transforms, rows of a partition brought together first.
+
+    ``target_bytes`` is about what a task writes to a partition. Files are written to a staging folder, which is the
+    costly part and happens once, and then moved in under new names; only moves are tried again, and where one fails for
+    good, what was moved and staged is deleted.
+    """
+    spark, stage, conf = df.sparkSession, f"{path}_staging_{uuid.uuid4().hex}", df.sparkSession.conf
     derived = dict(transform(c, u) for c, u in transforms)
     rows = df.withColumns(derived) if derived else df
-    if derived:
+    if derived or target_bytes:
         rows = rows.hint("rebalance", *derived)
-    writer = rows.write.mode("append").options(**(options or {}))
+    writer = rows.write.options(**(options or {}))
     if rows_per_file:
         writer = writer.option("maxRecordsPerFile", rows_per_file)
     writer = writer.partitionBy(*derived) if derived else writer
-    retried(lambda: writer.format(file_format).save(path), retries=retries)
+    name, moved = "spark.sql.adaptive.advisoryPartitionSizeInBytes", []
+    before = conf.get(name, None)
+    try:
+        if target_bytes:
+            conf.set(name, target_bytes)
+        writer.format(file_format).save(stage)
+        for file in _files_under(spark, stage):
+            fs, at = _fs(spark, f"{path}/{file}")
+            fs.mkdirs(at.getParent())
+            retried(lambda file=file: move(spark, f"{stage}/{file}", f"{path}/{file}"), retries=retries, on=(CommitConflict, OSError))
+            moved.append(file)
+    except Exception:
+        for file in moved:
+            remove(spark, f"{path}/{file}")
+        raise
+    finally:
+        remove(spark, stage)
+        if target_bytes:
+            conf.set(name, before) if before else conf.unset(name)
 
 
 def append_version(df: DataFrame, path: str, retries: int = 5) -> int:
@@ -156,8 +197,19 @@ def with_drift(target: DataFrame, source: DataFrame) -> tuple[DataFrame, list[st
     return target.select("*", *[F.lit(None).cast(f.dataType).alias(f.name.lower()) for f in new]), [f.name.lower() for f in new]
 
 
-def sync_table(spark: SparkSession, name: str, df: DataFrame, partitions: list[str] = (), create: bool = True, file_format: str = "parquet", location: str | None = None) -> list[str]:
-    """Creates the table or adds missing columns; returns the statements that ran."""
+#: Storage formats and the providers that stand for them.
+STORED_AS = {"PARQUET": "parquet", "ORC": "orc", "TEXTFILE": "csv", "AVRO": "avro"}
+
+
+def sync_table(spark: SparkSession, name: str, df: DataFrame, partitions: list[str] = (), create: bool = True, file_format: str = "parquet", location: str | None = None, stored_as: str | None = None, external: bool = False) -> list[str]:
+    """Creates the table or adds missing columns; returns the statements that ran.
+
+    ``stored_as`` names a storage format instead of a provider. An ``external`` table needs a location and keeps its
+    files when it is dropped; the session's catalog takes any table with a location as external.
+    """
+    if external and not location:
+        raise ValueError("an external table needs a location")
+    file_format = STORED_AS[stored_as.upper()] if stored_as else file_format
     ran = []
 
     def run(text: str) -> None:
@@ -179,21 +231,61 @@ def sync_table(spark: SparkSession, name: str, df: DataFrame, partitions: list[s
     return ran
 
 
+def resolve(spark: SparkSession, name: str) -> DataFrame:
+    """A table of the session's catalogs by ``catalog.namespace.table`` or a part of it, or a folder of Parquet by path."""
+    return spark.read.parquet(name) if "/" in name else spark.table(name)
+
+
+def location(spark: SparkSession, name: str) -> str:
+    """The output path of a table."""
+    return next(r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect() if r.col_name == "Location")
+
+
+def _spec(values: dict[str, str], columns: list[str]) -> str:
+    return ", ".join("{}='{}'".format(c, str(values[c]).replace("'", "\\'")) for c in columns)
+
+
+def partition_columns(spark: SparkSession, name: str) -> list[str]:
+    return [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+
+
 def add_partition(spark: SparkSession, name: str, values: dict[str, str]) -> str:
     """Adds a partition and returns its path under the table; every partition column needs a value."""
-    columns = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+    columns = partition_columns(spark, name)
     if set(columns) != set(values) or any(v in (None, "") for v in values.values()):
         raise ValueError(f"{name} is partitioned by {', '.join(columns)}")
-    spec = ", ".join("{}='{}'".format(c, str(values[c]).replace("'", "\\'")) for c in columns)
-    spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS PARTITION ({spec})")
+    spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS PARTITION ({_spec(values, columns)})")
     return "/".join(f"{c}={values[c]}" for c in columns)
 
 
 def drop_partition(spark: SparkSession, name: str, values: dict[str, str]) -> None:
-    columns = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+    columns = partition_columns(spark, name)
     if columns:
-        spec = ", ".join("{}='{}'".format(c, str(values[c]).replace("'", "\\'")) for c in columns)
-        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({spec})")
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({_spec(values, columns)})")
+
+
+def partition_event(spark: SparkSession, name: str, event: str, values: dict[str, str] | None = None) -> dict[str, str]:
+    """What a ``put`` or ``delete`` of files means for a table: its kind, the partition and a warning.
+
+    A put adds its partition if it is new, else the files are an insert; on a table without partitions it is an insert.
+    A delete drops its partition; on a table without partitions nothing is dropped, and a warning says so.
+    """
+    columns, values = partition_columns(spark, name), values or {}
+    out = {"table": name, "event": event, "kind": "insert", "partition": "/".join(f"{c}={values.get(c)}" for c in columns), "warning": ""}
+    if event == "put":
+        if columns:
+            there = spark.sql(f"SHOW PARTITIONS {name} PARTITION ({_spec(values, columns)})").isEmpty() is False
+            out["partition"] = add_partition(spark, name, values)
+            out["kind"] = "insert" if there else "add_partition"
+    elif event == "delete":
+        out["kind"] = "drop_partition" if columns else "none"
+        if columns:
+            drop_partition(spark, name, values)
+        else:
+            out["warning"] = f"{name} has no partitions, nothing is dropped"
+    else:
+        raise ValueError(f"no such event: {event}")
+    return out
 
 
 def run_script(spark: SparkSession, text: str) -> list[tuple[str, str]]:
@@ -212,18 +304,29 @@ def run_script(spark: SparkSession, text: str) -> list[tuple[str, str]]:
     return out
 
 
-def write_orc(df: DataFrame, path: str, codec: str = "none", stripe_bytes: int = 64 << 20) -> None:
+def write_orc(df: DataFrame, path: str, codec: str = "none", stripe_bytes: int = 64 << 20, table: str = "") -> str:
+    """Writes ORC with lower-case names; returns the DDL of an external table over it (``table``, by default the path's name)."""
+    from tidewright.functions.types import hive_ddl
     from tidewright.operators.align import lowered
 
-    lowered(df).write.option("compression", codec).option("orc.stripe.size", str(stripe_bytes)).orc(path)
+    rows = lowered(df)
+    rows.write.option("compression", codec).option("orc.stripe.size", str(stripe_bytes)).orc(path)
+    return hive_ddl(rows.schema, table or path.rstrip("/").rpartition("/")[2], True) + f" LOCATION '{path}'"
+
 
+def write_parquet(df: DataFrame, path: str, codec: str = "snappy", block_bytes: int = 128 << 20, int96: bool = False, page_bytes: int = 1 << 20, dictionary: bool = True, dictionary_bytes: int = 1 << 20, shift_hours: int = 0, patterns: dict[str, str] | None = None) -> None:
+    """Parquet with row-group, page and dictionary sizes; timestamps shifted by hours, those with a pattern as text."""
+    from tidewright.functions.coerce import add_hours
 
-def write_parquet(df: DataFrame, path: str, codec: str = "snappy", block_bytes: int = 128 << 20, int96: bool = False) -> None:
+    times = {c for c, k in df.dtypes if k.startswith("timestamp")}
+    shifted = {c: add_hours(F.col(c), shift_hours) if shift_hours else F.col(c) for c in times}
+    rows = df.select(*[(F.date_format(shifted[c], patterns[c]) if c in (patterns or {}) else shifted[c]).alias(c) if c in times else F.col(c) for c in df.columns])
+    options = {"compression": codec, "parquet.block.size": block_bytes, "parquet.page.size": page_bytes, "parquet.enable.dictionary": str(dictionary).lower(), "parquet.dictionary.page.size": dictionary_bytes}
     name, conf = "spark.sql.parquet.outputTimestampType", df.sparkSession.conf
     before = conf.get(name)
     conf.set(name, "INT96" if int96 else "TIMESTAMP_MICROS")
     try:
-        df.write.option("compression", codec).option("parquet.block.size", str(block_bytes)).parquet(path)
+        rows.write.options(**options).parquet(path)
     finally:
         conf.set(name, before)
 
