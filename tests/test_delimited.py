@@ -78,3 +78,18 @@ def test_quoted_csv_values(spark):
     assert rows == ['a,"b"', "", "c"]
     trimmed = delimited.trimmed_values(spark.createDataFrame([('"x"', "", '"')], "a string, b string, c string")).first()
     assert tuple(trimmed) == ("x", None, '"')
+
+
+def test_blocks_give_what_the_whole_text_gives(spark, tmp_path):
+    """Block ends inside delimiters, quotes and characters of several bytes."""
+    import random
+
+    r = random.Random(2)
+    text = "".join(r.choice(['"', '""', "^|", "^", "@@\n", "@", "가", "x", " y"]) for _ in range(900))
+    whole = list(delimited.parse(text, "^|", "@@\n"))
+    for size in (1, 2, 3, 7, 100):
+        blocks = [text[i : i + size] for i in range(0, len(text), size)]
+        assert list(delimited.parse_blocks(iter(blocks), "^|", "@@\n")) == whole
+    (tmp_path / "a.txt").write_bytes(text.encode("cp949"))
+    got = delimited.scan(spark, str(tmp_path / "a.txt"), block_bytes=5).orderBy("row_index").collect()
+    assert [x.fields for x in got] == whole

@@ -416,6 +416,7 @@ def text_types(spark, d):
 
 @query("SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN 'new' ELSE c_name END AS c_name FROM customer WHERE c_custkey % 3 <> 0 OR c_custkey % 2 = 0")
 def remote_upsert(spark, d):
+    """Needs a database that all executors reach; this one lives in the JVM, so in local mode only."""
     import uuid
 
     url, driver = f"jdbc:derby:memory:{uuid.uuid4().hex};create=true", {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}

@@ -2,12 +2,14 @@
 
 ``scan`` reads quotes as the format means them: a quote opens a field only as its first character, delimiters inside
 quotes are text, a doubled quote is one quote, and text after a closing quote is kept. A file's rows can't be found from
-its middle, so each file is read by one task, as Spark's own multi-line CSV does. ``scan_unquoted`` is for files
+its middle, so each file is read by one task, as Spark's own multi-line CSV does; it is streamed in blocks, and a task
+holds a block and a row. ``scan_unquoted`` is for files
 declared to have no quoted delimiter: Spark splits those by row delimiter anywhere.
 """
 
 from __future__ import annotations
 
+import codecs
 from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,6 +25,25 @@ class WidthError(ValueError):
 
 def parse(text: str, col: str, row: str, quote: str = '"', preserve: bool = False) -> Iterator[list[str]]:
     """Rows of fields. A last row without delimiter counts; an empty end doesn't."""
+    for fields, _ in _rows(text, col, row, quote, preserve):
+        yield fields
+
+
+def parse_blocks(blocks: Iterator[str], col: str, row: str, quote: str = '"', preserve: bool = False) -> Iterator[list[str]]:
+    """As ``parse``, of a text that comes in blocks; what follows a block's last row delimiter waits for the next."""
+    held = ""
+    for block in blocks:
+        held, done = held + block, 0
+        for fields, end in _rows(held, col, row, quote, preserve):
+            if end is not None:
+                yield fields
+                done = end
+        held = held[done:]
+    yield from parse(held, col, row, quote, preserve)
+
+
+def _rows(text: str, col: str, row: str, quote: str, preserve: bool) -> Iterator[tuple[list[str], int | None]]:
+    """Rows and where the text goes on after each (None: the row has no delimiter)."""
     if len(col) < 2 or len(row) < 2:
         raise ValueError("delimiters have at least 2 characters")
     at, n, fields, parts, inside = 0, len(text), [], [], False
@@ -51,16 +72,42 @@ def parse(text: str, col: str, row: str, quote: str = '"', preserve: bool = Fals
                     fields.append("")
             elif r >= 0:
                 parts.append(text[at:r])
-                yield [*fields, "".join(parts)]
+                yield [*fields, "".join(parts)], r + len(row)
                 fields, parts, at = [], [], r + len(row)
             else:
                 parts.append(text[at:])
                 at = n
     if fields or parts:
-        yield [*fields, "".join(parts)] if parts or not text.endswith(col) else fields
+        yield ([*fields, "".join(parts)] if parts or not text.endswith(col) else fields), None
+
+
+def _streamed(path: str, charset: str, size: int) -> Iterator[str]:
+    import pyarrow.fs as pafs
+
+    fs, at = pafs.FileSystem.from_uri(_uri(path))
+    decoder = codecs.getincrementaldecoder(charset)()
+    with fs.open_input_stream(at) as stream:
+        while block := stream.read(size):
+            yield decoder.decode(block)
+    yield decoder.decode(b"", True)
+
+
+def _uri(path: str) -> str:
+    return path.replace("file:/", "file:///", 1) if path.startswith("file:/") and not path.startswith("file://") else path
+
+
+def _streamable(path: str) -> bool:
+    """Whether tasks can open the file as a stream."""
+    import pyarrow.fs as pafs
+
+    try:
+        fs, at = pafs.FileSystem.from_uri(_uri(path))
+        return fs.get_file_info(at).is_file
+    except Exception:
+        return False
 
 
-def scan(spark: SparkSession, path: str, columns: list[str] | None = None, charset: str = "CP949", col: str = "^|", row: str = "@@\n", quote: str = '"', preserve_quotes: bool = False, expected_cols: int = 0, skip_rows: int = 0, header: bool = False) -> DataFrame:
+def scan(spark: SparkSession, path: str, columns: list[str] | None = None, charset: str = "CP949", col: str = "^|", row: str = "@@\n", quote: str = '"', preserve_quotes: bool = False, expected_cols: int = 0, skip_rows: int = 0, header: bool = False, block_bytes: int = 8 << 20) -> DataFrame:
     """Fields as ``fields``, or as ``columns``, with the file's path and the row's index in it.
 
     ``skip_rows`` rows, then the header, are left out. A width other than ``expected_cols`` fails with the row's index,
@@ -71,8 +118,11 @@ def scan(spark: SparkSession, path: str, columns: list[str] | None = None, chars
         import pyarrow as pa
 
         for batch in batches:
-            for name, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                rows = parse(content.decode(charset), col, row, quote, preserve_quotes)
+            for i in range(batch.num_rows):
+                name = batch.column(0)[i].as_py()
+                # stores that only Spark can read give a file's whole content
+                blocks = _streamed(name, charset, block_bytes) if batch.num_columns == 1 else iter([batch.column(1)[i].as_py().decode(charset)])
+                rows = parse_blocks(blocks, col, row, quote, preserve_quotes)
                 out: list[list[str]] = []
                 first, left = 0, skip_rows + header
                 for i, fields in enumerate(rows):
@@ -89,7 +139,9 @@ def scan(spark: SparkSession, path: str, columns: list[str] | None = None, chars
                     raise WidthError(f"{name}: ends before its header")
                 yield pa.RecordBatch.from_arrays([pa.array([name] * len(out), pa.string()), pa.array(range(first, first + len(out)), pa.int64()), pa.array(out, pa.list_(pa.string()))], ["path", "row_index", "fields"])
 
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
+    files = spark.read.format("binaryFile").load(path)
+    one = files.select("path").head()
+    files = files.select("path") if one and _streamable(one.path) else files.select("path", "content")
     rows = files.mapInArrow(read, "path string, row_index long, fields array<string>")
     return rows if columns is None else rows.select(*[F.get("fields", i).alias(c) for i, c in enumerate(columns)], "path", "row_index")
 
