@@ -395,6 +395,12 @@ def row_function(spark, d):
     return rows.mapped(table(spark, d, "customer").select("c_custkey", "c_name", "c_nationkey"), lambda r: {"c_custkey": r["c_custkey"], "tag": f"{r['c_name'].upper()}/{r['c_nationkey']}"}, "c_custkey long, tag string")
 
 
+@query("SELECT c_custkey, upper(c_name) AS name, c_nationkey % 5 AS part FROM customer")
+def column_hook(spark, d):
+    hook = lambda df: {"name": F.upper(df["c_name"]), "part": df["c_nationkey"] % 5}
+    return rows.with_columns(table(spark, d, "customer"), hook).select("c_custkey", "name", "part")
+
+
 @query("SELECT CAST(o_orderkey AS VARCHAR) AS k, o_orderstatus AS status FROM orders")
 def extract_chunks(spark, d):
     path = work_folder(spark, "chunks")
