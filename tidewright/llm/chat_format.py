@@ -11,7 +11,8 @@ each id, and ``rejects`` gives them whole.
 A formatted text marks turns by ``### role: text</turn>\\n``. Inside roles and texts a backslash becomes ``\\b``, ``###``
 becomes ``\\h``, ``</turn>`` becomes ``\\t`` and, in roles, ``:`` becomes ``\\c``; a null role is ``\\0``. An escaped text
 thus holds neither mark, so splitting at the marks and undoing the escapes gives the turns back. The loss mask is a list
-of (start, length) spans, in characters of the formatted text, of the assistants' escaped texts.
+of (turn, start, length) spans: the turn's number in the formatted text, and where the assistant's escaped text begins
+and how long it is, in characters of that turn. Writing and reading take time in proportion to the text.
 
 Null texts are empty texts. Repeated and tied turns all stay, ordered by (turn, role, text), null turns last. In a table
 of turns alone a record of nulls is an empty turn. An empty table gives no
@@ -201,17 +202,11 @@ def _role_in(role: Column) -> Column:
 
 def formatted(convs: DataFrame, learn: str = "assistant") -> DataFrame:
     """``convs`` with ``formatted`` and the ``loss_spans`` of the turns whose role is ``learn``."""
-    coded = F.transform("turns", lambda t: F.struct(F.concat(F.lit(HEAD), _role_out(t["role"]), F.lit(": ")).alias("head"), escape(t["text"]).alias("body"), F.coalesce(t["role"] == learn, F.lit(False)).alias("learn")))
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,length:int>>").alias("spans"))
-
-    def step(a: Column, t: Column) -> Column:
-        start = a["at"] + F.length(t["head"])
-        span = F.struct(start.alias("start"), F.length(t["body"]).alias("length"))
-        return F.struct((start + F.length(t["body"]) + len(END)).alias("at"), F.when(t["learn"], F.concat(a["spans"], F.array(span))).otherwise(a["spans"]).alias("spans"))
-
+    coded = F.transform("turns", lambda t, i: F.struct(i.alias("turn"), F.concat(F.lit(HEAD), _role_out(t["role"]), F.lit(": ")).alias("head"), escape(t["text"]).alias("body"), F.coalesce(t["role"] == learn, F.lit(False)).alias("learn")))
+    span = lambda t: F.struct(t["turn"].alias("turn"), F.length(t["head"]).alias("start"), F.length(t["body"]).alias("length"))
     marked = convs.withColumn("_coded", coded)
     text = F.array_join(F.transform("_coded", lambda t: F.concat(t["head"], t["body"], F.lit(END))), "")
-    return marked.withColumn("formatted", text).withColumn("loss_spans", F.aggregate("_coded", zero, step, lambda a: a["spans"])).drop("_coded")
+    return marked.withColumn("formatted", text).withColumn("loss_spans", F.transform(F.filter("_coded", lambda t: t["learn"]), span)).drop("_coded")
 
 
 def read_turns(text: Column) -> Column:
@@ -223,4 +218,5 @@ def read_turns(text: Column) -> Column:
 
 def read_loss(text: Column, spans: Column) -> Column:
     """The unescaped texts under the loss mask, joined with nothing between."""
-    return F.array_join(F.transform(spans, lambda s: unescape(F.substring(text, s["start"] + 1, s["length"]))), "")
+    own = lambda parts: F.transform(spans, lambda s: unescape(F.substring(F.get(parts, s["turn"]), s["start"] + 1, s["length"])))
+    return F.transform(F.array(F.split(text, END)), lambda parts: F.array_join(own(parts), ""))[0]
