@@ -79,7 +79,33 @@ def test_unseen_layouts(network):
     assert np.mean(right) > 0.98
 
 
-def test_gradients_are_those_of_the_loss():
+def test_lstm_gradients_are_those_of_differences():
+    """Back-propagation through time against differences of the loss, with steps that the mask leaves out."""
+    r = np.random.default_rng(4)
+    x, mask = r.normal(size=(3, 6, 5)), np.arange(6) < np.array([[6], [4], [1]])
+    wx, wh, b = r.normal(0, 0.5, (5, 4 * html_labeller.HIDDEN)), r.normal(0, 0.5, (html_labeller.HIDDEN, 4 * html_labeller.HIDDEN)), r.normal(size=4 * html_labeller.HIDDEN)
+    weight = r.normal(size=(3, 6, html_labeller.HIDDEN)) * mask[:, :, None]
+    loss = lambda: float((html_labeller._run(x, mask, wx, wh, b, False)[0] * weight).sum())
+    _, saved = html_labeller._run(x, mask, wx, wh, b, True)
+    dx, dwx, dwh, db = html_labeller._back(weight, x, saved, wx, wh)
+    for value, grad in ((x, dx), (wx, dwx), (wh, dwh), (b, db)):
+        for _ in range(12):
+            at = tuple(int(r.integers(n)) for n in value.shape)
+            kept = value[at]
+            value[at] = kept + 1e-3
+            up = loss()
+            value[at] = kept - 1e-3
+            down = loss()
+            value[at] = kept
+            assert (up - down) / 2e-3 == pytest.approx(grad[at], abs=2e-3, rel=1e-2)
+
+
+def test_only_what_no_reader_sees_is_skipped():
+    html = "<article><p>Let <math><mi>x</mi></math> be <object data=a>a chart</object> of <canvas>bars</canvas>.</p><svg><text>s</text></svg><noscript>n</noscript></article>"
+    assert [b.text for b in blocks(html)] == ["Let x be a chart of bars."]
+
+
+def test_training_lowers_the_loss():
     page, y = html_labeller.made_pages(texts_of(3, 20), 1, seed=5)[0]
     read, net = html_labeller.read(page), html_labeller.Network.fresh(1)
     net.weights = {k: v.astype(np.float64) for k, v in net.weights.items()}

@@ -9,7 +9,8 @@ from html import unescape
 
 #: Element names of the HTML standard.
 BLOCK_TAGS = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre section summary table tbody td tfoot th thead tr ul".split())
-SKIPPED_TAGS = frozenset("script style noscript template svg math iframe object canvas title textarea select button".split())
+#: Elements of scripts and styles, of what no reader sees, and of forms' controls.
+SKIPPED_TAGS = frozenset("script style noscript template svg iframe title textarea select button".split())
 RAW_TAGS = frozenset("script style textarea title".split())
 MEDIA_TAGS = frozenset("img audio video source embed".split())
 #: What an opening tag closes: the open element of these names, unless one of the second names lies above it.
