@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewright.llm import language_id, line_quality, near_dups, packing
-from tidewright.llm.common import with_found, written
+from tidewright.llm.common import discard, with_found, written
 from tidewright.llm.queries import tokenizer_path
 
 
@@ -71,7 +71,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), []
     for name, stage in STAGES:
         docs = written(stage(spark, docs, sf_dir), name)
+        discard(*before)  # what the stage has read
+        before = [docs]
     return docs
