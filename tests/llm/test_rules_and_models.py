@@ -219,7 +219,7 @@ def test_pooling_is_the_plain_convolution():
     for i in range(len(texts)):
         own = rows[at[i] : at[i + 1]]
         n = len(own) - len(toxicity.WIDTHS)
-        e = w["word"][own & 0xFFFF] + w["stem"][own >> 16]
+        e = np.array([w["word"][int(x) & 0xFFFF] + w["stem4"][int(x) >> 16 & 0xFFFF] + w["stem7"][int(x) >> 32] for x in own])
         want = [max((sum(e[s + j] @ w[f"conv{k}"][j] for j in range(k)) for s in range(n + 1)), key=lambda v: v[f])[f] + w[f"shift{k}"][f] for k in toxicity.WIDTHS for f in range(toxicity.FILTERS)]
         assert np.allclose(got[i], np.maximum(want, 0), atol=1e-5) and np.allclose(also[i], got[i], atol=1e-5)
 
