@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewright.llm.common import written
-from tidewright.llm import chat_format, html_labeller, language_id, line_quality, media_sequences, near_dups, packing, sentencepiece_codec, token_frames, toxicity
+from tidewright.llm import chat_format, html_labeller, language_id, line_quality, media_sequences, near_dups, packing, phrase_mining, sentencepiece_codec, token_alignment, token_counts, token_frames, toxicity
 
 
 def tokenizer_path(name: str) -> str:
@@ -154,6 +154,44 @@ FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id JOIN (SELECT start, min(node
 """
 
 
+def op11_rabin_karp_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = phrase_mining.phrases(table(spark, sf_dir, "documents"), longest=3, least=10)
+    return phrase_mining.collocations(found, top=2000, share=50).drop("doc_id", "byte")
+
+
+OP11_SQL = r"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+           FROM documents WHERE text IS NOT NULL),
+w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM p),
+o AS (SELECT lang, unnest(list_transform(range(1, len(w) + 1), lambda i: {'x': w[i], 'y': w[i + 1], 'z': w[i + 2]})) AS t FROM w),
+one AS (SELECT lang, t.x AS x, count(*) AS n FROM o GROUP BY ALL HAVING count(*) >= 10),
+two AS (SELECT lang, t.x AS x, t.y AS y, count(*) AS n FROM o WHERE t.y IS NOT NULL GROUP BY ALL HAVING count(*) >= 10),
+three AS (SELECT lang, t.x AS x, t.y AS y, t.z AS z, count(*) AS n FROM o WHERE t.z IS NOT NULL GROUP BY ALL HAVING count(*) >= 10),
+total AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY lang),
+cuts AS (SELECT g.lang, g.x || ' ' || g.y AS phrase, g.n AS a, 1 AS cut, l.n AS l, r.n AS r FROM two g JOIN one l ON l.lang = g.lang AND l.x = g.x JOIN one r ON r.lang = g.lang AND r.x = g.y
+         UNION ALL SELECT g.lang, g.x || ' ' || g.y || ' ' || g.z, g.n, 1, l.n, r.n FROM three g JOIN one l ON l.lang = g.lang AND l.x = g.x JOIN two r ON r.lang = g.lang AND r.x = g.y AND r.y = g.z
+         UNION ALL SELECT g.lang, g.x || ' ' || g.y || ' ' || g.z, g.n, 2, l.n, r.n FROM three g JOIN two l ON l.lang = g.lang AND l.x = g.x AND l.y = g.y JOIN one r ON r.lang = g.lang AND r.x = g.z),
+best AS (SELECT *, CAST((1000000::HUGEINT * a * a) // (l::HUGEINT * r) AS BIGINT) AS score FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+inside AS (SELECT lang, phrase, max(n) AS longer FROM (SELECT lang, x || ' ' || y AS phrase, n FROM three UNION ALL SELECT lang, y || ' ' || z, n FROM three) GROUP BY ALL),
+kept AS (SELECT b.* FROM best b LEFT JOIN inside i ON i.lang = b.lang AND i.phrase = b.phrase WHERE i.longer IS NULL OR 100 * i.longer < 50 * b.a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN total USING (lang) WHERE rank <= 2000
+"""
+
+
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_counts.token_counts(docs, tokenizer_path("piece_bpe_32k.model"), limit=4096)
+
+
+def op13_lockstep_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(F.monotonically_increasing_id().alias("_row"), "doc_id", "text")
+    found = token_alignment.align(docs, tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256)).alias("groups_sha256")
+    kept = written(found.select("_row", "doc_id", "n_a", "n_b", "n_groups", "n_links", digest, "pairs", "pair_links"), "alignments")
+    return token_alignment.scored(kept).select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_labeller": op1_html_labeller,
     "op2_toxicity": op2_toxicity,
@@ -165,5 +203,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_frequency": op8_line_frequency,
     "op9_harmonic_packing": op9_harmonic_packing,
     "op10_hyperminhash": op10_hyperminhash,
+    "op11_rabin_karp_phrases": op11_rabin_karp_phrases,
+    "op12_token_counts": op12_token_counts,
+    "op13_lockstep_alignment": op13_lockstep_alignment,
 }
-ORACLE_SQL: dict[str, str] = {"op3_chat_format": OP3_SQL, "op8_line_frequency": OP8_SQL, "op10_hyperminhash": OP10_SQL}
+ORACLE_SQL: dict[str, str] = {"op3_chat_format": OP3_SQL, "op8_line_frequency": OP8_SQL, "op10_hyperminhash": OP10_SQL, "op11_rabin_karp_phrases": OP11_SQL}
