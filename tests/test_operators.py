@@ -1,3 +1,4 @@
+import functools
 import random
 
 import pytest
@@ -123,6 +124,37 @@ def test_fragments(spark):
     assert fragments.fragments(df, 10, ["k"], max_fragments=1).count() == 10
 
 
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_numbers_of_wide_rows_with_ties(spark, adaptive):
+    """All rows get one number each, in order, whatever the columns and however shuffles coalesce."""
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    try:
+        df = spark.range(0, 60_000, 1, 9).select((F.col("id") * 31 % 500).alias("k"), F.repeat(F.sha2(F.col("id").cast("string"), 256), 8).alias("wide"), F.create_map(F.lit("a"), "id").alias("m"))
+        got = fragments.with_index(df, ["k"])
+        assert got.count() == got.select("_index").distinct().count() == 60_000
+        told = got.agg(F.min("_index"), F.max("_index"), F.count_if(F.floor(F.col("_index") / 120) != F.col("k")), F.count("wide"), F.countDistinct(F.col("m")["a"])).first()
+        assert tuple(told) == (0, 59_999, 0, 60_000, 60_000)
+        assert fragments.fragments(df, 1000, ["k"]).groupBy("fragment_index", "fragment_count").count().where("count = 1000 AND fragment_count = 60").count() == 60
+        assert fragments.with_index(df, []).select("_index").distinct().count() == 60_000
+        assert fragments.fragments(df.limit(0), 10, ["k"]).count() == 0
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+
+
+def test_balanced_ranges_of_a_skewed_key(spark):
+    import statistics
+
+    df = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 50 != 1, (F.col("id") % 1000) ** 2 / 1000).cast("int").alias("k"), "id").cache()
+    ranges = fragments.balanced_predicates(df, "k", 10, then="id")
+    sizes = [df.where(x).count() for x in ranges]
+    assert sum(sizes) == 30_000 == functools.reduce(lambda a, b: a.unionAll(b), [df.where(x) for x in ranges]).select("id").distinct().count()
+    assert max(sizes) <= 2 * statistics.median(sizes)
+    dates = df.select(F.date_add(F.lit("2020-01-01"), F.col("k")).alias("d"))
+    assert sum(dates.where(x).count() for x in fragments.balanced_predicates(dates, "d", 4)) == 30_000
+    assert fragments.balanced_predicates(df.limit(0), "k", 4) and fragments.balanced_predicates(df, "k", 1) == ["(1 = 1 OR k IS NULL)"]
+
+
 def test_range_predicates_cover_everything(spark):
     df = spark.createDataFrame([(x,) for x in (*range(-5, 40), None)], "k int")
     parts = [df.where(p).collect() for p in fragments.range_predicates("k", 0, 30, 4)]

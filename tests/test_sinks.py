@@ -164,13 +164,96 @@ def test_batches_in_any_order_keep_deleted_keys_away(spark, tmp_path, seed):
     assert sorted((x.k, x.v, x.seq) for x in upserts.read_upserted(spark, path).collect()) == sorted((k, v, i) for k, (v, op, i) in last.items() if op == "UPSERT")
 
 
+def plain_replay(batches):
+    """(rows, rejects) of batches of (k, v, op, seq), a change at a time."""
+    rows, last, rejects = {}, {}, []
+    for batch in batches:
+        begun = dict(last)
+        for k, v, op, seq in sorted(batch, key=lambda c: (c[3] is None, c[3])):
+            if k is None or seq is None or op == "BAD" or (op == "INSERT" and k in rows and seq > begun.get(k, -1)):
+                rejects.append((k, v, op, seq))
+            elif seq > begun.get(k, -1):
+                if op == "DELETE":
+                    rows.pop(k, None)
+                    last[k] = seq
+                elif op in ("INSERT", "UPSERT") or k in rows:
+                    rows[k] = (v, seq)
+                    last[k] = seq
+    return rows, rejects
+
+
+@pytest.mark.parametrize("seed,bucket_rows", [(1, 5), (2, 30), (3, 1000)])
+def test_buckets_split_and_deltas_fold(spark, tmp_path, seed, bucket_rows):
+    import random
+
+    r, path = random.Random(seed), str(tmp_path / "t")
+    changes = [(r.choice([None, *range(60)]), f"v{i}", r.choice(["UPSERT", "UPSERT", "DELETE", "INSERT", "UPDATE", "BAD"][: 3 if i < 200 else 6]), r.choice([i] * 20 + [None])) for i in range(440)]
+    batches = [changes[n : n + 40] for n in range(0, 440, 40)]
+    for n, batch in enumerate(batches):
+        for _ in range(2 if n == 6 else 1):  # one comes twice
+            upserts.upsert_batch(spark.createDataFrame(batch, SCHEMA), path, ["k"], "seq", buckets=1, number=n, bucket_rows=bucket_rows)
+    rows, rejects = plain_replay(batches)
+    assert {x.k: (x.v, x.seq) for x in upserts.read_upserted(spark, path).collect()} == rows
+    assert upserts.read_upserted(spark, path).count() == len(rows)
+    told = spark.read.parquet(f"{path}_rejects").select("k", "v", "_op", "seq")
+    assert sorted(map(str, (tuple(x) for x in told.collect()))) == sorted(map(str, rejects))
+    state = upserts._snapshot(spark, path, upserts._snapshots(spark, path)[-1])
+    assert len(state["deltas"]) < len(batches) + 1 and (len(state["buckets"]) > 4 if bucket_rows == 5 else True)
+    assert [b["low"] for b in state["buckets"]] == [0, *[b["high"] for b in state["buckets"][:-1]]]
+    spark.range(3).write.parquet(f"{path}/data/lost")  # what a run left that failed before its snapshot
+    assert "lost" in upserts.clean_upserted(spark, path) and upserts.read_upserted(spark, path).count() == len(rows)
+
+
+def test_bytes_written_follow_the_batch(spark, tmp_path):
+    path = str(tmp_path / "t")
+    made = lambda ids, seq: ids.select(F.col("id").cast("int").alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("v"), F.lit("UPSERT").alias("_op"), F.lit(seq).cast("long").alias("seq"))
+    upserts.upsert_batch(made(spark.range(200_000), 1), path, ["k"], "seq")
+    before, size = set(tables._files_under(spark, path)), tables.size_of(spark, f"{path}/data")
+    upserts.upsert_batch(made(spark.range(0, 200_000, 500), 2), path, ["k"], "seq", number=1)
+    new = set(tables._files_under(spark, f"{path}/data")) - {x.removeprefix("data/") for x in before}
+    assert sum(tables.size_of(spark, f"{path}/data/{x}") for x in new) < size / 50
+    got = upserts.read_upserted(spark, path).groupBy("seq").count().collect()
+    assert {x.seq: x["count"] for x in got} == {1: 199_600, 2: 400}
+
+
+def test_new_and_missing_columns_of_batches(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for n, (rows, kinds) in enumerate([([(1, "a", "UPSERT", 1), (2, "b", "UPSERT", 1)], SCHEMA), ([(1, 5, "UPSERT", 2)], "k int, w int, _op string, seq long")]):
+        upserts.upsert_batch(spark.createDataFrame(rows, kinds), path, ["k"], "seq", number=n)
+    assert sorted((x.k, x.v, x.w) for x in upserts.read_upserted(spark, path).collect()) == [(1, None, 5), (2, "b", None)]
+
+
+def test_a_failed_rename_leaves_the_old_table(spark, tmp_path, monkeypatch):
+    path, move, calls = str(tmp_path / "t"), tables.move, []
+    tables.publish(spark.range(3), path)
+
+    def failing(spark, source, target):
+        calls.append(target)
+        if len(calls) == 2:
+            raise OSError("injected")
+        move(spark, source, target)
+
+    monkeypatch.setattr(tables, "move", failing)
+    with pytest.raises(OSError, match="injected"):
+        tables.publish(spark.range(9), path)
+    assert spark.read.parquet(path).count() == 3 and tables.names_in(spark, str(tmp_path)) == ["t"]
+
+
+def test_transactions_of_equal_rows_and_maps(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.range(1000).select(F.lit(1).alias("v"), F.create_map(F.lit("a"), F.lit(1)).alias("m"))
+    assert len(upserts.append_transactions(rows, path, 0, 300)) == 4
+    sizes = [r["count"] for r in spark.read.parquet(f"{path}/batch=0").groupBy("part").count().collect()]
+    assert sorted(sizes) == [100, 300, 300, 300]
+
+
 def test_transactions_are_all_or_nothing(spark, tmp_path):
     path = str(tmp_path / "t")
     rows = spark.range(100).withColumn("v", F.col("id") % 50)
     bad = lambda df: F.when(F.col("id") == 7, F.lit("bad row"))
     for _ in range(2):  # a repeated batch replaces its own
         done = upserts.append_transactions(rows, path, 0, 30, bad)
-        assert len(done) == 3
+        assert len(done) == 3  # of four
         kept, failed = (spark.read.parquet(f"{path}{x}/batch=0") for x in ("", "_failed"))
         assert kept.count() + failed.count() == 100 and failed.where("_error IS NOT NULL").count() == 1 and failed.select("part").distinct().count() == 1
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import functools
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -78,6 +81,22 @@ def fragment_results(spark, d):
     return rows.groupBy("fragment_index", "fragment_count").agg(F.count("*").alias("n"), F.min("o_orderkey").alias("low"), F.max("o_orderkey").alias("high"))
 
 
+@query("""WITH r AS (SELECT *, row_number() OVER (ORDER BY l_shipmode, l_comment, l_orderkey, l_linenumber) - 1 AS i, count(*) OVER () AS n FROM lineitem)
+SELECT l_orderkey, l_linenumber, l_shipmode, l_comment, l_extendedprice, CAST(i // 700 AS BIGINT) AS fragment_index, CAST((n + 699) // 700 AS BIGINT) AS fragment_count FROM r""")
+def fragment_wide_rows(spark, d):
+    rows = fragments.fragments(table(spark, d, "lineitem"), 700, ["l_shipmode", "l_comment", "l_orderkey", "l_linenumber"])
+    return rows.select("l_orderkey", "l_linenumber", "l_shipmode", "l_comment", "l_extendedprice", "fragment_index", "fragment_count")
+
+
+@query("SELECT l_suppkey < 5 AS few, CAST(count(*) AS BIGINT) AS n, CAST(sum(l_orderkey) AS BIGINT) AS orders FROM lineitem GROUP BY ALL")
+def balanced_ranges(spark, d):
+    """Every row once, through ranges of a key that is skewed, however they are cut."""
+    rows = table(spark, d, "lineitem").withColumn("k", F.when(F.col("l_suppkey") >= 5, F.col("l_suppkey")).otherwise(3))
+    ranges = fragments.balanced_predicates(rows, "k", 12, then="l_orderkey")
+    each = [rows.where(x).select(F.lit(i).alias("range"), "k", "l_orderkey") for i, x in enumerate(ranges)]
+    return functools.reduce(DataFrame.unionAll, each).groupBy((F.col("k") < 5).alias("few")).agg(F.count("*").alias("n"), F.sum("l_orderkey").alias("orders"))
+
+
 @query("SELECT l_returnflag, count(*) AS n, sum(l_quantity) AS quantity FROM lineitem WHERE l_orderkey >= 100 AND l_orderkey < 5100 GROUP BY l_returnflag")
 def range_page(spark, d):
     return fragments.range_page(table(spark, d, "lineitem"), "l_orderkey", 100, 5000).groupBy("l_returnflag").agg(F.count("*").alias("n"), F.sum("l_quantity").alias("quantity"))

@@ -76,7 +76,9 @@ def read_text(spark: SparkSession, path: str) -> str:
 
 
 def publish(df: DataFrame, path: str, check: Callable[[DataFrame], bool] | None = None, file_format: str = "parquet", partition_by: list[str] | None = None, options: dict[str, str] | None = None) -> None:
-    """Replaces the table at ``path`` with ``df``, which may read it: stage, check, rename the old away, rename in."""
+    """Replaces the table at ``path`` with ``df``, which may read it: stage, check, rename the old away, rename in.
+
+    Where the second rename fails, the old table is moved back."""
     spark, stage, old = df.sparkSession, f"{path}_staging_{uuid.uuid4().hex}", f"{path}_old_{uuid.uuid4().hex}"
     writer = df.write.options(**(options or {})).format(file_format)
     try:
@@ -89,7 +91,13 @@ def publish(df: DataFrame, path: str, check: Callable[[DataFrame], bool] | None
     had = exists(spark, path)
     if had:
         move(spark, path, old)
-    move(spark, stage, path)
+    try:
+        move(spark, stage, path)
+    except Exception:
+        if had:
+            move(spark, old, path)
+        remove(spark, stage)
+        raise
     if had:
         remove(spark, old)
 
