@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidewright.operators import alerts, changes, graphs, routing, rows
 from tidewright.plans.registry import query, table, work_folder
 from tidewright.sinks import remote, tables
+from tidewright.sinks.commit_log import LoggedTable
 from tidewright.sources import delimited, sql
 from tidewright.streaming import monitors, upserts
 
@@ -265,6 +266,29 @@ def stream_upsert(spark, d):
     return upserts.read_upserted(spark, f"{path}_table").select("user_id", "event_id", "event_type")
 
 
+@query("""SELECT o_orderkey AS k, o_orderstatus AS status, CASE WHEN o_orderkey BETWEEN 1000 AND 3000 THEN CAST(0 AS DOUBLE) ELSE CAST(o_totalprice AS DOUBLE) END AS price FROM orders WHERE o_orderkey % 97 <> 0
+UNION ALL SELECT -o_orderkey, 'N', CAST(1 AS DOUBLE) FROM orders WHERE o_custkey % 50 = 0""")
+def log_merge(spark, d):
+    """Appends, then an upsert, a delete and another append, each a commit of a table with a log."""
+    orders = table(spark, d, "orders").select(F.col("o_orderkey").alias("k"), F.col("o_orderstatus").alias("status"), F.col("o_totalprice").cast("double").alias("price"), "o_custkey")
+    t = LoggedTable(spark, work_folder(spark, "logged"), stats=["k"])
+    t.append(orders.drop("o_custkey").repartitionByRange(8, "k"))
+    t.merge(orders.where("k BETWEEN 1000 AND 3000").select("k", "status", F.lit(0.0).alias("price")), ["k"])
+    t.merge(orders.where("k % 97 = 0").select("k"), ["k"], "DELETE")
+    t.append(orders.where("o_custkey % 50 = 0").select((-F.col("k")).alias("k"), F.lit("N").alias("status"), F.lit(1.0).alias("price")))
+    return t.read()
+
+
+@query("SELECT l_orderkey, l_linenumber, l_shipmode, l_quantity FROM lineitem WHERE l_orderkey >= 2000 AND l_orderkey < 2600 AND l_quantity > 10")
+def log_filtered_read(spark, d):
+    """A read of the files alone whose statistics allow the conditions, of a partitioned table."""
+    t = LoggedTable(spark, work_folder(spark, "logged"), partition_by=["l_shipmode"], stats=["l_orderkey", "l_quantity"])
+    lines = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_shipmode", "l_quantity")
+    t.append(lines.where("l_orderkey < 2300"))
+    t.append(lines.where("l_orderkey >= 2300"))
+    return t.read([("l_orderkey", ">=", 2000), ("l_orderkey", "<", 2600), ("l_quantity", ">", 10)])
+
+
 @query("SELECT event_type, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS ids FROM events GROUP BY event_type")
 def stream_once(spark, d):
     path = work_folder(spark, "feed")
