@@ -93,3 +93,63 @@ def test_blocks_give_what_the_whole_text_gives(spark, tmp_path):
     (tmp_path / "a.txt").write_bytes(text.encode("cp949"))
     got = delimited.scan(spark, str(tmp_path / "a.txt"), block_bytes=5).orderBy("row_index").collect()
     assert [x.fields for x in got] == whole
+
+
+@pytest.fixture
+def small_splits(spark):
+    names = {"spark.sql.files.maxPartitionBytes": "600", "spark.sql.files.openCostInBytes": "0", "spark.sql.files.minPartitionNum": "1"}
+    before = {k: spark.conf.get(k, None) for k in names}
+    for k, v in names.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_one_file_in_many_splits(spark, tmp_path, small_splits, seed):
+    """Splits inside quotes, rows over several splits, unclosed quotes, files with and without a last delimiter."""
+    r = random.Random(seed)
+    quotes = ['"', '""'] if seed % 2 else ['"q"', '"a@@\nb"']
+    text = "".join(r.choice([*quotes, "^|", "^", "@@\n", "@", "가나", "x", " y", "words " * 9]) for _ in range(1500))
+    if seed == 4:
+        text += '^|"' + "never closed @@\n" * 120
+    if seed == 5:
+        text = 'a^|"' + "long ^| @@\n" * 200 + '"@@\nb^|c'
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a +%41.txt").write_bytes(text.encode("cp949"))
+    (tmp_path / "in" / "b.txt").write_bytes(("h@@\n" + text + "@@\n").encode("cp949"))
+    got = delimited.scan(spark, str(tmp_path / "in"))
+    assert got.rdd.getNumPartitions() > 8 or seed == 5
+    rows = sorted(got.collect(), key=lambda x: (x.path, x.row_index))
+    for name, content in (("a +%41.txt", text), ("b.txt", "h@@\n" + text + "@@\n")):
+        own = [x for x in rows if x.path.endswith("/" + name)]
+        assert [x.row_index for x in own] == list(range(len(own)))
+        assert [x.fields for x in own] == reference(content, "^|", "@@\n")
+    skipped = delimited.scan(spark, str(tmp_path / "in" / "b.txt"), skip_rows=2, header=True).orderBy("row_index").collect()
+    assert [x.fields for x in skipped] == reference("h@@\n" + text + "@@\n", "^|", "@@\n")[3:]
+
+
+def test_quoted_fields_in_splits_by_column(spark, tmp_path, small_splits):
+    (tmp_path / "a.txt").write_text('1^|"2"@@\n' * 400)
+    rows = delimited.scan(spark, str(tmp_path / "a.txt"), ["a", "b"], charset="UTF-8", expected_cols=2)
+    assert rows.count() == 400 and rows.select("a", "b").distinct().collect() == [("1", "2")]
+
+
+def test_where_splits_can_be():
+    assert delimited.splits_anywhere("CP949", "^|", "@@\n", '"') and delimited.splits_anywhere("UTF-8", "||", "\r\n", '"') is False
+    for charset, col, row in (("UTF-16", "^|", "@@\n"), ("shift_jis", "^|", "@@\n"), ("CP949", "AB", "@@\n"), ("UTF-8", "^|", "|@"), ("UTF-8", "가나", "@@\n"), ("UTF-8", "^|", '@"')):
+        assert not delimited.splits_anywhere(charset, col, row, '"'), (charset, col, row)
+
+
+def test_wide_rows_and_unclosed_quotes_take_linear_time():
+    import time
+
+    def seconds(n):
+        began = time.process_time()
+        assert len(next(delimited.parse("x^|" * n + "y@@\n", "^|", "@@\n"))) == n + 1
+        assert len(list(delimited.parse_blocks(iter(['"' + "z" * 50] + ["z" * 50] * n), "^|", "@@\n"))) == 1
+        return time.process_time() - began
+
+    seconds(1000)
+    assert seconds(80_000) < 30 * max(seconds(8_000), 0.01)
