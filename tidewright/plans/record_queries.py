@@ -81,11 +81,12 @@ def fragment_results(spark, d):
     return rows.groupBy("fragment_index", "fragment_count").agg(F.count("*").alias("n"), F.min("o_orderkey").alias("low"), F.max("o_orderkey").alias("high"))
 
 
-@query("""WITH r AS (SELECT *, row_number() OVER (ORDER BY l_shipmode, l_comment, l_orderkey, l_linenumber) - 1 AS i, count(*) OVER () AS n FROM lineitem)
-SELECT l_orderkey, l_linenumber, l_shipmode, l_comment, l_extendedprice, CAST(i // 700 AS BIGINT) AS fragment_index, CAST((n + 699) // 700 AS BIGINT) AS fragment_count FROM r""")
+@query("""WITH r AS (SELECT *, row_number() OVER (ORDER BY source NULLS FIRST, doc_id) - 1 AS i, count(*) OVER () AS n FROM documents)
+SELECT doc_id, source, lang, text, CAST(i // 700 AS BIGINT) AS fragment_index, CAST((n + 699) // 700 AS BIGINT) AS fragment_count FROM r""")
 def fragment_wide_rows(spark, d):
-    rows = fragments.fragments(table(spark, d, "lineitem"), 700, ["l_shipmode", "l_comment", "l_orderkey", "l_linenumber"])
-    return rows.select("l_orderkey", "l_linenumber", "l_shipmode", "l_comment", "l_extendedprice", "fragment_index", "fragment_count")
+    """Whole texts in fragments, ordered by a column with few values and a tie-breaker."""
+    rows = fragments.fragments(table(spark, d, "documents").select("doc_id", "source", "lang", "text"), 700, ["source", "doc_id"])
+    return rows.select("doc_id", "source", "lang", "text", "fragment_index", "fragment_count")
 
 
 @query("SELECT l_suppkey < 5 AS few, CAST(count(*) AS BIGINT) AS n, CAST(sum(l_orderkey) AS BIGINT) AS orders FROM lineitem GROUP BY ALL")

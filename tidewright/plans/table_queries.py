@@ -279,11 +279,11 @@ def log_merge(spark, d):
     return t.read()
 
 
-@query("SELECT l_orderkey, l_linenumber, l_shipmode, l_quantity FROM lineitem WHERE l_orderkey >= 2000 AND l_orderkey < 2600 AND l_quantity > 10")
+@query("SELECT l_orderkey, l_linenumber, l_returnflag, l_quantity FROM lineitem WHERE l_orderkey >= 2000 AND l_orderkey < 2600 AND l_quantity > 10")
 def log_filtered_read(spark, d):
     """A read of the files alone whose statistics allow the conditions, of a partitioned table."""
-    t = LoggedTable(spark, work_folder(spark, "logged"), partition_by=["l_shipmode"], stats=["l_orderkey", "l_quantity"])
-    lines = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_shipmode", "l_quantity")
+    t = LoggedTable(spark, work_folder(spark, "logged"), partition_by=["l_returnflag"], stats=["l_orderkey", "l_quantity"])
+    lines = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_quantity")
     t.append(lines.where("l_orderkey < 2300"))
     t.append(lines.where("l_orderkey >= 2300"))
     return t.read([("l_orderkey", ">=", 2000), ("l_orderkey", "<", 2600), ("l_quantity", ">", 10)])
