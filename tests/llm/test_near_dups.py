@@ -174,3 +174,9 @@ def test_components_of_paths_and_stars(spark):
     edges = [(i, i + 1) for i in range(0, 60)] + [(100, k) for k in range(101, 140)] + [(7, 7), (60, 59)]
     got = {r.node: r.label for r in near_dups.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(61)}, **{k: 100 for k in range(100, 140)}}
+
+
+def test_thresholds_between_two_per_cents_are_refused(spark):
+    docs = spark.createDataFrame([(1, "a b c")], "doc_id long, text string")
+    with pytest.raises(ValueError, match="per cent"):
+        near_dups.near_duplicates(docs, threshold=0.855)

@@ -28,6 +28,16 @@ def test_sql_gives_the_same_rows(spark, name):
     assert plain(rows) == plain(expected)
 
 
+def test_chat_sql_with_nulls_and_odd_roles(spark, tmp_path):
+    rows = [(1, 0, "user", "hi"), (1, 1, None, "no role"), (1, 1, "assistant", "b"), (2, 0, None, None), (2, None, "assistant", "x"), (3, 1, "", "e"), (1, 1, None, "a"), (4, 0, "a:b\\### </turn>", "c"), (4, 1, "assistant", "</turn>")]
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(str(tmp_path / "conversations.parquet"))
+    c = duckdb.connect()
+    c.sql(f"create view conversations as select * from read_parquet('{tmp_path}/conversations.parquet/*.parquet')")
+    expected, got = c.sql(queries.OP3_SQL).df(), queries.op3_chat_format(spark, str(tmp_path)).toPandas()
+    plain = lambda df: sorted(tuple(map(str, x)) for x in df[sorted(df.columns)].astype(object).itertuples(index=False))
+    assert plain(got) == plain(expected)
+
+
 def test_all_are_registered():
     assert [n for n in range(1, 14) if sum(q.startswith(f"op{n}_") for q in queries.QUERIES) != 1] == []
 

@@ -196,6 +196,32 @@ def test_foreign_texts_are_rejected_and_known_ones_stay(spark):
     assert [x.text for x in language_id.identify(odd, model).collect() if not x.lang_rejected] == []
 
 
+def test_thresholds_come_from_texts_not_learnt_from():
+    """Equal texts are in one fold, both labels in every fold, and a fold's logits are another network's."""
+    r = np.random.default_rng(4)
+    made = lambda words: toxicity.word_rows(np.frombuffer(" ".join(words).encode(), np.uint8), np.array([0, len(" ".join(words))]))[0]
+    texts = [made([f"w{x}" for x in r.integers(0, 300, 9)] + (["vile"] if i % 3 == 0 else [])) for i in range(60)]
+    texts, toxic = texts + texts[:6], np.array([i % 3 == 0 for i in [*range(60), *range(6)]], np.float32)
+    fold = toxicity.folds(texts, toxic)
+    assert (fold[:6] == fold[60:]).all() and all(set(toxic[fold == k]) == {0, 1} for k in range(toxicity.FOLDS))
+    z = toxicity.learnt(0, texts, toxic)
+    rest = np.flatnonzero(fold != 0)
+    other = toxicity.train([texts[i] for i in rest], toxic[rest], rounds=60)
+    assert np.allclose(z, toxicity.logits(other, *toxicity.joined([texts[i] for i in np.flatnonzero(fold == 0)])))
+    assert len(toxicity.learnt(2, texts[:1], toxic[:1])) == 0
+
+
+def test_scores_of_ties_and_repeated_rows(spark):
+    docs = spark.createDataFrame([(i, f"nice words {i % 7} here" if i % 2 else f"vile words {i % 5} here", i % 2 == 0) for i in range(80)], "doc_id long, text string, toxic boolean")
+    model = toxicity.fit(docs.drop("toxic"), docs.select("doc_id", F.col("toxic").cast("int").alias("toxic")))
+    rows = spark.createDataFrame([(1, "vile words here"), (1, "vile words here"), (2, "vile words here"), (3, "x")], "doc_id long, text string")
+    got = toxicity.scored(rows, model).collect()
+    assert len(got) == 4 and len({x.score for x in got if x.text != "x"}) == 1 and all(x.predicted == (x.score >= 0.3) for x in got)
+    model.cuts[:] = toxicity.logits(model, *toxicity.word_rows(np.frombuffer(b"x", np.uint8), np.array([0, 1])))[0]
+    tie = [x for x in toxicity.scored(rows, model).collect() if x.text == "x"][0]
+    assert abs(tie.score - 0.3) < 1e-9
+
+
 def test_toxicity_of_held_out_texts(spark):
     docs = labelled_docs(spark)
     model = toxicity.fit(docs.where("doc_id % 4 <> 2").drop("toxic"), docs.where("doc_id % 4 <> 2").select("doc_id", "toxic"))

@@ -215,3 +215,13 @@ def test_codec_frames_with_other_columns(spark):
     assert [(r.doc_id, r.text, r.n, r.decoded) for r in back] == [(1, "a b", None, "x"), (2, "", 3, None), (3, "", 4, "y")]
     assert sentencepiece_codec.encode(docs.limit(0), PIECES).count() == 0
     assert os.path.exists(PIECES)
+
+
+def test_models_with_rules_of_their_own_are_refused():
+    """A model that removes blanks or maps characters would get other ids here than from its library."""
+    with open(public_tokenizers.path("piece_bpe_32k.model"), "rb") as f:
+        data = f.read()
+    assert sentencepiece_codec.Vocabulary.parse(data).prefix
+    for more in (b"\x1a\x02\x20\x01", b"\x1a\x06\x12\x02ab\x20\x00"):  # extra blanks removed; a table of characters
+        with pytest.raises(ValueError, match="not supported"):
+            sentencepiece_codec.Vocabulary.parse(data + more)

@@ -309,6 +309,8 @@ def _tiles(threshold_pct: int):
 def near_duplicates(docs: DataFrame, width: int = 5, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id (the smallest doc_id it reaches) and kept (whether that is its own) of each document."""
     pct = round(100 * threshold)
+    if abs(100 * threshold - pct) > 1e-9:
+        raise ValueError("the threshold is a whole number of per cent")
     small_batches(docs.sparkSession)
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     rows = written(_sketched(source, width), "sketches")

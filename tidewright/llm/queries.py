@@ -51,11 +51,12 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP3_SQL = r"""
 WITH t AS (SELECT conv_id, CAST(turn AS BIGINT) AS turn, role, coalesce(text, '') AS text FROM conversations
            UNION ALL VALUES (-7, 0, 'user', '\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\### Assistant: </turn> ok')),
-e AS (SELECT *, length(replace(replace(replace(text, '\', '\b'), '###', '\h'), '</turn>', '\t')) AS n FROM t)
-SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+e AS (SELECT *, length(replace(replace(replace(text, '\', '\b'), '###', '\h'), '</turn>', '\t')) AS n,
+      coalesce(length(replace(replace(replace(replace(role, '\', '\b'), '###', '\h'), '</turn>', '\t'), ':', '\c')), 2) AS r FROM t)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(coalesce(role, '') || chr(10) || text || chr(10), '' ORDER BY turn NULLS LAST, role NULLS FIRST, text)) AS turns_sha256,
   CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
-  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
-  CAST(sum(4 + length(role) + 2 + n + 8) AS BIGINT) AS formatted_chars
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS LAST, role NULLS FIRST, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(4 + r + 2 + n + 8) AS BIGINT) AS formatted_chars
 FROM e GROUP BY conv_id
 """
 

@@ -173,7 +173,10 @@ class Vocabulary:
             elif number == 2:
                 model = dict(_fields(value)).get(3, UNIGRAM)
             elif number == 3:
-                prefix = bool(dict(_fields(value)).get(3, 1))
+                rules = dict(_fields(value))
+                prefix = bool(rules.get(3, 1))
+                if rules.get(2) or rules.get(4, 1) or not rules.get(5, 1):
+                    raise ValueError("models that map characters, remove blanks or keep them as they are are not supported")
         return cls(pieces, np.array(scores, np.float32), np.array(kinds), model, prefix).prepared()
 
     def prepared(self) -> Vocabulary:
