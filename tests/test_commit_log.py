@@ -97,3 +97,56 @@ def test_a_number_is_taken_once(spark, tmp_path):
     assert rows(t.read().groupBy("w").count().fillna(0)) == [(0, 3), (1, 2)]
     with pytest.raises(FileNotFoundError):
         LoggedTable(spark, str(tmp_path / "none")).read()
+
+
+@pytest.mark.parametrize("parts", [[], ["part"]])
+def test_compaction_packs_small_files_and_leaves_large_ones(spark, tmp_path, parts):
+    t = LoggedTable(spark, str(tmp_path / "t"), parts, ["k"])
+    t.append(made(spark, 0, 60_000).withColumn("w", F.sha2(F.col("k").cast("string"), 256)).coalesce(1))
+    large = content(spark, t)
+    for i in range(6):
+        t.append(made(spark, 100_000 + 10 * i, 100_000 + 10 * i + 10))
+    least = min(r.bytes for r in t.files().where("rows > 100").collect())
+    before, n = rows(t.read().select("k", "v", "w")), t.files().count()
+    t.compact(least)
+    after = content(spark, t)
+    assert large.items() <= after.items() and len(after) < n and rows(t.read().select("k", "v", "w")) == before
+    assert len(after) == len(large) + max(1, 3 * len(parts)) and t.compact(least) is None
+    kept = [r.k for r in t._rows([x for x in after if x not in large], t.schema()).select("k", "part").collect()]
+    if not parts:  # order of files and of rows in them
+        first = [r.file for r in t.files(6).where("rows < 100").orderBy("file").collect()]
+        assert kept == [r.k for x in first for r in t._rows([x], t.schema()).collect()]
+    t.append(made(spark, 5, 6))
+    assert t.merge(made(spark, 100_000, 100_003, "m"), ["k"], "UPDATE")[1] and t.read().where("v = 'm'").count() == 3
+
+
+def test_clustered_files_are_skipped_by_either_column(spark, tmp_path):
+    t = LoggedTable(spark, str(tmp_path / "t"), [], ["a", "b"])
+    df = spark.range(40_000).select((F.col("id") * 7919 % 1000).alias("a"), (F.col("id") * 104_729 % 977).alias("b"), F.when(F.col("id") % 50 > 0, F.col("id")).alias("c"))
+    t.append(df)
+    t.compact(t.files().agg(F.sum("bytes")).first()[0] // 16, cluster=["a", "b"])
+    n = t.files().count()
+    assert n >= 12 and t.read().exceptAll(df).isEmpty() and t.read().count() == 40_000
+    for column in "ab":
+        got = t.read([(column, "<", 100)])
+        assert len(got.inputFiles()) <= n // 2 and got.count() == df.where(F.col(column) < 100).count()
+
+
+def test_compaction_goes_on_behind_appends_but_not_behind_merges(spark, tmp_path, monkeypatch):
+    t = LoggedTable(spark, str(tmp_path / "t"), [], ["k"])
+    for i in range(3):
+        t.append(made(spark, 10 * i, 10 * i + 10))
+    plain, act = LoggedTable._commit_files, []
+
+    def late(self, *args):
+        if self is t and act:
+            act.pop()(LoggedTable(spark, t.path))
+        return plain(self, *args)
+
+    monkeypatch.setattr(LoggedTable, "_commit_files", late)
+    act.append(lambda other: other.append(made(spark, 50, 52)))
+    assert t.compact(1 << 20) == 4 and t.files().count() == 2
+    act.append(lambda other: other.merge(made(spark, 0, 1), ["k"], "DELETE"))
+    with pytest.raises(commit_log.ReadChanged):
+        t.compact(1 << 20)
+    assert sorted(r.k for r in t.read().collect()) == [*range(1, 30), 50, 51]

@@ -302,3 +302,28 @@ def test_alerts_rearm(spark):
     df = spark.createDataFrame([("a", i, v) for i, v in enumerate([1, 9, 9, 9, 9, 1, 9, None, 9])], "s string, i int, v int").withColumn("at", F.timestamp_seconds("i"))
     got = alerts.threshold_alerts(df, ["s"], "at", "v", F.lit(5), 3)
     assert [x.i for x in got.orderBy("i").collect()] == [1, 4, 6, 8]
+
+
+def test_metrics_are_counted_while_rows_are_used(spark, tmp_path):
+    df = spark.range(1000).select("id", (F.col("id") % 3).alias("g"), F.when(F.col("id") % 10 == 0, F.lit("bad")).alias("_error"))
+    df.write.parquet(str(tmp_path / "in"))
+    rows_in = spark.read.parquet(str(tmp_path / "in"))
+    seen, told = routing.observed(rows_in, "g", [0, 1, 2, None])
+    good = seen.where("_error IS NULL")
+    plan = good._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and good.count() == 900
+    expected = {r.g: (r.rows_in, r.rows_failed, r.rows_out) for r in routing.metrics(df, ["g"]).collect()}
+    assert told() == {"all": (1000, 100, 900), "by": {**expected, None: (0, 0, 0)}}
+    feed = spark.readStream.schema(rows_in.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    query = routing.observed_stream(feed, "load", "g", [1]).writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert routing.stream_metrics(query, "load", [1]) == {"all": (1000, 100, 900), "by": {1: expected[1]}}
+    assert routing.stream_metrics(query, "other") == {"all": (0, 0, 0), "by": {}}
+
+
+def test_messages_of_a_unit_are_bounded_beside_a_full_table(spark):
+    df = spark.range(3000).select((F.col("id") % 3).alias("unit"), F.when(F.col("id") % 3 < 2, F.format_string("message %04d", (F.col("id") % 700).cast("int"))).alias("_error")).unionByName(spark.createDataFrame([(None, "no unit")], "unit long, _error string"))
+    got = {r.unit: (r.rows_failed, r.messages) for r in routing.errors_by(df, "unit", most=4).collect()}
+    every = {r.unit: (r.rows_failed, r.messages) for r in routing.errors_by(df, "unit").collect()}
+    assert got == {u: (n, m[:4]) for u, (n, m) in every.items()} and set(got) == {0, 1, None} and len(every[0][1]) > 400
+    assert routing.error_table(df, "unit").agg(F.sum("n")).first()[0] == 2001

@@ -285,3 +285,46 @@ def test_routes_of_destinations(spark, tmp_path):
     sinks = {k: (lambda df, _, k=k: seen.setdefault(k, []).extend(sorted(x.n for x in df.collect()))) for k in "ab"}
     upserts.route_stream(stream, str(tmp_path / "c"), sinks).awaitTermination()
     assert seen == {"a": [1, 3], "b": [2]}
+
+
+def test_statements_are_run_again_by_error_code(spark):
+    class Failed(Exception):
+        pass
+
+    calls = []
+
+    def run(text):
+        calls.append(text)
+        if text == "b" and calls.count("b") < 3:
+            raise Failed(30_001)  # to be retried
+        if text == "c":
+            raise Failed(20_001)
+
+    code = lambda error: error.args[0] if isinstance(error, Failed) else None
+    assert tables.run_script(spark, "a; b; c; d", 5, code, run) == [("a", "success"), ("b", "success"), ("c", "failure")]
+    assert calls == ["a", "b", "b", "b", "c"]
+    calls.clear()
+    assert tables.run_script(spark, "b", 1, code, run) == [("b", "retry")]
+    assert tables.run_script(spark, "SELECT 1; SELECT no_such_column", 2)[-1][1] == "failure"
+
+
+def test_store_errors_can_be_tried_again(spark, tmp_path, monkeypatch):
+    """A rename that fails inside the store comes as an OSError; formats without a provider are refused by name."""
+    from py4j.protocol import Py4JJavaError
+
+    with pytest.raises(OSError):
+        tables.move(spark, str(tmp_path / "none"), str(tmp_path / "x"))
+    try:
+        spark._jvm.java.io.File.createTempFile("aaa", "b", spark._jvm.java.io.File("/no/such"))
+    except Py4JJavaError as error:
+        failure = error
+
+    class Store:
+        def rename(self, *_):
+            raise failure
+
+    monkeypatch.setattr(tables, "_fs", lambda *_: (Store(), None))
+    with pytest.raises(OSError, match="can't rename"):
+        tables.move(spark, "a", "b")
+    with pytest.raises(ValueError, match="RCFILE"):
+        tables.sync_table(spark, "t", spark.range(1), stored_as="RCFILE")

@@ -116,9 +116,9 @@ def infer_columns(df: DataFrame, columns: list[str] | None = None, kinds: tuple[
     return found.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), pick(i).alias("type_name")) for i, c in enumerate(columns)])).alias("x")).select("x.*")
 
 
-def infer_json(df: DataFrame, column: str) -> DataFrame:
-    """The merged type of all JSON texts of a column."""
-    return df.agg(F.schema_of_variant_agg(F.parse_json(F.col(column))).alias("type_name"))
+def infer_json(df: DataFrame, column: str, by: list[str] = ()) -> DataFrame:
+    """The merged type of all JSON texts of a column, in all or by group."""
+    return df.groupBy(*by).agg(F.schema_of_variant_agg(F.parse_json(F.col(column))).alias("type_name"))
 
 
 def hive_ddl(schema: T.StructType, table: str, external: bool = False, stored_as: str = "ORC") -> str:

@@ -7,8 +7,10 @@ import time
 from collections.abc import Callable
 from enum import Enum
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.window import Window
 
 
 class Route(str, Enum):
@@ -71,10 +73,62 @@ def metrics(df: DataFrame, by: list[str] | None = None) -> DataFrame:
     return grouped.agg(F.count("*").alias("rows_in"), failed.alias("rows_failed"), (F.count("*") - failed).alias("rows_out"))
 
 
+def error_table(df: DataFrame, unit: str) -> DataFrame:
+    """(unit, _error, n): every message of every input unit and how many rows have it; a row a message, in no array."""
+    return df.where(F.col("_error").isNotNull()).groupBy(unit, "_error").agg(F.count("*").alias("n"))
+
+
 def errors_by(df: DataFrame, unit: str, most: int | None = None) -> DataFrame:
-    """For each input unit how many rows failed, and its distinct messages in order (``most``: only the first so many)."""
-    bad = df.where(F.col("_error").isNotNull()).groupBy(unit, "_error").agg(F.count("*").alias("n"))
-    return bad.groupBy(unit).agg(F.sum("n").alias("rows_failed"), (F.sort_array(F.collect_list("_error")) if most is None else F.slice(F.sort_array(F.collect_list("_error")), 1, most)).alias("messages"))
+    """For each input unit how many rows failed, and its distinct messages in order.
+
+    With ``most`` only the first so many are brought together, however many a unit has; ``error_table`` has them all.
+    """
+    bad = error_table(df, unit)
+    if most is None:
+        return bad.groupBy(unit).agg(F.sum("n").alias("rows_failed"), F.sort_array(F.collect_list("_error")).alias("messages"))
+    counted = bad.groupBy(unit).agg(F.sum("n").alias("rows_failed"))
+    first = bad.withColumn("_i", F.row_number().over(Window.partitionBy(unit).orderBy("_error"))).where(F.col("_i") <= most)
+    told = first.groupBy(F.col(unit).alias("_unit")).agg(F.sort_array(F.collect_list("_error")).alias("messages"))
+    return counted.join(told, F.col(unit).eqNullSafe(F.col("_unit"))).drop("_unit")
+
+
+def _measures(by: str | None, values: list) -> list[Column]:
+    """Rows in and failed, of all rows and of those with each value (each may be null) of a column."""
+    out = []
+    for i, which in enumerate([F.lit(True), *[F.col(by).eqNullSafe(F.lit(v)) for v in values]]):
+        out += [F.count_if(which).alias(f"in_{i}"), F.count_if(which & F.col("_error").isNotNull()).alias(f"failed_{i}")]
+    return out
+
+
+def _told(found: dict, values: list) -> dict:
+    rows = [(found[f"in_{i}"], found[f"failed_{i}"], found[f"in_{i}"] - found[f"failed_{i}"]) for i in range(len(values) + 1)]
+    return {"all": rows[0], "by": dict(zip(values, rows[1:], strict=True))}
+
+
+def observed(df: DataFrame, by: str | None = None, values: list = ()) -> tuple[DataFrame, Callable[[], dict]]:
+    """(``df``, a function that tells its metrics): counted while whatever uses ``df`` runs, without a pass of their own.
+
+    The function waits for the first action on ``df`` (or on what is made of it) and gives ``all`` and, for each of
+    ``values`` in the column ``by``, (rows in, failed, out). Each value is an aggregate of the pass, so they should be few.
+    """
+    seen, values = Observation(), list(values)
+    return df.observe(seen, *_measures(by, values)), lambda: _told(seen.get, values)
+
+
+def observed_stream(df: DataFrame, name: str, by: str | None = None, values: list = ()) -> DataFrame:
+    """A stream whose metrics are counted in each trigger under a name; ``stream_metrics`` reads them."""
+    return df.observe(name, *_measures(by, list(values)))
+
+
+def stream_metrics(query: StreamingQuery, name: str, values: list = ()) -> dict:
+    """The metrics of a query's triggers so far (of those that Spark still keeps the progress of), as of ``observed``."""
+    total: dict[str, int] = {}
+    for progress in query.recentProgress:
+        row = (progress.observedMetrics or {}).get(name)
+        for key, n in (row.asDict() if row else {}).items():
+            total[key] = total.get(key, 0) + n
+    values = list(values)
+    return _told(total or dict.fromkeys([f"{x}_{i}" for x in ("in", "failed") for i in range(len(values) + 1)], 0), values)
 
 
 def all_or_nothing(df: DataFrame, publish: Callable[[DataFrame], None]) -> bool:

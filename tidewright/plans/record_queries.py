@@ -68,6 +68,16 @@ def infer_json_type(spark, d):
     return types.infer_json(table(spark, d, "events"), "props")
 
 
+@query("""WITH k AS (SELECT user_id % 25 AS g, event_id % 11 = 0 AND user_id % 25 < 12 AS text, event_id % 13 = 0 AND user_id % 25 BETWEEN 6 AND 18 AS flag FROM events),
+t AS (SELECT g, count(*) FILTER (text) AS texts, count(*) FILTER (flag AND NOT text) AS flags, count(*) FILTER (NOT text AND NOT flag) AS numbers FROM k GROUP BY g)
+SELECT g, CASE WHEN (texts > 0)::INT + (flags > 0)::INT + (numbers > 0)::INT > 1 THEN 'OBJECT<k: VARIANT>' WHEN texts > 0 THEN 'OBJECT<k: STRING>' WHEN flags > 0 THEN 'OBJECT<k: BOOLEAN>' ELSE 'OBJECT<k: BIGINT>' END AS type_name FROM t""")
+def infer_json_by_group(spark, d):
+    """Types that differ by what a group's rows hold: numbers alone, or texts and truth values among them."""
+    g = F.col("user_id") % 25
+    e = table(spark, d, "events").select(g.alias("g"), F.when((F.col("event_id") % 11 == 0) & (g < 12), '{"k": "x"}').when((F.col("event_id") % 13 == 0) & g.between(6, 18), '{"k": true}').otherwise(F.concat(F.lit('{"k": '), F.col("event_id").cast("string"), F.lit("}"))).alias("j"))
+    return types.infer_json(e, "j", ["g"])
+
+
 @query("SELECT o_orderstatus, count(*) AS n, round(sum(o_totalprice), 2) AS total FROM orders WHERE o_totalprice > 1000.5 AND o_orderdate >= TIMESTAMP '1995-01-01' AND o_custkey <> 7 GROUP BY o_orderstatus")
 def sql_params(spark, d):
     args = sql.parameters(spark, {"sql.args.1.type": "8", "sql.args.1.value": "1000.5", "sql.args.2.type": "93", "sql.args.2.value": "788918400000", "sql.args.3.type": "-5", "sql.args.3.value": "7"})

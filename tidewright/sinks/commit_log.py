@@ -43,6 +43,24 @@ def _file() -> Column:
     return F.url_decode(F.replace(F.regexp_extract(F.col("_metadata.file_path"), r"/(data/[0-9a-f]{32}/.*)$", 1), F.lit("+"), F.lit("%2B")))
 
 
+def _rank(value: Column, cuts: list[float]) -> Column:
+    """How many of the cuts a value reaches; 0 for null."""
+    reached = F.size(F.filter(F.array(*map(F.lit, map(float, cuts))).cast("array<double>"), lambda x: x <= value))
+    return F.when(value.isNull(), 0).otherwise(reached).cast("long")
+
+
+def _interleaved(rows: DataFrame, columns: list[str], bits: int = 8) -> Column:
+    """The bits of the columns' ranks, in ``2 ** bits`` equal shares of the rows each, in turns from the highest."""
+    shares = [k / (1 << bits) for k in range(1, 1 << bits)]
+    cuts = rows.agg(*[F.percentile_approx(F.col(c).cast("double"), shares, 10_000).alias(c) for c in columns]).first()
+    out = F.lit(0).cast("long")
+    for i, c in enumerate(columns):
+        rank = _rank(F.col(c).cast("double"), cuts[c] or [])
+        for j in range(bits):
+            out = out.bitwiseOR(F.shiftleft(F.shiftright(rank, j).bitwiseAND(F.lit(1).cast("long")), j * len(columns) + i))
+    return out
+
+
 class LoggedTable:
     """The table at ``path``. The first commit sets its columns, ``partition_by`` and ``stats`` (columns of simple types)."""
 
@@ -70,7 +88,7 @@ class LoggedTable:
         return functools.reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
 
     def files(self, version: int | None = None) -> DataFrame:
-        """(file, part, rows, stats) of the live files of a version."""
+        """(file, part, rows, bytes, stats) of the live files of a version."""
         version = self.version() if version is None else version
         if version < 0:
             raise FileNotFoundError(f"{self.path} has no commit")
@@ -100,25 +118,25 @@ class LoggedTable:
             rows = rows.where(COMPARE[sign][0](F.col(column), F.lit(value)))
         return rows
 
-    def _written(self, df: DataFrame, rows_per_file: int) -> DataFrame:
-        """Writes data files, and gives a manifest's entries for them."""
+    def _written(self, df: DataFrame, rows_per_file: int, as_is: bool = False) -> DataFrame:
+        """Writes data files, and gives a manifest's entries for them; ``as_is`` keeps the rows' own partitions and order."""
         folder = f"data/{uuid.uuid4().hex}"
         parts = {f"_part_{c}": F.col(c) for c in self.partition_by}  # the columns stay in the files as well
-        writer = df.withColumns(parts).hint("rebalance", *parts).write if parts else df.write
+        writer = df.withColumns(parts).hint("rebalance", *parts).write if parts and not as_is else df.withColumns(parts).write
         writer = writer.option("maxRecordsPerFile", rows_per_file) if rows_per_file else writer
         (writer.partitionBy(*parts) if parts else writer).parquet(f"{self.path}/{folder}")
         span = [F.struct(F.min(c).alias("low"), F.max(c).alias("high"), F.count_if(F.col(c).isNull()).alias("nulls")).alias(c) for c in self.stats]
         stats = F.struct(*span).alias("stats") if span else F.lit(None).cast("string").alias("stats")
-        rows = self.spark.read.schema(df.schema).option("recursiveFileLookup", "true").parquet(f"{self.path}/{folder}").select(*self.stats, _file().alias("file"))
-        told = rows.groupBy("file").agg(F.count("*").alias("rows"), stats)
+        rows = self.spark.read.schema(df.schema).option("recursiveFileLookup", "true").parquet(f"{self.path}/{folder}").select(*self.stats, _file().alias("file"), F.col("_metadata.file_size").alias("size"))
+        told = rows.groupBy("file").agg(F.count("*").alias("rows"), F.max("size").alias("bytes"), stats)
         part = F.regexp_extract("file", r"^data/[0-9a-f]{32}/(?:(.*)/)?[^/]*$", 1)
-        return told.select(F.lit("add").alias("kind"), "file", part.alias("part"), "rows", "stats")
+        return told.select(F.lit("add").alias("kind"), "file", part.alias("part"), "rows", "bytes", "stats")
 
-    def _commit_files(self, read: int, df: DataFrame, added: DataFrame, removed: list[str], touched: list[str] | None, retries: int) -> int:
+    def _commit_files(self, read: int, df: DataFrame, added: DataFrame, removed: list[str], touched: list[str] | None, retries: int, rows_stay: bool = False) -> int:
         """Makes a commit of files that were prepared from version ``read``.
 
         ``touched`` are the partitions whose rows the commit depends on (None: on none, as in an append). Commits that
-        came between must not have changed them.
+        came between must not have changed them; for a commit that changes no row (``rows_stay``) only removals count.
         """
         manifest, entries = uuid.uuid4().hex, added
         if removed:
@@ -133,7 +151,7 @@ class LoggedTable:
             last = self.version()
             for v in range(state["checked"] + 1, last + 1):
                 other = self._commit(v)
-                if touched is not None and set(other["parts"]) & set(touched):
+                if touched is not None and set(other["parts"]) & set(touched) and (other["removes"] or not rows_stay):
                     raise ReadChanged(f"commit {v} changed what this one has read")
                 state["checked"] = v
             told = {"manifest": manifest, "whole": last < 0, "parts": own, "removes": bool(removed), "schema": json.loads(self._schema(last, df).json()), "partition_by": self.partition_by, "stats": self.stats}
@@ -207,13 +225,62 @@ class LoggedTable:
             touched = sorted({*touched, *[r.part for r in added.select("part").distinct().collect()]})
         return self._commit_files(read, new, added, files, touched, retries), files
 
+    def compact(self, target_bytes: int = 128 << 20, small: float = 0.75, cluster: list[str] = (), retries: int = 10) -> int | None:
+        """Brings small files together; the commit's number, or None where nothing is to be done.
+
+        Files under ``small`` of the target are packed, in their order, into bins of at most ``target_bytes`` within each
+        partition; a bin of several files becomes one file that has their rows in their order. Files that are large
+        already, and bins of one file, stay as they are. With ``cluster`` all files of the table are written anew, each
+        partition in order of the interleaved bits of these numeric columns, so that conditions on any of them skip
+        files.
+        """
+        read = self.version()
+        files = [tuple(r) for r in self.files(read).select("part", "file", "bytes").orderBy("part", "file").collect()]
+        bins: list[list[str]] = []
+        last, size = None, 0
+        for part, file, n in files:
+            if cluster:
+                bins.append([file])
+            elif n < small * target_bytes:
+                if part != last or size + n > target_bytes:
+                    bins.append([])
+                    last, size = part, 0
+                bins[-1].append(file)
+                size += n
+        bins = bins if cluster else [b for b in bins if len(b) > 1]
+        chosen = [x for b in bins for x in b]
+        if not chosen:
+            return None
+        rows = self._rows(chosen, self.schema(read))
+        if cluster:
+            total = sum(n for _, _, n in files)
+            z = _interleaved(rows, list(cluster))
+            new = rows.withColumn("_z", z).repartitionByRange(max(1, -(-total // target_bytes)), *self.partition_by, "_z").sortWithinPartitions(*self.partition_by, "_z").drop("_z")
+        else:
+            place = self.spark.createDataFrame([(x, i, k) for i, b in enumerate(bins) for k, x in enumerate(b)], "_file string, _bin int, _nth int")  # a row a small file
+            told = rows.select("*", _file().alias("_file"), F.col("_metadata.row_index").alias("_row")).join(F.broadcast(place), "_file")
+            new = told.repartition(len(bins), "_bin").sortWithinPartitions("_bin", "_nth", "_row")
+            # partitions can hold several bins; each is a file of its own where the bin is a folder
+            return self._commit_files(read, rows, self._binned(new), chosen, sorted({self._part_of(x) for x in chosen}), retries, True)
+        return self._commit_files(read, rows, self._written(new, 0, as_is=True), chosen, sorted({self._part_of(x) for x in chosen}), retries, True)
+
+    def _binned(self, rows: DataFrame) -> DataFrame:
+        """Writes a file for each ``_bin``, in the rows' order, below folders of the partitions."""
+        own, parts = self.partition_by, [f"_part_{c}" for c in self.partition_by]
+        self.partition_by = [*own, "_bin"]
+        try:
+            entries = self._written(rows.drop("_file", "_nth", "_row"), 0, as_is=True)
+        finally:
+            self.partition_by = own
+        return entries.withColumn("part", F.regexp_replace("part", "(^|/)_part__bin=.*$", "")) if parts else entries.withColumn("part", F.lit(""))
+
     def _keyed_by_partition(self, keys: list[str]) -> bool:
         """Whether equal keys are always in one partition."""
         return bool(self.partition_by) and set(self.partition_by) <= set(keys)
 
     @staticmethod
     def _part_of(file: str) -> str:
-        return "/".join(file.split("/")[2:-1])
+        return "/".join(x for x in file.split("/")[2:-1] if not x.startswith("_part__bin="))
 
     def clean(self, keep: int = 1) -> list[str]:
         """Deletes data that no commit of the last ``keep`` versions has, and returns it; no writer may be at work.

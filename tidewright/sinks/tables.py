@@ -10,6 +10,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,8 +34,13 @@ def remove(spark: SparkSession, path: str) -> None:
 
 
 def move(spark: SparkSession, source: str, target: str) -> None:
+    """Renames; whatever the store's own error is, it comes as an OSError, so that it can be tried again."""
     fs, at = _fs(spark, source)
-    if not fs.rename(at, _fs(spark, target)[1]):
+    try:
+        done = fs.rename(at, _fs(spark, target)[1])
+    except Py4JJavaError as error:
+        raise OSError(f"can't rename {source}: {error.java_exception}") from error
+    if not done:
         raise OSError(f"can't rename {source}")
 
 
@@ -217,6 +223,8 @@ def sync_table(spark: SparkSession, name: str, df: DataFrame, partitions: list[s
     """
     if external and not location:
         raise ValueError("an external table needs a location")
+    if stored_as and stored_as.upper() not in STORED_AS:
+        raise ValueError(f"no provider for {stored_as}; there is one for {', '.join(STORED_AS)}")
     file_format = STORED_AS[stored_as.upper()] if stored_as else file_format
     ran = []
 
@@ -296,22 +304,42 @@ def partition_event(spark: SparkSession, name: str, event: str, values: dict[str
     return out
 
 
-def run_script(spark: SparkSession, text: str) -> list[tuple[str, str]]:
-    """(statement, route) for a script; stops at the first that fails."""
+def run_script(spark: SparkSession, text: str, retries: int = 0, code: Callable[[Exception], int | None] = lambda error: None, run: Callable[[str], object] | None = None) -> list[tuple[str, str]]:
+    """(statement, route) for a script; stops at the first that fails.
+
+    A failed statement is judged by the number that ``code`` finds in its error, if any, else by its SQLSTATE. One that
+    is to be retried is run again up to ``retries`` times, waiting longer each time. ``run`` runs a statement (by default in the session).
+    """
     from tidewright.functions.text import statements
-    from tidewright.operators.routing import Route, classify
+    from tidewright.operators.routing import Route, classify, classify_code
+
+    def attempt(statement: str) -> None:
+        try:
+            (run or spark.sql)(statement)
+        except Exception as error:
+            number = code(error)
+            told = (classify(error) if number is None else classify_code(number)).route
+            raise (Again if told is Route.RETRY else Refused)(told.value) from error
 
     out = []
     for statement in statements(text):
         try:
-            spark.sql(statement)
+            retried(lambda statement=statement: attempt(statement), retries=retries, least=0.05, on=(Again,))
             out.append((statement, Route.SUCCESS.value))
-        except Exception as error:
-            out.append((statement, classify(error).route.value))
+        except (Again, Refused) as error:
+            out.append((statement, str(error)))
             break
     return out
 
 
+class Again(RuntimeError):
+    """A statement that may succeed when it is run again."""
+
+
+class Refused(RuntimeError):
+    """A statement that fails however often it is run."""
+
+
 def write_orc(df: DataFrame, path: str, codec: str = "none", stripe_bytes: int = 64 << 20, table: str = "") -> str:
     """Writes ORC with lower-case names; returns the DDL of an external table over it (``table``, by default the path's name)."""
     from tidewright.functions.types import hive_ddl
