@@ -12,7 +12,7 @@ from tidewright.operators import alerts, changes, graphs, routing, rows
 from tidewright.plans.registry import query, table, work_folder
 from tidewright.sinks import remote, tables
 from tidewright.sinks.commit_log import LoggedTable
-from tidewright.sources import delimited, sql
+from tidewright.sources import change_stream, delimited, sql
 from tidewright.streaming import monitors, upserts
 
 
@@ -331,6 +331,26 @@ def stream_once(spark, d):
     return spark.read.parquet(f"{path}_out").groupBy("event_type").agg(F.count("*").alias("n"), F.sum("event_id").alias("ids"))
 
 
+@query("""SELECT event_id AS seq, '{"user_id":' || user_id || '}' AS cdc_key, event_type FROM events""")
+def change_stream_rows(spark, d):
+    """A change table as a stream of capped triggers, stopped after its first ones and gone on with from its checkpoint."""
+    path = work_folder(spark, "changes")
+    events = table(spark, d, "events").select(F.col("event_id").alias("seq"), F.to_json(F.struct("user_id")).alias("cdc_key"), F.to_json(F.struct("event_type")).alias("value"), F.lit("events").alias("cdc_destination"))
+    halves = [events.where(F.col("seq") % 2 == i).repartitionByRange(3, "seq").sortWithinPartitions("seq") for i in (0, 1)]
+    change_stream.register(spark)
+    for i, half in enumerate(halves):
+        half.write.json(f"{path}/{i}")
+        for name in tables.names_in(spark, f"{path}/{i}"):
+            if name.endswith(".json"):
+                tables.move(spark, f"{path}/{i}/{name}", f"{path}/{i}-{name}")
+        tables.remove(spark, f"{path}/{i}")
+        feed = spark.readStream.format("change_table").options(path=path, max_rows=20_000, rows_per_task=5_000).load()
+        run = upserts.append_stream(feed, f"{path}_out", f"{path}_checkpoint", available_now=False)
+        run.processAllAvailable()
+        run.stop()
+    return spark.read.parquet(f"{path}_out").select("seq", "cdc_key", F.get_json_object("value", "$.event_type").alias("event_type"))
+
+
 def _daily(spark, d):
     e = table(spark, d, "events")
     return e.groupBy("event_type", F.date_trunc("day", F.col("ts").cast("timestamp")).alias("day")).agg(F.round(F.avg("value"), 6).alias("level"))
