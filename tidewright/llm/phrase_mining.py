@@ -38,9 +38,9 @@ WORD_END[[32, 9]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
-STRETCH = 4 << 20
+STRETCH = 2 << 20
 #: Fingerprints that a task holds before it gives them out.
-HELD = 3_000_000
+HELD = 2_000_000
 #: Bytes of text for each bucket of fingerprints, and the least number of buckets.
 BUCKET_BYTES, BUCKETS = 8 << 20, 256
 #: Bits of the sketch: 16 for each fingerprint, and so many at most (32 MB).
@@ -248,8 +248,8 @@ def verified(texts: DataFrame, longest: int, sketch: np.ndarray, bits: int, stre
 def phrases(docs: DataFrame, longest: int = 3, least: int = 10, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", bits: int = 64, stretch: int = STRETCH, sketch_bits: int = SKETCH_BITS) -> DataFrame:
     """A written table (lang, words, phrase, n, doc_id, byte) of all phrases of 1 to ``longest`` words with n >= ``least``.
 
-    A row of 0 words has the number of all words of its language. ``doc_id`` and ``byte`` point to the occurrence in the
-    smallest document.
+    A row of 0 words has the number of all words of its language. ``doc_id`` and ``byte`` point to an occurrence; which
+    of them may differ from run to run.
     """
     small_batches(docs.sparkSession, 4 << 20)
     texts = docs.where(F.octet_length(text_col) > 0).select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(lang_col), F.lit("und")).alias("lang"), F.col(text_col).alias("text"))
@@ -259,8 +259,8 @@ def phrases(docs: DataFrame, longest: int = 3, least: int = 10, text_col: str =
     for k in range(3, longest + 1):
         found.append(written(frequent(texts, (k,), least, buckets, sketched(_together(found), sketch_bits), bits, stretch), "prints"))
     rows = verified(texts, longest, sketched(_together(found), sketch_bits), bits, stretch)
-    counted = rows.groupBy("lang", "words", "phrase").agg(F.sum("n").alias("n"), F.min(F.struct("doc_id", "byte")).alias("at"))
-    table = written(counted.where((F.col("words") == 0) | (F.col("n") >= least)).select("lang", "words", "phrase", "n", "at.doc_id", "at.byte"), "phrases")
+    counted = rows.groupBy("lang", "words", "phrase").agg(F.sum("n").alias("n"), F.first("doc_id").alias("doc_id"), F.first("byte").alias("byte"))
+    table = written(counted.where((F.col("words") == 0) | (F.col("n") >= least)), "phrases")
     discard(*found)
     return table
 
