@@ -1,3 +1,4 @@
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -278,6 +279,59 @@ def test_stream_states_take_a_key_s_rows_in_order(spark, tmp_path):
     assert got == {x.at_us: x.outcome for x in batch}
 
 
+def test_streams_with_states_in_a_table(spark, tmp_path):
+    """Triggers in order, rows of a trigger in none, a hot key in many Arrow batches, a trigger that comes again."""
+    import random
+
+    from tidewright.operators import alerts
+    from tidewright.streaming import monitors
+
+    r, path = random.Random(8), str(tmp_path / "t")
+    rows = [(r.choice([1, 1, 1, 2, 3]), i, 1_000_000 * (i // 2), r.random() < 0.4) for i in range(300)]
+    schema = "user_id long, event_id long, at_us long, ok boolean"
+    for part in range(3):
+        own = rows[100 * part : 100 * part + 100]
+        r.shuffle(own)
+        spark.createDataFrame(own, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / f"feed/p{part}"))
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
+    try:
+        for part in range(3):  # a restart for each part
+            (tmp_path / "now").mkdir(exist_ok=True)
+            for x in (tmp_path / f"feed/p{part}").glob("*.parquet"):
+                x.rename(tmp_path / "now" / x.name)
+            feed = spark.readStream.schema(schema).parquet(str(tmp_path / "now"))
+            monitors.lockout_stream(feed, path, str(tmp_path / "c"), "user_id", "at_us", F.col("ok"), "event_id", 3, 20).awaitTermination()
+        batch = alerts.lockout(spark.createDataFrame(rows, schema).withColumn("at", F.timestamp_micros("at_us")), "user_id", "at", F.col("ok"), "event_id", 3, 20)
+        expected = sorted((x.user_id, x.event_id, x.outcome, x.failures) for x in batch.collect())
+        told = lambda: sorted((x.user_id, x.event_id, x.outcome, x.failures) for x in monitors.scan_results(spark, path).collect())
+        assert told() == expected and {x[2] for x in expected} == {"allowed", "failed", "locked", "refused"}
+        again = spark.createDataFrame(rows[200:], schema).select("user_id", "at_us", "event_id", F.col("ok").alias("_ok"))
+        step = lambda state, b: (lambda now, outcome, n: (now, pa.RecordBatch.from_arrays([pa.array(outcome, pa.string()), pa.array(n, pa.int64())], ["outcome", "failures"])))(*alerts.locked_out(state, b.column(1).to_pylist(), b.column(3).to_pylist(), 3, 20_000_000))
+        monitors.scan_batch(again, 2, path, ["user_id"], ["at_us", "event_id"], (0, -1), step)
+        assert told() == expected
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
+def test_alerts_of_a_stream_with_states_in_a_table(spark, tmp_path):
+    import random
+
+    from tidewright.operators import alerts
+    from tidewright.streaming import monitors
+
+    r = random.Random(3)
+    rows = [(r.choice("ab"), 1_000_000 * i, r.choice([None, 1.0, 9.0, 9.5])) for i in range(200)]
+    schema = "series string, at_us long, value double"
+    for part in range(4):
+        spark.createDataFrame(rows[50 * part : 50 * part + 50], schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "feed"))
+    feed = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "feed"))
+    monitors.alert_stream(feed, str(tmp_path / "t"), str(tmp_path / "c"), "series", "at_us", "value", 5.0, 4).awaitTermination()
+    got = sorted((x.series, x.at_us) for x in monitors.scan_results(spark, str(tmp_path / "t")).where("fired").collect())
+    batch = alerts.threshold_alerts(spark.createDataFrame(rows, schema).withColumn("at", F.timestamp_micros("at_us")), ["series"], "at", "value", F.lit(5.0), 4)
+    assert got == sorted((x.series, x.at_us) for x in batch.collect()) and len(got) > 20
+
+
 def test_routes_of_destinations(spark, tmp_path):
     feed, seen = str(tmp_path / "feed"), {}
     spark.createDataFrame([("a", 1), ("b", 2), ("a", 3)], "cdc_destination string, n int").write.parquet(feed)
