@@ -209,19 +209,25 @@ def _promising(threshold_pct: int):
     return run
 
 
+#: Links that a task writes in a round of ``components``, where cores alone would give it more.
+LINKS = 500_000
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 100) -> DataFrame:
     """(node, label): each node of the edges with the smallest node that it reaches.
 
     Alternates two steps on the edge table until nothing changes: every node's larger neighbours are tied to its
-    smallest one, then its smaller ones. Both are one grouping, and hot nodes are grouped by minimum first.
+    smallest one, then its smaller ones. Both are one grouping, and hot nodes are grouped by minimum first. A round's
+    tables are written by as many tasks as there are cores, or as their rows need.
     """
     links, state = written(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct(), "links"), None
+    tasks = max(links.sparkSession.sparkContext.defaultParallelism, -(-links.count() // LINKS))
     for _ in range(max_rounds):
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = written(both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "links")
+        large = written(both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct().coalesce(tasks), "links")
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = written(large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct(), "links")
+        small = written(large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct().coalesce(tasks), "links")
         now = small.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
         discard(links, large)
         links = small
@@ -231,7 +237,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 1
     else:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     labels = links.groupBy("u").agg(F.min("v").alias("label")).withColumnRenamed("u", "node")
-    found = written(labels.unionByName(labels.select(F.col("label").alias("node"), "label").distinct()), "labels")
+    found = written(labels.unionByName(labels.select(F.col("label").alias("node"), "label").distinct()).coalesce(tasks), "labels")
     discard(links)
     return found
 
