@@ -103,6 +103,10 @@ class Oracle12(Oracle):
         return f"MERGE INTO {table} t USING (SELECT {source} FROM DUAL) n ON ({match}) WHEN MATCHED THEN UPDATE SET {sets} WHEN NOT MATCHED THEN INSERT ({', '.join(columns)}) VALUES ({', '.join(f'n.{c}' for c in columns)})"
 
 
+class Derby(Dialect):
+    types = _ANSI | {T.StringType: "CLOB"}
+
+
 REGISTRY: dict[str, Dialect] = {}
 
 
@@ -114,5 +118,5 @@ def dialect(name: str) -> Dialect:
     return REGISTRY[name.lower()]
 
 
-for _name, _kind in (("generic", Dialect), ("postgresql", PostgreSQL), ("mysql", MySQL), ("oracle", Oracle), ("oracle12", Oracle12)):
+for _name, _kind in (("generic", Dialect), ("postgresql", PostgreSQL), ("mysql", MySQL), ("oracle", Oracle), ("oracle12", Oracle12), ("derby", Derby)):
     register(_name, _kind(_name, "`" if _name == "mysql" else '"'))

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from tidewright.functions import coerce, text, types
 from tidewright.operators import align, changes, fragments, lineage
 from tidewright.plans.registry import query, table, work_folder
+from tidewright.sinks import remote
 from tidewright.sources import changes as feeds
 from tidewright.sources import delimited, sql
 
@@ -120,12 +121,13 @@ def page_offset(spark, d):
 
 @query("SELECT c_custkey, c_name, c_acctbal FROM customer")
 def jdbc_roundtrip(spark, d):
-    import uuid
-
-    url = f"jdbc:derby:memory:{uuid.uuid4().hex};create=true"
-    driver = {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
-    sql.write_jdbc(table(spark, d, "customer").select("c_custkey", "c_name", "c_acctbal"), url, "customers", properties=driver, mode="overwrite")
-    return sql.jdbc(spark, url, "customers", column='"c_custkey"', bounds=(0, 2000), parts=4, properties=driver)
+    """By cursors and batches where tasks reach the embedded database, else by the server's import and export of files."""
+    url, driver = remote.embedded()
+    direct = remote.reachable(spark)
+    rows = table(spark, d, "customer").select("c_custkey", "c_name", "c_acctbal")
+    (sql.write_jdbc if direct else remote.load_files)(rows, url, "customers", properties=driver, mode="overwrite")
+    low, high = rows.agg(F.min("c_custkey"), F.max("c_custkey")).first()
+    return (sql.jdbc if direct else remote.unload_files)(spark, url, "customers", column='"c_custkey"', bounds=(low or 0, (high or 0) + 1), parts=4, properties=driver)
 
 
 @query("""WITH s AS (SELECT o_orderkey, 'db' || o_custkey % 5 || '.t' || o_orderkey % 3 AS dst, 'orders' || o_orderkey % 7 AS a, 'raw.customer' || o_custkey % 3 AS b FROM orders)

@@ -50,6 +50,20 @@ def names_in(spark: SparkSession, path: str) -> list[str]:
     return [x.getPath().getName() for x in fs.listStatus(at)] if fs.exists(at) else []
 
 
+def fetch(spark: SparkSession, path: str, local: str) -> str:
+    """Copies a file to the driver's own disk."""
+    fs, at = _fs(spark, path)
+    fs.copyToLocalFile(False, at, _fs(spark, f"file://{local}")[1], True)
+    return local
+
+
+def store(spark: SparkSession, local: str, path: str) -> None:
+    """Moves a file of the driver's own disk to a path."""
+    fs, at = _fs(spark, path)
+    fs.mkdirs(at.getParent())
+    fs.copyFromLocalFile(True, False, _fs(spark, f"file://{local}")[1], at)
+
+
 def size_of(spark: SparkSession, path: str) -> int:
     """Bytes of all files under a path or glob."""
     fs, at = _fs(spark, path)
