@@ -498,16 +498,18 @@ def text_types(spark, d):
 
 @query("SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN 'new' ELSE c_name END AS c_name FROM customer WHERE c_custkey % 3 <> 0 OR c_custkey % 2 = 0")
 def remote_upsert(spark, d):
-    """Needs a database that all executors reach; this one lives in the JVM, so in local mode only."""
-    import uuid
-
-    url, driver = f"jdbc:derby:memory:{uuid.uuid4().hex};create=true", {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
+    """A staging table is written by tasks where they reach the embedded database, else imported by it from files."""
+    url, driver = remote.embedded()
+    direct = remote.reachable(spark)
+    write = sql.write_jdbc if direct else remote.load_files
     c = table(spark, d, "customer").select("c_custkey", "c_name")
-    sql.write_jdbc(c.where("c_custkey % 3 <> 0"), url, "target", properties=driver, mode="overwrite")
+    write(c.where("c_custkey % 3 <> 0"), url, "target", properties=driver, mode="overwrite")
+    remote.execute(spark, url, 'CREATE INDEX target_key ON target ("c_custkey")', driver)
     changed = c.where("c_custkey % 2 = 0").withColumn("c_name", F.lit("new"))
-    remote.upsert(changed, url, "target", ["c_custkey"], properties=driver)
-    remote.upsert(c.withColumn("c_name", F.lit("ignored")).where("c_custkey % 3 <> 0"), url, "target", ["c_custkey"], update=False, properties=driver)
-    return sql.jdbc(spark, url, "target", properties=driver)
+    remote.upsert(changed, url, "target", ["c_custkey"], properties=driver, write=write)
+    remote.upsert(c.withColumn("c_name", F.lit("ignored")).where("c_custkey % 3 <> 0"), url, "target", ["c_custkey"], update=False, properties=driver, write=write)
+    low, high = c.agg(F.min("c_custkey"), F.max("c_custkey")).first()
+    return (sql.jdbc if direct else remote.unload_files)(spark, url, "target", column='"c_custkey"', bounds=(low or 0, (high or 0) + 1), parts=8, properties=driver)
 
 
 @query("SELECT n_name, count(*) AS n FROM (SELECT * FROM nation UNION ALL SELECT * FROM nation WHERE n_nationkey % 2 = 0) GROUP BY n_name")
