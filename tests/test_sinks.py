@@ -382,3 +382,16 @@ def test_store_errors_can_be_tried_again(spark, tmp_path, monkeypatch):
         tables.move(spark, "a", "b")
     with pytest.raises(ValueError, match="RCFILE"):
         tables.sync_table(spark, "t", spark.range(1), stored_as="RCFILE")
+
+
+def test_csv_sink_roundtrip_of_any_double(spark, tmp_path):
+    """Doubles come back as the database writes them: negative zero, more than two decimals, very large and small ones."""
+    duckdb = pytest.importorskip("duckdb")
+    from tidewright.plans import catalogue
+
+    values = [-0.0, 0.0, 10.125, -999.99, 9999999.5, 1e7, 123456789.12, 1e15, 1e16, 1.5e20, 0.001, 0.00012, 0.000012, -2.5e-9, None]
+    rows = [(i, f" Customer#{i} ", v) for i, v in enumerate(values)]
+    spark.createDataFrame(rows, "c_custkey long, c_name string, c_acctbal double").repartition(3).write.parquet(str(tmp_path / "customer.parquet"))
+    got = {tuple(r) for r in catalogue.QUERIES["csv_sink_roundtrip"](spark, str(tmp_path)).collect()}
+    sql = catalogue.ORACLE_SQL["csv_sink_roundtrip"].replace("FROM customer", f"FROM '{tmp_path}/customer.parquet/*.parquet'")
+    assert got == set(duckdb.sql(sql).fetchall())

@@ -70,6 +70,17 @@ def arguments(text: str, delimiter: str = " ") -> list[str]:
     return [p.replace('"', "") for p in parts]
 
 
+def plain_double(c: Column | str) -> Column:
+    """A double's shortest text, as most databases give it: an exponent below 1e-4 and from 1e16 on only; -0.0 keeps its sign."""
+    c = F.col(c) if isinstance(c, str) else c
+    size, own = F.abs(c), c.cast("string")
+    digits = F.regexp_replace(F.regexp_replace(own.try_cast("decimal(38,21)").cast("string"), "0+$", ""), "[.]$", ".0")
+    power = F.regexp_extract(own, "E(-?[0-9]+)$", 1).try_cast("int")
+    short = F.concat(F.regexp_extract(own, "^(.*?)([.]0)?E", 1), F.when(power < 0, "e-").otherwise("e+"), F.when(F.abs(power) < 10, "0").otherwise(""), F.abs(power).cast("string"))
+    odd = F.when(F.isnan(c), "nan").when(size == float("inf"), F.when(c > 0, "inf").otherwise("-inf"))
+    return F.coalesce(odd, F.when((size == 0) | size.between(1e-3, 9_999_999), own).when((size >= 1e-4) & (size < 1e16), digits).otherwise(short))
+
+
 def path_partitions(c: Column) -> Column:
     """key to value of the k=v parts of a path."""
     return F.map_from_arrays(F.regexp_extract_all(c, F.lit("([^/=]+)=([^/]+)"), F.lit(1)), F.regexp_extract_all(c, F.lit("([^/=]+)=([^/]+)"), F.lit(2)))

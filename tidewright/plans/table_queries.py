@@ -8,6 +8,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tidewright.functions import text
 from tidewright.operators import alerts, changes, graphs, routing, rows
 from tidewright.plans.registry import query, table, work_folder
 from tidewright.sinks import remote, tables
@@ -271,9 +272,9 @@ def planned_compaction(spark, d):
 @query("SELECT c_custkey AS custkey, c_name AS name, CAST(c_acctbal AS VARCHAR) AS acctbal FROM customer")
 def csv_sink_roundtrip(spark, d):
     path = work_folder(spark, "csv")
-    tables.write_csv(table(spark, d, "customer").select("c_custkey", "c_name", F.col("c_acctbal").cast("decimal(18,2)").cast("string")), path, names=["custkey", "name", "acctbal"], sep=";", quote_all=True)
+    tables.write_csv(table(spark, d, "customer").select("c_custkey", "c_name", text.plain_double("c_acctbal")), path, names=["custkey", "name", "acctbal"], sep=";", quote_all=True)
     read = delimited.read_csv(spark, path, "custkey long, name string, acctbal string", sep=";")
-    return read.withColumn("acctbal", F.col("acctbal").cast("double").cast("string"))
+    return read.withColumn("acctbal", text.plain_double(F.col("acctbal").cast("double")))
 
 
 @query("SELECT p_partkey, p_brand, p_size FROM part")

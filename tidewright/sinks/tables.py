@@ -382,9 +382,9 @@ def write_parquet(df: DataFrame, path: str, codec: str = "snappy", block_bytes:
 
 
 def write_csv(df: DataFrame, path: str, header: bool = True, names: list[str] | None = None, sep: str = ",", quote_all: bool = False, date_format: str = "yyyy-MM-dd", timestamp_format: str = "yyyy-MM-dd HH:mm:ss") -> None:
-    """CSV with typed formats; nulls are empty."""
+    """CSV with typed formats; nulls are empty. White space around texts stays."""
     rows = df.toDF(*names) if names else df
-    rows.write.options(header=header, sep=sep, quoteAll=quote_all, nullValue="", emptyValue="", dateFormat=date_format, timestampFormat=timestamp_format).csv(path)
+    rows.write.options(header=header, sep=sep, quoteAll=quote_all, nullValue="", emptyValue="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, dateFormat=date_format, timestampFormat=timestamp_format).csv(path)
 
 
 def as_text_types(df: DataFrame) -> DataFrame:
