@@ -67,3 +67,25 @@ def test_offsets_go_on_without_a_planned_batch(tmp_path):
     with pytest.raises(ValueError):
         ChangeReader({"path": "x", "start": "committed"})
     assert ChangeReader({"path": str(tmp_path / "feed"), "start": "latest"}).initialOffset() == {"events": 500}
+
+
+def test_a_part_is_read_without_the_events_before_it(tmp_path, monkeypatch):
+    """A trigger's cost doesn't grow with the file that it is in."""
+    from tidewright.sources import change_stream
+
+    write(tmp_path / "feed", "000.json", 0, 30_000)
+    write(tmp_path / "feed", "001.json", 30_000, 60_000)
+    reader, seen, lines = ChangeReader({"path": str(tmp_path / "feed")}), [], change_stream._lines
+
+    def counted(stream):
+        for line in lines(stream):
+            seen.append(line)
+            yield line
+
+    monkeypatch.setattr(change_stream, "_lines", counted)
+    for a, b in ((0, 10), (2_499, 2_503), (28_000, 28_500), (29_999, 30_001), (59_000, 60_000), *((x, x + 1) for x in range(3_000, 30_000, 997))):
+        seen.clear()
+        assert [r[0] for p in reader.partitions({"events": a}, {"events": b}) for r in reader.read(p)] == list(range(a, b))
+        assert len(seen) < 15_000
+    every = reader.partitions({"events": 0}, {"events": 60_000})
+    assert [r[0] for p in every for r in reader.read(p)] == list(range(60_000))

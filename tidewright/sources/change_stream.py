@@ -11,7 +11,8 @@ that is idempotent by batch, as Spark's own are.
     register(spark)
     spark.readStream.format("change_table").option("path", p).option("max_rows", 1000).load()
 
-Event counts of finished files are remembered by the reader. Files are read through PyArrow's file systems.
+Event counts of finished files are remembered by the reader, and of each ``BLOCK`` bytes of them, so a task reads its own
+part of a file alone. Files are read through PyArrow's file systems.
 """
 
 from __future__ import annotations
@@ -19,14 +20,17 @@ from __future__ import annotations
 import json
 import posixpath
 import sys
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 from pyspark.sql.types import StructType
 
-#: An event's sequence number, its key and value as JSON text, and where it belongs.
+#: Bytes whose events are counted together; an event's sequence number, its key and value as JSON text, and where it belongs.
+BLOCK = 1 << 18
 SCHEMA = "seq long, cdc_key string, value string, cdc_destination string"
 
 
@@ -49,9 +53,9 @@ def _store(path: str):
 
 
 class Part(InputPartition):
-    """Events ``begin`` to ``end`` (not included), and the files that have them with the number of their first event."""
+    """Events ``begin`` to ``end`` (not included), and the files that have them with a byte before these and the number of the event it is in."""
 
-    def __init__(self, begin: int, end: int, files: list[tuple[str, int]]):
+    def __init__(self, begin: int, end: int, files: list[tuple[str, int, int]]):
         self.begin, self.end, self.files = begin, end, files
 
 
@@ -74,7 +78,7 @@ class ChangeReader(DataSourceStreamReader):
         self.start = options.get("start", "committed" if self.kept else "earliest")
         if self.start not in ("committed", "earliest", "latest") or self.start == "committed" and not self.kept or self.most < 1 or self.each < 1:
             raise ValueError("start is committed (with a folder for offsets), earliest or latest; row numbers are at least 1")
-        self.counts: dict[str, int] = {}  # events of files
+        self.counts: dict[str, list[int]] = {}  # events of files before each block, and all
         self.at: int | None = None  # up to where batches have been planned or offered
 
     def _files(self) -> list[tuple[str, int]]:
@@ -87,9 +91,9 @@ class ChangeReader(DataSourceStreamReader):
         for name in names:
             if name not in self.counts:
                 with fs.open_input_stream(name) as f:
-                    self.counts[name] = sum(block.count(b"\n") for block in iter(lambda f=f: f.read(1 << 20), b""))
+                    self.counts[name] = list(accumulate((block.count(b"\n") for block in iter(lambda f=f: f.read(BLOCK), b"")), initial=0))
             out.append((name, n))
-            n += self.counts[name]
+            n += self.counts[name][-1]
         return [*out, ("", n)]
 
     def _committed(self) -> int:
@@ -118,15 +122,26 @@ class ChangeReader(DataSourceStreamReader):
         out = []
         for a in range(begin, stop, self.each):
             b = min(stop, a + self.each)
-            own = [(name, n) for (name, n), (_, after) in zip(files, files[1:], strict=False) if n < b and after > a]
+            own = [self._from(name, n, a) for (name, n), (_, after) in zip(files, files[1:], strict=False) if n < b and after > a]
             out.append(Part(a, b, own))
         return out
 
+    def _from(self, name: str, first: int, event: int) -> tuple[str, int, int]:
+        """The last block of a file that begins in an event before the given one, or the first block."""
+        counts = self.counts[name]
+        i = max(0, bisect_left(counts, event - first) - 1)
+        return name, i * BLOCK, first + counts[i]
+
     def read(self, partition: Part) -> Iterator[tuple]:
         fs, _ = _store(self.path)
-        for name, n in partition.files:
-            with fs.open_input_stream(name) as stream:
-                for line in _lines(stream):
+        for name, at, n in partition.files:
+            with fs.open_input_file(name) as file:
+                file.seek(at)
+                lines = _lines(file)
+                if at:  # in the midst of event n, or at its begin
+                    next(lines, None)
+                    n += 1
+                for line in lines:
                     if partition.begin <= n < partition.end:
                         event = json.loads(line)
                         yield tuple(event.get(k) if not isinstance(event.get(k), (dict, list)) else json.dumps(event[k]) for k in ("seq", "cdc_key", "value", "cdc_destination"))
@@ -145,7 +160,7 @@ class ChangeReader(DataSourceStreamReader):
 
 def _lines(stream) -> Iterator[bytes]:
     held = b""
-    while block := stream.read(1 << 20):
+    while block := stream.read(BLOCK):
         *whole, held = (held + block).split(b"\n")
         yield from whole
     if held:
