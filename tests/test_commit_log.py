@@ -150,3 +150,18 @@ def test_compaction_goes_on_behind_appends_but_not_behind_merges(spark, tmp_path
     with pytest.raises(commit_log.ReadChanged):
         t.compact(1 << 20)
     assert sorted(r.k for r in t.read().collect()) == [*range(1, 30), 50, 51]
+
+
+def test_rank_halves_its_cuts(spark):
+    """Eight steps for 255 cuts, not 255, and the same ranks."""
+    from pyspark.sql import functions as F
+
+    from tidewright.sinks.commit_log import _rank
+
+    values = [None, float("nan"), float("-inf"), -1.0, 0.0, 2.0, 2.5, 6.9, 7.0, 99.0, float("inf")]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    for cuts in ([], [2.0], [0.0, 2.0, 2.0, 2.0, 7.0], [float(x // 2) for x in range(255)]):
+        rank = _rank(F.col("v"), cuts)
+        assert "filter(" not in rank._jc.toString()
+        ranks = {repr(r.v): r.rank for r in df.select("v", rank.alias("rank")).collect()}
+        assert ranks == {repr(v): 0 if v is None else len(cuts) if v != v else sum(c <= v for c in cuts) for v in values}
