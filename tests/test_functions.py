@@ -112,3 +112,18 @@ def test_infer_types(spark):
 def test_ddl():
     schema = T.StructType([T.StructField("Id", T.LongType()), T.StructField("m", T.MapType(T.StringType(), T.IntegerType()))])
     assert types.hive_ddl(schema, "db.t") == "CREATE TABLE IF NOT EXISTS db_t (`id` BIGINT, `m` MAP<STRING,INT>) STORED AS ORC"
+
+
+def test_texts_that_begin_like_no_number_are_not_cast(spark):
+    """A failing cast costs an exception; what is compatible stays the same."""
+    from pyspark.sql import functions as F
+
+    from tidewright.functions import types
+
+    texts = [None, "", "x", "large ring", "12", "+7", "-3.5", ".5", "1e3", "NaN", "inf", "-Infinity", "Infinity", "\t4", "\x0b5\x01", "0x1p3", "1d", "2024-01-02", "-2024-01-02", "+2024-01-02", "2024", "T12:30", "12:30:01", "T1:2", "2024-01-02T03:04:05Z", "now", "epoch", "today", "t", "yes", "\u00a07", "\u0661", "128", "99999999999"]
+    df = spark.createDataFrame([(x,) for x in texts], "v string")
+    kinds = [k for k in types.LATTICE if k not in ("boolean", "string")]
+    own = df.select("v", *[types.compatible(F.col("v"), k).alias(k) for k in kinds]).collect()
+    plain = df.select("v", *[(F.col("v").isNull() | F.col("v").try_cast(k).isNotNull()).alias(k) for k in kinds]).collect()
+    assert own == plain
+    assert all("rlike" in str(types.compatible(F.col("v"), k)).lower() for k in kinds)

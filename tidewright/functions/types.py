@@ -98,13 +98,19 @@ def in_float_range(c: Column) -> Column:
     return F.abs(c) <= F.lit(3.4028234663852886e38)
 
 
+#: What a text of a number, of a date or of a time begins with, after white space and controls.
+_NUMBER = r"^[\x00-\x20\x7f]*([-+.\p{Nd}]|(?i:nan|inf))"
+_TIME = r"^[\x00-\x20\x7f]*[-+]?([0-9]|[tT][0-9])"
+
+
 def compatible(c: Column, kind: str) -> Column:
-    """Whether a text can become ``kind``; null can."""
+    """Whether a text can become ``kind``; null can. A text that begins like none isn't cast, as a failing cast costs an
+    exception."""
     if kind == "string":
         return F.lit(True)
     if kind == "boolean":
         return c.isNull() | F.lower(c).isin("true", "false")
-    return c.isNull() | c.try_cast(kind).isNotNull()
+    return c.isNull() | F.when(c.rlike(_TIME if kind in ("date", "timestamp") else _NUMBER), c.try_cast(kind)).isNotNull()
 
 
 def infer_columns(df: DataFrame, columns: list[str] | None = None, kinds: tuple[str, ...] = LATTICE) -> DataFrame:
