@@ -225,3 +225,21 @@ def test_models_with_rules_of_their_own_are_refused():
     for more in (b"\x1a\x02\x20\x01", b"\x1a\x06\x12\x02ab\x20\x00"):  # extra blanks removed; a table of characters
         with pytest.raises(ValueError, match="not supported"):
             sentencepiece_codec.Vocabulary.parse(data + more)
+
+
+def test_words_stay_with_an_encoder_of_their_cache_size():
+    few, many = Encoder.of(BPE, 3), Encoder.of(BPE, 1000)
+    assert few is not many and many is Encoder.of(BPE, 1000) and Encoder.of(BPE).cache_size == 200_000
+    texts = pa.array(["some words of a text", None, "other words, and of other length"])
+    for _ in range(2):
+        got = [[(first, ids.tolist(), at.tolist()) for first, ids, at in encoder.encode(texts)] for encoder in (few, many)]
+        assert got[0] == got[1]
+    kept = len(many.place)
+    list(many.encode(texts))
+    assert len(many.place) == kept > 3
+
+
+def test_token_files_keep_more_words_than_a_task_has():
+    from tidewright.llm import token_frames
+
+    assert token_frames.WORDS > Encoder.of(BPE).cache_size

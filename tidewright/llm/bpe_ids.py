@@ -38,9 +38,9 @@ _BYTE_CHARS = {b: b for b in _SHOWN} | {b: 256 + i for i, b in enumerate(x for x
 
 
 class Encoder:
-    """Ids of texts by the tokenizer in ``path``; one for each Python worker and path."""
+    """Ids of texts by the tokenizer in ``path``; one for each Python worker, path and cache size (in words, some 170 bytes each)."""
 
-    _made: dict[str, Encoder] = {}
+    _made: dict[tuple[str, int], Encoder] = {}
 
     def __init__(self, path: str, cache: int = 200_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -60,10 +60,10 @@ class Encoder:
         self.values, self.ends = array("I"), array("q", [0])
 
     @classmethod
-    def of(cls, path: str) -> Encoder:
-        if path not in cls._made:
-            cls._made[path] = cls(path)
-        return cls._made[path]
+    def of(cls, path: str, cache: int = 200_000) -> Encoder:
+        if (path, cache) not in cls._made:
+            cls._made[path, cache] = cls(path, cache)
+        return cls._made[path, cache]
 
     def _keep(self, text: str, ids: list[int]) -> None:
         self.place[text] = len(self.ends) - 1

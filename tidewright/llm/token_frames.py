@@ -37,6 +37,8 @@ from tidewright.llm.common import shared_folder, small_batches, tidy
 #: Fixed values of the seekable zstandard format.
 IDS_MAGIC, SEEK_MAGIC, SEEK_FOOTER = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
 NO_ID = -(2**63)
+#: Words whose ids a Python worker keeps from task to task, some hundred megabytes; beyond that it starts anew.
+WORDS = 600_000
 MANIFEST = "file string, part int, part_file int, n_docs long, n_ids long"
 
 
@@ -115,10 +117,10 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, folder: str | None =
     def write(batches):
         from pyspark import TaskContext
 
-        part, done, out, encoder = TaskContext.get().partitionId(), [], None, Encoder.of(tokenizer_path)
+        part, done, out, encoder = TaskContext.get().partitionId(), [], None, Encoder.of(tokenizer_path, WORDS)
         for batch in batches:
             doc_ids = batch.column(0).fill_null(NO_ID).to_numpy(zero_copy_only=False)
-            for first, ids, at in encoder.encode(batch.column(1), 1 << 20):
+            for first, ids, at in encoder.encode(batch.column(1), 4 << 20):
                 for i in range(len(at) - 1):
                     if out is not None and out.size >= max_file_bytes:
                         done.append(out.close())
@@ -128,8 +130,7 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, folder: str | None =
         if out is not None:
             done.append(out.close())
         yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in done], pa.string()), pa.array([part] * len(done), pa.int32()), pa.array(range(len(done)), pa.int32()), pa.array([x[1] for x in done], pa.int64()), pa.array([x[2] for x in done], pa.int64())], ["file", "part", "part_file", "n_docs", "n_ids"])
-        encoder.forget()
-        tidy()
+        tidy()  # the encoder's words stay for the worker's next task
 
     small_batches(spark, 4 << 20)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
