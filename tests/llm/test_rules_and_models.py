@@ -277,3 +277,20 @@ def test_held_out_rows_of_the_tables(spark):
     langs = spark.read.parquet(f"{TABLES}/documents.parquet").where("lang IS NOT NULL").select("doc_id", "lang")
     told = queries.op5_language_id(spark, TABLES).where("held_out").join(langs, "doc_id").collect()
     assert np.mean([r.lang == r.lang_pred for r in told]) > 0.98
+
+
+def test_language_model_is_fitted_in_a_task(spark, monkeypatch):
+    rows = [(i, ("the cat and the dog are in the house " if i % 2 else "der hund und die katze sind im haus ") + str(i) * 3, "en" if i % 2 else "de") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    real, driver = language_id.fit, os.getpid()
+
+    def fit(*a, **b):
+        assert os.getpid() != driver
+        return real(*a, **b)
+
+    monkeypatch.setattr(language_id, "fit", fit)
+    model = language_id.train(docs, F.lit(True))
+    data, offsets = common.flat_text(pa.array([r[1] for r in rows]))
+    want = real(language_id.ngram_counts(data, offsets), [r[2] for r in rows])
+    assert model.languages == want.languages == ["de", "en"] and np.allclose(model.idf, want.idf)
+    assert {r.lang_pred for r in language_id.identify(docs.where("lang = 'de'"), model).collect()} == {"de"}

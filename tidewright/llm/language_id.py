@@ -9,7 +9,7 @@ Short texts have few n-grams and small cosines, so each binary order of differen
 with less than ``least_share`` of a language's texts are dissolved, so no centroid or median stands on a few odd texts.
 
 Training takes about ``sample`` labelled texts and never more than twice as many, those whose ids and texts hash
-lowest, so it is bounded and repeats, whatever ids are null or shared. The IDF and
+lowest, so it is bounded and repeats, whatever ids are null or shared. One task fits them, so the driver holds no texts' counts. The IDF and
 the centroids are the fitted model. Every text is classified whole, by tasks that each get the model (a few hundred
 kilobytes, whatever the input).
 
@@ -19,6 +19,7 @@ text is ``und``, and only those without a letter are rejected. Repeated rows get
 
 from __future__ import annotations
 
+import pickle
 from dataclasses import dataclass
 
 import numpy as np
@@ -26,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewright.llm.common import flat_text, place_of, slices, small_batches
+from tidewright.llm.common import flat_text, place_of, slices, small_batches, tidy
 
 #: Byte classes: letters keep a code (lower case; bytes of longer characters their own), all else is a word end.
 _FOLD = np.zeros(256, np.uint32)
@@ -36,6 +37,7 @@ _FOLD[128:] = np.arange(27, 155)
 BUCKETS = 1 << 13
 #: Length bins, and how many training texts a bin needs for a median of its own.
 BINS, ENOUGH = 14, 20
+_CHOSEN = pa.schema([("lang", pa.string()), ("counts", pa.binary()), ("place", pa.int64())])
 
 
 def ngram_counts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -119,7 +121,7 @@ def fit(counts: np.ndarray, languages: list[str], per_language: int = 4, rounds:
     y = np.array([names.index(x) for x in languages], int)
     idf = (np.log((1 + len(counts)) / (1 + np.count_nonzero(counts, axis=0))) + 1).astype(np.float32)
     bins = _bins(counts)
-    x = np.log1p(counts, out=counts)  # in place: the driver has little memory
+    x = np.log1p(counts, out=counts)  # in place: up to 260 MB
     x *= idf
     x /= np.maximum(np.sqrt(np.einsum("ij,ij->i", x, x)), 1e-9)[:, None]
     centroids, owner, nearest = [], [], []
@@ -161,12 +163,20 @@ def train(docs: DataFrame, learn: Column, sample: int = 4000, id_col: str = "doc
         low = low | ((F.col(lang_col) == kind[lang_col]) & (place < int(min(1.0, each / kind["n"]) * (1 << 20))))
     chosen = labelled.where(low & F.col(text_col).isNotNull()).select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"), place.alias("place"))
     small_batches(docs.sparkSession, 8 << 20)
-    rows = chosen.mapInArrow(_counts, "lang string, counts binary, place long").orderBy("place", "lang", "counts").limit(2 * sample).collect()
-    counts = np.zeros((len(rows), BUCKETS), np.float32)
-    for i, x in enumerate(rows):
-        pairs = np.frombuffer(x.counts, np.uint32).reshape(2, -1)
-        counts[i, pairs[0]] = pairs[1]
-    return fit(counts, [x.lang for x in rows], **options)
+    rows = chosen.mapInArrow(_counts, "lang string, counts binary, place long").orderBy("place", "lang", "counts").limit(2 * sample)
+
+    def learn_all(batches):
+        found = pa.Table.from_batches(batches, _CHOSEN)
+        counts = np.zeros((len(found), BUCKETS), np.float32)
+        for i, x in enumerate(found.column("counts")):
+            pairs = np.frombuffer(x.as_buffer(), np.uint32).reshape(2, -1)
+            counts[i, pairs[0]] = pairs[1]
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit(counts, found.column("lang").to_pylist(), **options))], pa.binary())], ["model"])
+        del found, counts
+        tidy()
+
+    told = rows.mapInArrow(learn_all, "model binary").collect()  # the bounded sample is one task's; the driver gets the centroids alone
+    return pickle.loads(told[0].model) if told else fit(np.zeros((0, BUCKETS), np.float32), [], **options)
 
 
 def _counts(batches):
