@@ -235,6 +235,57 @@ def test_toxicity_of_held_out_texts(spark):
     assert nothing is None and {x.score for x in toxicity.scored(odd, nothing).collect()} == {0.0}
 
 
+def test_toxicity_is_learnt_from_every_labelled_text(spark):
+    """More labelled texts than one task learns from; the word of half the toxic ones is in no text that a bounded sample of 9000 has."""
+    ids = spark.range(12_000).selectExpr("id AS doc_id", "cast(id % 2 AS int) AS toxic")
+    inside = toxicity.chosen(ids, 9000).select("doc_id", F.lit("vexling").alias("bad"))
+    docs = ids.join(inside, "doc_id", "left").selectExpr("doc_id", "concat('word', doc_id % 31, ' ', if(toxic = 1, coalesce(bad, 'grubnak'), 'kind'), ' word', doc_id % 37) AS text")
+    model = toxicity.fit(docs, ids)
+    rows = spark.createDataFrame([("word1 grubnak word2", 1), ("word3 vexling word5", 1), ("word1 kind word2", 0)], "text string, toxic int")
+    assert all(r.predicted == r.toxic for r in toxicity.scored(rows, model).collect())
+
+
+def test_toxicity_of_many_parts(spark):
+    """Parts that learn apart give one network; a text's fold doesn't depend on its part."""
+    docs = labelled_docs(spark, 480)
+    known = docs.where("doc_id % 4 <> 2")
+    models = [toxicity.fit(known.drop("toxic"), known.select("doc_id", "toxic"), part=120) for _ in range(2)]
+    got = toxicity.scored(docs, models[0]).where("doc_id % 4 = 2").collect()
+    assert np.mean([x.predicted == x.toxic for x in got]) > 0.95
+    assert all((models[0].weights[k] == models[1].weights[k]).all() for k in models[0].weights) and (models[0].cuts == models[1].cuts).all()
+
+
+def test_changes_of_parts_are_averaged_by_the_steps_on_a_row():
+    old = toxicity.Model.fresh().weights
+    parts = []
+    for part, (n, rows) in enumerate(((10, {5: 3, 600: 1}), (30, {5: 1}))):
+        new, steps = {k: v + part for k, v in old.items()}, {t: np.zeros(toxicity.ROWS + 1, np.uint32) for t in toxicity.TABLES}
+        for r, s in rows.items():
+            steps["word"][r] = s
+            new["word"][r] = old["word"][r] + 1 + part
+        parts += toxicity._changes(0, part, n, old, new, steps)
+    rows = pa.Table.from_batches(parts)
+    assert rows.num_rows == 5  # untouched blocks aren't sent
+    of = lambda b: toxicity._averaged(rows.filter(pa.compute.equal(rows.column("block"), b)))
+    change = lambda b: np.frombuffer(of(b).column("change")[0].as_py(), np.float32)
+    assert np.allclose(change(0), (3 * 1 + 1 * 2) / 4) and np.frombuffer(of(0).column("at")[0].as_py(), np.uint16).tolist() == [5]
+    assert np.allclose(change(1), 1) and np.frombuffer(of(1).column("at")[0].as_py(), np.uint16).tolist() == [600 - 512]
+    assert np.allclose(change(-1), 30 / 40)
+
+
+def test_thresholds_are_those_of_all_counts(spark):
+    r = np.random.default_rng(6)
+    rows = [(int(lang), float(z), 3, int(t)) for lang in (0, 2) for z, t in zip(np.arange(40) / 4, r.integers(0, 4, 40), strict=True)] + [(3, 1.0, 2, 1)]
+    got = toxicity.best_cuts(spark.createDataFrame(rows, "lang int, z double, n long, toxic long"))
+    for lang in (-1, 0, 2):
+        own = [x for x in rows if lang in (-1, x[0])]
+        values = sorted({x[1] for x in own}, reverse=True)
+        f1 = [2 * sum(x[3] for x in own if x[1] >= v) / (sum(x[2] for x in own if x[1] >= v) + sum(x[3] for x in own)) for v in values]
+        k = int(np.argmax(f1))
+        assert got[lang] == ((values[k] + values[k + 1]) / 2 if k + 1 < len(values) else values[k] - 1)
+    assert set(got) == {-1, 0, 2}  # two texts are too few for a threshold of their own
+
+
 def test_pooling_is_the_plain_convolution():
     texts = ["the idiot of", "", "a", "b c d e f"]
     data, offsets = common.flat_text(pa.array(texts))
