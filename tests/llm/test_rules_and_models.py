@@ -255,6 +255,15 @@ def test_toxicity_of_many_parts(spark):
     assert all((models[0].weights[k] == models[1].weights[k]).all() for k in models[0].weights) and (models[0].cuts == models[1].cuts).all()
 
 
+def test_labelled_texts_lie_in_their_parts_however_they_are_joined(spark):
+    docs = spark.range(3000).selectExpr("if(id % 100 = 0, NULL, id % 2900) AS id", "concat('text ', id) AS text")
+    known = spark.range(0, 3000, 3).selectExpr("id", "cast(id % 2 AS int) AS toxic")
+    ways = [toxicity.labelled(docs, known, 5, most).select("*", F.spark_partition_id().alias("at")).collect() for most in (1000, 999)]
+    want = docs.join(known, "id").select("text", "toxic").collect()
+    assert sorted(ways[0]) == sorted(ways[1]) and sorted((r.text, r.toxic) for r in ways[0]) == sorted((r.text, r.toxic) for r in want)
+    assert all(r.part == r.at for r in ways[0] + ways[1]) and len({r.part for r in ways[0]}) == 5
+
+
 def test_changes_of_parts_are_averaged_by_the_steps_on_a_row():
     old = toxicity.Model.fresh().weights
     parts = []

@@ -38,7 +38,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewright.llm.common import flat_text, place_of, slices, small_batches, span_hashes, tidy, with_found, word_spans
+from tidewright.llm.common import BROADCAST_ROWS, flat_text, place_of, slices, small_batches, span_hashes, tidy, word_spans
 
 BITS, STEMS, DIM, FILTERS, WIDTHS = 15, (4, 7), 12, 12, (1, 2, 3)
 ROWS = 1 << BITS
@@ -230,15 +230,13 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int | None = None, id_col: s
     """A calibrated model from all labelled texts, about ``part`` of them a task; None without labels of both kinds."""
     small_batches(docs.sparkSession, 8 << 20)
     known = chosen(labels, sample, id_col, label_col).select(F.col(id_col).alias("id"), F.col(label_col).alias("toxic"))
-    text = F.col(text_col).alias("text")
-    n, toxic, size = with_found(docs.select(F.col(id_col).alias("id"), F.octet_length(text).alias("size")), known, ["id"], "inner").agg(F.count("*"), F.sum("toxic"), F.sum("size")).first()
+    docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    known = known.withColumn("id", F.col("id").cast(docs.schema["id"].dataType))  # hashes differ by type
+    n, toxic, size = docs.select("id", F.octet_length("text").alias("size")).join(known, "id").agg(F.count("*"), F.sum("toxic"), F.sum("size")).first()
     if not n or not 0 < toxic < n:
         return None
     parts = max(1, math.ceil(n / part), math.ceil((size or 0) / PART_BYTES))
-    place = place_of(F.col("id"), F.col("text"), F.lit(29))
-    texts = with_found(docs.select(F.col(id_col).alias("id"), text), known, ["id"], "inner").select("text", "toxic", place.alias("place"))
-    texts = texts.mapInArrow(_encoded, "rows binary, toxic int, place long, fold int").withColumn("part", F.floor(F.col("place") * parts / (1 << 20)).cast("int"))
-    texts = texts.repartitionById(parts, "part").sortWithinPartitions("place", "rows", "toxic").persist(StorageLevel.DISK_ONLY)
+    texts = labelled(docs, known, parts).mapInArrow(_encoded, "rows binary, toxic int, place long, part int, fold int").sortWithinPartitions("place", "rows", "toxic").persist(StorageLevel.DISK_ONLY)
     try:
         models = swept(texts.where("part = 0"), [Model.fresh()] * (FOLDS + 1), _rounds(n // parts), RATE, 3)
         for j in range(SWEEPS if parts > 1 else 0):
@@ -250,6 +248,22 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int | None = None, id_col: s
     return models[FOLDS]
 
 
+def labelled(docs: DataFrame, known: DataFrame, parts: int, most_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """(text, toxic, place, part) of the documents with a label, each part in a partition, by the id's hash.
+
+    Up to ``most_rows`` labels are broadcast. Beyond that texts are shuffled once, to their parts; those whose ids have no bit in a
+    bitmap of the labels' (of at most 16 MB) stay where they are."""
+    told = ("text", "toxic", place_of(F.col("id"), F.col("text"), F.lit(29)).alias("place"), F.pmod(F.hash("id"), F.lit(parts)).alias("part"))  # the part as repartition deals ids
+    if known.count() <= most_rows:
+        return docs.join(F.broadcast(known), "id").select(*told).repartitionById(parts, "part")
+    place = F.pmod(F.xxhash64("id"), F.lit(1 << 27))
+    bucket, bit = F.shiftright(place, 15).alias("bucket"), place.bitwiseAND(F.lit((1 << 15) - 1))
+    bits = known.groupBy(bucket).agg(F.bitmap_construct_agg(bit).alias("bits"))
+    byte = F.conv(F.hex(F.substring(F.col("bits"), (bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    some = docs.withColumn("bucket", bucket).join(F.broadcast(bits), "bucket").where(byte.bitwiseAND(F.pow(F.lit(2), bit % 8).cast("int")) > 0)
+    return some.select("id", "text").repartition(parts, "id").join(known.repartition(parts, "id").hint("merge"), "id").select(*told)
+
+
 def _rounds(n: int) -> int:
     return int(np.clip(40_000 // max(1, n), 6, 60))
 
@@ -403,8 +417,8 @@ def _encoded(batches):
         for a, b in slices(offsets, 1 << 20):
             rows, at = word_rows(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
             own = [rows[at[i] : at[i + 1]] for i in range(b - a)]
-            told, place = batch.column(1).slice(a, b - a), batch.column(2).slice(a, b - a)
-            yield pa.RecordBatch.from_arrays([pa.array([x.tobytes() for x in own], pa.binary()), told, place, pa.array(folds(own, told), pa.int32())], ["rows", "toxic", "place", "fold"])
+            told = [batch.column(i).slice(a, b - a) for i in (1, 2, 3)]
+            yield pa.RecordBatch.from_arrays([pa.array([x.tobytes() for x in own], pa.binary()), *told, pa.array(folds(own, told[0]), pa.int32())], ["rows", "toxic", "place", "part", "fold"])
 
 
 def scored(docs: DataFrame, model: Model | None, text_col: str = "text") -> DataFrame:
